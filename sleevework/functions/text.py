@@ -20,6 +20,10 @@ def strip(value: Column) -> Column:
     return F.regexp_replace(value, f"^{SPACE}+|{SPACE}+$", "")
 
 
+def is_blank(value: Column) -> Column:
+    return ~value.rlike("[^" + SPACE[1:])
+
+
 def collapse(value: Column) -> Column:
     """Runs of whitespace become one space; none at either end."""
     return F.trim(F.regexp_replace(value, f"{SPACE}+", " "))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sleevework.functions.core import let
 from sleevework.functions.text import strip
 
 # A track token with optional ~ end, the widest range believed, and name separators.
@@ -16,18 +17,26 @@ STANDALONE_BY = r"(?iU)\bby\b"
 NAME_EDGE = " ,;&/"
 
 
-def _numbers(start: Column, end: Column) -> Column:
-    believed = end.isNull() | ((start <= end) & (end <= start + WIDEST_RANGE))
+def _numbers(start: Column, end: Column, is_range: Column) -> Column:
+    last = F.when(is_range, end).otherwise(start)
     # sequence() counts down when the bounds are swapped, hence the guard comes first
-    return F.when(believed & start.isNotNull(), F.sequence(start, F.coalesce(end, start))).otherwise(F.array().cast("array<bigint>"))
+    believed = (start <= last) & (last <= start + WIDEST_RANGE)
+    return F.when(believed, F.sequence(start, last))
 
 
 def parse_track_set(text: Column) -> Column:
-    """``1,4,5``, ``1~3``, ``M-01`` and mixtures -> distinct numbers in order of appearance."""
-    first = F.regexp_extract_all(text, F.lit(TRACK_TOKEN), 1)
-    last = F.regexp_extract_all(text, F.lit(TRACK_TOKEN), 2)
-    ranges = F.zip_with(first, last, lambda a, b: F.when((b == "") | b.try_cast("bigint").isNotNull(), _numbers(a.try_cast("bigint"), b.try_cast("bigint"))).otherwise(F.array().cast("array<bigint>")))
-    return F.array_distinct(F.flatten(ranges))
+    """``1,4,5``, ``1~3``, ``M-01`` and mixtures -> distinct numbers in order of appearance.
+
+    Ranges that run backwards or are implausibly wide, and numbers beyond 64 bits, are left out.
+    """
+
+    def read(raw: Column) -> Column:
+        first = F.regexp_extract_all(raw, F.lit(TRACK_TOKEN), 1)
+        last = F.regexp_extract_all(raw, F.lit(TRACK_TOKEN), 2)
+        ranges = F.zip_with(first, last, lambda a, b: _numbers(a.try_cast("bigint"), b.try_cast("bigint"), b != ""))
+        return F.array_distinct(F.flatten(F.filter(ranges, lambda r: r.isNotNull())))
+
+    return let(text, lambda raw: F.when(raw.rlike("[0-9]"), read(raw)).otherwise(F.array().cast("array<bigint>")))
 
 
 def split_names(text: Column) -> Column:
@@ -48,6 +57,7 @@ def inline_groups(value: Column) -> Column:
         return F.struct(names.alias("names"), parse_track_set(ranges).alias("tracks"))
 
     groups = F.zip_with(F.regexp_extract_all(value, F.lit(shape), 1), F.regexp_extract_all(value, F.lit(shape), 2), pair)
-    return F.filter(groups, lambda g: F.size(g["tracks"]) > 0)
+    found = F.filter(groups, lambda g: F.size(g["tracks"]) > 0)
+    return F.when(value.contains("("), found).otherwise(F.array().cast("array<struct<names:string,tracks:array<bigint>>>"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sleevework.functions.core import group, let, positions, sections
 from sleevework.functions.roles import has_role_keyword, normalize_role
-from sleevework.functions.text import lines, notes_name_key, strip
+from sleevework.functions.text import is_blank, lines, notes_name_key, strip
 from sleevework.functions.tracks import inline_groups, parse_track_set, split_names
 
 # The shapes of a numbered header, a range header and a role line.
@@ -28,10 +28,10 @@ Backend = Callable[[DataFrame, DataFrame], DataFrame]
 
 def header_tracks(line: Column) -> Column:
     """Tracks announced by a header line, NULL for any other line."""
-    number = F.regexp_extract(line, NUMBERED_HEADER, 1)
-    numbered = F.filter(F.array(number.try_cast("bigint")), lambda n: n.isNotNull())
+    number = F.regexp_extract(line, NUMBERED_HEADER, 1).try_cast("bigint")
+    numbered = F.filter(F.array(number), lambda n: n.isNotNull())
     ranges = let(parse_track_set(F.regexp_extract(line, RANGE_HEADER, 1)), lambda t: F.when(F.size(t) > 0, t))
-    return F.when(number != "", numbered).otherwise(ranges)
+    return F.when(line.rlike(NUMBERED_HEADER), numbered).when(line.rlike(RANGE_HEADER), ranges)
 
 
 def role_line(line: Column) -> Column:
@@ -46,7 +46,7 @@ def parsed_lines(notes: Column) -> Column:
     """``array<struct<pos, line, header, role>>``; at most one of header and role is set."""
 
     def parse(line: Column, i: Column) -> Column:
-        blank = strip(line) == ""
+        blank = is_blank(line)
         header = F.when(~blank, header_tracks(line))
         return let(
             header,
@@ -92,7 +92,7 @@ def block_context(notes: DataFrame, key: str = "album_id", text: str = "notes")
     kind = (
         F.when(F.col("l.role").isNotNull(), "role")
         .when(F.col("l.header").isNotNull(), "header")
-        .when(strip(F.col("l.line")) == "", "blank")
+        .when(is_blank(F.col("l.line")), "blank")
         .otherwise("prose")
     )
     return rows.select(key, "l.pos", "l.line", kind.alias("kind"), "context", "l.role.phrase", "l.role.value")

@@ -41,3 +41,33 @@ def blank_to_null(value: Column) -> Column:
 def group(value: Column, pattern: str, index: int) -> Column:
     """A regex group, NULL when there is no match or the group is empty."""
     return blank_to_null(F.regexp_extract(value, pattern, index))
+
+
+def deduplicate(items: Column, key: Callable[[Column, Column], Column], *, keep: str = "first") -> Column:
+    """One element per key, in document order. ``key`` gets the element and its index.
+
+    Works by sorting the keys, so it does not turn quadratic on long arrays.
+    """
+
+    def pick(order: Column) -> Column:
+        def is_kept(x: Column, i: Column) -> Column:
+            other = F.get(order, i - 1 if keep == "first" else i + 1)
+            edge = i == 0 if keep == "first" else i == F.size(order) - 1
+            return edge | ~other["key"].eqNullSafe(x["key"])
+
+        return F.array_sort(F.transform(F.filter(order, is_kept), lambda x: x["i"]))
+
+    def select(all_items: Column) -> Column:
+        keyed = F.array_sort(F.transform(all_items, lambda x, i: F.struct(key(x, i).alias("key"), i.alias("i"))))
+        return F.transform(let(keyed, pick), lambda i: F.get(all_items, i))
+
+    return let(items, select)
+
+
+def first(items: Column, test: Callable[[Column], Column] | None = None) -> Column:
+    """First element (that satisfies ``test``), NULL when there is none."""
+    return F.get(items if test is None else F.filter(items, test), F.lit(0))
+
+
+def last(items: Column, test: Callable[[Column], Column]) -> Column:
+    return F.try_element_at(F.filter(items, test), F.lit(-1))

@@ -1,18 +1,20 @@
-"""Imports every query module, so that the registry is complete."""
+"""The complete registry: importing this module registers every query."""
 
 from __future__ import annotations
 
-import importlib
-
-from sleevework.plans import views  # noqa: F401
+from sleevework.plans import (  # noqa: F401
+    check_queries,
+    crawl_queries,
+    entity_queries,
+    notes_queries,
+    page_queries,
+    quality_queries,
+    reply_queries,
+    value_queries,
+    views,
+)
 from sleevework.plans.registry import QUERIES, Run, checking_sql
 
-for module in ("value_queries", "notes_queries", "quality_queries", "crawl_queries", "check_queries", "page_queries", "entity_queries", "reply_queries"):
-    try:
-        importlib.import_module(f"sleevework.plans.{module}")
-    except ModuleNotFoundError as e:  # WIP
-        print("missing", e)
-
 
 def all_queries() -> dict[str, Run]:
     return {name: q.run for name, q in QUERIES.items()}

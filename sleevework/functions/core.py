@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -71,3 +71,13 @@ def first(items: Column, test: Callable[[Column], Column] | None = None) -> Colu
 
 def last(items: Column, test: Callable[[Column], Column]) -> Column:
     return F.try_element_at(F.filter(items, test), F.lit(-1))
+
+
+def computed(df: DataFrame, name: str, value: Column, keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Add (or replace) a column that is worked out exactly once per row.
+
+    Going through a one-element explode keeps the optimizer from copying an expensive expression into
+    every place, filters included, that refers to the column. Rows that fail ``keep`` are dropped.
+    """
+    cell = F.array(value) if keep is None else F.filter(F.array(value), keep)
+    return df.select(*[c for c in df.columns if c != name], F.explode(cell).alias(name))

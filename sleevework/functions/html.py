@@ -28,13 +28,13 @@ _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 def _code_point(number: Column) -> Column:
     valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     text = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    markup = F.create_map(*[F.lit(x) for c, e in _MARKUP.items() for x in (ord(c), e)])
+    markup = F.expr("map(" + ", ".join(f"{ord(c)}, '{e}'" for c, e in _MARKUP.items()) + ")")
     return F.when(valid, F.coalesce(markup[number.cast("int")], text)).otherwise(F.lit("�"))
 
 
 def _decode_names(html: Column) -> Column:
     """Named and numeric entities to characters, except those that stand for markup."""
-    named = F.create_map(*[F.lit(x) for n, c in name2codepoint.items() if chr(c) not in _MARKUP for x in (n, chr(c))])
+    named = F.expr("map(" + ", ".join(f"'{n}', '{chr(c)}'" for n, c in name2codepoint.items() if chr(c) not in _MARKUP) + ")")
 
     def entity(name: Column) -> Column:
         decimal = F.regexp_extract(name, "^#([0-9]+)$", 1).try_cast("bigint")
@@ -58,10 +58,14 @@ def clean(html: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """The remaining entities of a text taken from a clean page."""
-    out = text
-    for char in ('"', "'", "<", ">", "&"):
-        out = F.replace(out, F.lit(_MARKUP[char]), F.lit(char))
-    return F.when(text.contains("&"), out).otherwise(text)
+
+    def decode(escaped: Column) -> Column:
+        out = escaped
+        for char in ('"', "'", "<", ">", "&"):
+            out = F.replace(out, F.lit(_MARKUP[char]), F.lit(char))
+        return F.when(escaped.contains("&"), out).otherwise(escaped)
+
+    return let(text, decode)
 
 
 def tag_name(token: Column) -> Column:
@@ -72,7 +76,11 @@ def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of an opening tag, NULL if it is not there."""
     quoted = rf"""(?is)^<[^>]*?\s{name}\s*=\s*(["'])(.*?)\1"""
     bare = rf"""(?is)^<[^>]*?\s{name}\s*=\s*([^\s"'>]+)"""
-    return F.when(tag.rlike(quoted), unescape(F.regexp_extract(tag, quoted, 2))).when(tag.rlike(bare), F.regexp_extract(tag, bare, 1))
+
+    def read(t: Column) -> Column:
+        return F.when(t.rlike(quoted), unescape(F.regexp_extract(t, quoted, 2))).when(t.rlike(bare), F.regexp_extract(t, bare, 1))
+
+    return let(tag, read)
 
 
 def raw_text(fragment: Column) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sleevework.functions.core import let
 from sleevework.functions.text import casefold, strip
 
 # A label that must be equal, then substrings in order of precedence.
@@ -67,15 +68,30 @@ LINE_KEYWORDS = (
 )
 
 
-def normalize_role(label: Column) -> Column:
-    """The role of a freeform label: the equal label, else the first keyword it contains."""
-    folded = strip(casefold(label))
+def _role_of(folded: Column) -> Column:
     tests = [(folded == text, role) for text, role in EXACT_ROLES.items()]
     tests += [(folded.contains(word), role) for word, role in ROLE_KEYWORDS.items()]
     chain = reduce(lambda c, t: c.when(t[0], F.lit(t[1])), tests[1:], F.when(tests[0][0], F.lit(tests[0][1])))
     return chain.otherwise(F.lit(FALLBACK_ROLE))
 
 
+def normalize_role(label: Column) -> Column:
+    """The role of a freeform label: the equal label, else the first keyword it contains."""
+    return _role_of(strip(casefold(label)))
+
+
+def normalize_role_once(label: Column) -> Column:
+    """The same for use inside array lambdas, as a search through a constant list of rules."""
+    rules = F.expr("array(" + ", ".join(f"struct('{w}' as word, '{r}' as role)" for w, r in ROLE_KEYWORDS.items()) + ")")
+    exact = F.expr("map(" + ", ".join(f"'{t}', '{r}'" for t, r in EXACT_ROLES.items()) + ")")
+
+    def find(folded: Column) -> Column:
+        hit = F.get(F.filter(rules, lambda rule: folded.contains(rule["word"])), F.lit(0))["role"]
+        return F.coalesce(exact[folded], hit, F.lit(FALLBACK_ROLE))
+
+    return let(strip(casefold(label)), find)
+
+
 def role_rules(spark: SparkSession) -> DataFrame:
     """The keywords as a table: a fixed 43-row dimension, safe to broadcast."""
     rows = [(0, text, True, role) for text, role in EXACT_ROLES.items()]

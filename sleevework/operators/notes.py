@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sleevework.functions.core import group, let, positions, sections
-from sleevework.functions.roles import has_role_keyword, normalize_role
+from sleevework.functions.roles import has_role_keyword, normalize_role, normalize_role_once
 from sleevework.functions.text import is_blank, lines, notes_name_key, strip
 from sleevework.functions.tracks import inline_groups, parse_track_set, split_names
 
@@ -203,16 +203,14 @@ def _credits_by_track(notes: Column, numbers: Column) -> Column:
     """``map<track, array<credit>>`` of one album row, tracks ascending, credits in notes order."""
 
     def credits_of_line(context: Column, line: Column) -> Column:
-        def credits_of_group(g: Column, order: Column) -> Column:
-            credit = lambda track: F.struct(
-                track.alias("track"),
-                line["pos"].alias("pos"),
-                order.alias("grp"),
-                normalize_role(line["role"]["phrase"]).alias("role"),
+        def credits_of_group(g: Column) -> Column:
+            made = F.struct(
+                normalize_role_once(line["role"]["phrase"]).alias("role"),
                 strip(line["role"]["phrase"]).alias("role_raw"),
                 refs(g["names"]).alias("artists"),
             )
-            return F.transform(F.array_intersect(g["tracks"], numbers), credit)
+            # built once per group, repeated per track
+            return let(made, lambda c: F.transform(F.array_intersect(g["tracks"], numbers), lambda t: F.struct(t.alias("track"), c.alias("credit"))))
 
         return F.flatten(F.transform(F.coalesce(_attribution(line["role"]["value"], context), F.array()), credits_of_group))
 
@@ -227,7 +225,7 @@ def _credits_by_track(notes: Column, numbers: Column) -> Column:
         )
         entry = lambda part: F.struct(
             F.get(part, F.lit(0))["track"].alias("track"),
-            F.transform(part, lambda c: F.struct(c["role"].alias("role"), c["role_raw"].alias("role_raw"), c["artists"].alias("artists"))).alias("credits"),
+            F.transform(part, lambda c: c["credit"]).alias("credits"),
         )
         return F.map_from_entries(F.transform(sections(found, heads), entry))
 

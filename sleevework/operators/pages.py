@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sleevework.functions import html as H
-from sleevework.functions.core import blank_to_null, deduplicate, first, let, positions, sections
+from sleevework.functions.core import blank_to_null, computed, deduplicate, first, let, positions, sections
 from sleevework.functions.dates import partial_date, release_date
-from sleevework.functions.roles import normalize_role
+from sleevework.functions.roles import normalize_role_once
 from sleevework.functions.text import name_key, strip
 from sleevework.functions.localized import placeholder_rule
 from sleevework.functions.web import absolute_url, ref_link
@@ -31,7 +31,7 @@ TRAILING_PAREN = r"\s*\([^)]*\)$"
 
 
 def cleaned(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("html", H.clean(F.col("html")))
+    return computed(pages, "html", H.clean(F.col("html")))
 
 
 def tokenise(pages: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def route_pages(pages: DataFrame) -> DataFrame:
     """
     link = H.canonical_link(F.col("html"))
     pattern = f"/({'|'.join(KINDS)})/(\\d+)"
-    rows = cleaned(pages).withColumn("link", link).withColumns(
+    rows = computed(cleaned(pages), "link", link).withColumns(
         {
             "_kind": blank_to_null(F.regexp_extract("link", pattern, 1)),
             "entity_id": F.regexp_extract("link", pattern, 2).try_cast("bigint"),
@@ -93,7 +93,7 @@ def route_pages(pages: DataFrame) -> DataFrame:
         }
     )
     rows = rows.withColumn("kind", F.coalesce("_kind", F.when(F.col("_search"), F.lit("search"))))
-    rows = rows.withColumn("names", entity_names(F.col("html"), F.col("kind")))
+    rows = computed(rows, "names", entity_names(F.col("html"), F.col("kind")))
     reason = (
         F.when(F.col("kind") == "search", F.lit(None))
         .when(F.col("link").isNull(), "no canonical link")
@@ -169,21 +169,25 @@ def aliases(body: Column) -> Column:
 
 def info_fields(html: Column) -> Column:
     """``array<struct<label, value, href>>`` of an album's info box; the last of a label counts."""
-    credits_box = H.container(html, "div", 'id="collapse_credits"')
-    rest = F.when(credits_box.isNotNull() & (credits_box != ""), F.replace(html, credits_box, F.lit(""))).otherwise(html)
-    tables = H.containers(rest, "table", 'id="album_infobit_large"')
-    rows = F.flatten(F.transform(tables, lambda t: H.pieces(t["inner"], r"(?is)<tr\b[^>]*>")))
+    def without_credits(page: Column) -> Column:
+        box = H.container(page, "div", 'id="collapse_credits"')
+        return let(box, lambda b: F.when(b != "", F.replace(page, b, F.lit(""))).otherwise(page))
 
-    def read(row: Column) -> Column:
-        cells = H.pieces(row, r"(?is)<td\b[^>]*>")
-        body = F.regexp_replace(F.get(cells, F.lit(1)), r'(?is)</td\s*>.*\z', "")
-        shown = F.regexp_replace(body, r'(?is)<div\b(?=[^>]*class="[^"]*vbmenu_popup)[^>]*>.*?</div\s*>', " ")
+    def field(cells: Column) -> Column:
         label = first(H.containers(F.get(cells, F.lit(0)), "span", 'class="label"'))["inner"]
-        href = H.attribute(first(H.opening_tags(body, "a", "href\\s*=")), "href")
-        return F.struct(F.when(label.isNotNull() & body.isNotNull(), H.text(label)).alias("label"), H.spaced_text(shown).alias("value"), href.alias("href"))
+        body = F.regexp_replace(F.get(cells, F.lit(1)), r"(?is)</td\s*>.*\z", "")
+        return let(F.struct(label.alias("label"), body.alias("body")), read)
+
+    def read(cell: Column) -> Column:
+        shown = F.regexp_replace(cell["body"], r'(?is)<div\b(?=[^>]*class="[^"]*vbmenu_popup)[^>]*>.*?</div\s*>', " ")
+        href = H.attribute(first(H.opening_tags(cell["body"], "a", "href\\s*=")), "href")
+        row = F.struct(H.text(cell["label"]).alias("label"), H.spaced_text(shown).alias("value"), href.alias("href"))
+        return F.when(cell["label"].isNotNull() & cell["body"].isNotNull(), row)
 
-    fields = F.filter(F.transform(rows, read), lambda f: f["label"].isNotNull())
-    return deduplicate(fields, lambda f, _i: f["label"], keep="last")
+    tables = H.containers(let(html, without_credits), "table", 'id="album_infobit_large"')
+    rows = F.flatten(F.transform(tables, lambda t: H.pieces(t["inner"], r"(?is)<tr\b[^>]*>")))
+    fields = F.transform(rows, lambda row: let(H.pieces(row, r"(?is)<td\b[^>]*>"), field))
+    return deduplicate(F.filter(fields, lambda f: f.isNotNull()), lambda f, _i: f["label"], keep="last")
 
 
 def info_value(fields: Column, label: str, part: str = "value") -> Column:
@@ -374,7 +378,7 @@ def credit_rows(html: Column, site: str = DEFAULT_SITE) -> Column:
     found = F.filter(F.transform(rows, read), lambda r: (r["role_raw"] != "") & r["cell"].isNotNull())
     return F.transform(
         found,
-        lambda r: F.struct(normalize_role(r["role_raw"]).alias("role"), r["role_raw"].alias("role_raw"), split_artists(r["cell"], site).alias("artists")),
+        lambda r: F.struct(normalize_role_once(r["role_raw"]).alias("role"), r["role_raw"].alias("role_raw"), split_artists(r["cell"], site).alias("artists")),
     )
 
 
@@ -391,11 +395,12 @@ def event_date(html: Column) -> Column:
 
 def _entities(pages: DataFrame, kind: str) -> DataFrame:
     """Clean pages of one kind that pass routing, with id, link and names."""
-    rows = cleaned(pages)
-    link = H.canonical_link(F.col("html"))
-    rows = rows.withColumn("link", link).withColumn("id", F.regexp_extract("link", f"/{kind}/(\\d+)", 1).try_cast("bigint"))
-    named = rows.where("id is not null").withColumn("names", entity_names(F.col("html"), F.lit(kind)))
-    return named.where(F.size("names") > 0)
+    def head(link: Column) -> Column:
+        entity = F.regexp_extract(link, f"/{kind}/(\\d+)", 1).try_cast("bigint")
+        return F.struct(entity.alias("id"), link.alias("link"), F.when(entity.isNotNull(), entity_names(F.col("html"), F.lit(kind))).alias("names"))
+
+    rows = computed(cleaned(pages), "_head", let(H.canonical_link(F.col("html")), head), lambda x: x["id"].isNotNull() & (F.size(x["names"]) > 0))
+    return rows.select("page_id", "html", "_head.*")
 
 
 def album_records(
@@ -403,7 +408,7 @@ def album_records(
 ) -> DataFrame:
     """Album documents, assembled inside each page row."""
     page = F.col("html")
-    rows = _entities(pages, "album").withColumn("info", info_fields(page))
+    rows = computed(_entities(pages, "album"), "info", info_fields(page))
     info = F.col("info")
     return rows.select(
         "page_id",
@@ -427,7 +432,7 @@ def _nothing(kind: str = "string") -> Column:
 
 
 def artist_records(pages: DataFrame, site: str = DEFAULT_SITE) -> DataFrame:
-    rows = _entities(pages, "artist").withColumn("fields", artist_fields(F.col("html")))
+    rows = computed(_entities(pages, "artist"), "fields", artist_fields(F.col("html")))
     body = lambda label: first(F.col("fields"), lambda f: f["label"] == label)["body"]
     none = F.array().cast("array<struct<names:map<string,string>,id:bigint,link:string>>")
     refs = {label: F.coalesce(references(body(label), "artist", ARTIST_CLASS, site), none) for label in ("Members", "Units")}
@@ -446,7 +451,7 @@ def organization_refs(pairs: Column, site: str) -> Column:
 
 
 def product_records(pages: DataFrame, site: str = DEFAULT_SITE) -> DataFrame:
-    rows = _entities(pages, "product").withColumn("pairs", label_pairs(F.col("html")))
+    rows = computed(_entities(pages, "product"), "pairs", label_pairs(F.col("html")))
     franchises = references(F.coalesce(definition(F.col("pairs"), "Franchises"), F.lit("")), "product", PRODUCT_CLASS, site, keep_query=False)
     return rows.select(
         "page_id", "id", "link", "names", _nothing().alias("type"), _nothing().alias("notes"),
@@ -455,7 +460,7 @@ def product_records(pages: DataFrame, site: str = DEFAULT_SITE) -> DataFrame:
 
 
 def organization_records(pages: DataFrame) -> DataFrame:
-    rows = _entities(pages, "org").withColumn("pairs", label_pairs(F.col("html")))
+    rows = computed(_entities(pages, "org"), "pairs", label_pairs(F.col("html")))
     shown = lambda label: blank_to_null(H.text(definition(F.col("pairs"), label)))
     return rows.select("page_id", "id", "link", "names", shown("Type").alias("type"), shown("Description").alias("notes"))
 
@@ -479,7 +484,7 @@ def search_query(html: Column) -> Column:
 def search_rows(pages: DataFrame, site: str = DEFAULT_SITE) -> DataFrame:
     """(page_id, query, rank, id, link, titles, catalog, release_date): one row per hit in page order."""
     box = H.container(F.col("html"), "div", 'id="albumresults"')
-    rows = cleaned(pages).select("page_id", search_query(F.col("html")).alias("query"), box.alias("box")).where("box is not null")
+    rows = computed(cleaned(pages), "box", box, lambda b: b.isNotNull()).select("page_id", search_query(F.col("html")).alias("query"), "box")
     hits = F.regexp_extract_all("box", F.lit(r'(?is)<tr\b(?=[^>]*\srel=)[^>]*>.*?(?=<tr\b|</table|\z)'), 0)
     linked = F.filter(hits, lambda h: h.rlike(r'(?is)<a\b[^>]*href="[^"]*/album/\d'))
     rows = rows.select("page_id", "query", F.posexplode(linked).alias("rank", "hit"))

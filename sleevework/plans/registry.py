@@ -58,12 +58,18 @@ def _needed(text: str, views: dict[str, str]) -> list[str]:
     return order
 
 
+def _deal(scan: DataFrame) -> str:
+    """A hint that spreads a scan too small to fill the cluster; nothing for a large one."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return f"/*+ REPARTITION({cores}) */" if scan.rdd.getNumPartitions() < cores else ""
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A shared view over the parquet tables, as one query without registering anything."""
     order = _needed(name, VIEWS)
     body = " ".join(VIEWS[n] for n in order)
     tables = [t for t in TABLES if re.search(rf"\b{t}\b", body)]
-    ctes = [f"{t} as (select * from parquet.`{sf_dir}/{t}.parquet`)" for t in tables]
+    ctes = [f"{t} as (select {_deal(table(spark, sf_dir, t))} * from parquet.`{sf_dir}/{t}.parquet`)" for t in tables]
     ctes += [f"{n} as ({VIEWS[n]})" for n in order]
     return spark.sql(f"with {', '.join(ctes)} select * from {name}")
 

@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no stack walk per column call
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sleevework.functions.core import group, let, positions, sections
+from sleevework.functions.core import computed, group, let, positions, sections
 from sleevework.functions.roles import has_role_keyword, normalize_role, normalize_role_once
 from sleevework.functions.text import is_blank, lines, notes_name_key, strip
 from sleevework.functions.tracks import inline_groups, parse_track_set, split_names
@@ -240,7 +240,8 @@ def _credits_by_track(notes: Column, numbers: Column) -> Column:
 
 def assemble_enrichment(albums: DataFrame, notes: str = "notes", numbers: str = "track_numbers") -> DataFrame:
     """(album_id, track_credits): the nested overlay, built inside each album row without a shuffle."""
-    return albums.select("album_id", _credits_by_track(F.col(notes), F.col(numbers)).alias("track_credits"))
+    overlay = _credits_by_track(F.col(notes), F.col(numbers))
+    return computed(albums.select("album_id", notes, numbers), "track_credits", overlay).select("album_id", "track_credits")
 
 
 def is_empty(track_credits: Column) -> Column:

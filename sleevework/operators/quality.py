@@ -82,12 +82,12 @@ def canonical_external(payloads: DataFrame, payload: str = "payload") -> DataFra
 
 
 def _status(golden: Column, source: Column) -> Column:
-    g, s = normalize_value(golden), normalize_value(source)
+    """Outcome for two normalized values."""
     return (
-        F.when(g.isNull() & s.isNull(), "absent")
-        .when(g.isNull(), "extra")
-        .when(s.isNull(), "missing")
-        .when(g == s, "match")
+        F.when(golden.isNull() & source.isNull(), "absent")
+        .when(golden.isNull(), "extra")
+        .when(source.isNull(), "missing")
+        .when(golden == source, "match")
         .otherwise("mismatch")
     )
 
@@ -101,7 +101,9 @@ def score(sources: DataFrame, golden: DataFrame) -> DataFrame:
     present = sources.select("source", "album_id").distinct()
     expected = golden.select("album_id", "field", F.col("value").alias("golden"), F.col("ord").alias("golden_ord")).join(present, "album_id")
     both = expected.join(sources, ["source", "album_id", "field"], "full_outer")
-    status = _status(F.col("golden"), F.col("value"))
+    # normalized after the join, once per row, so that the shuffle carries the raw values only
+    both = both.withColumns({"_golden": normalize_value(F.col("golden")), "_value": normalize_value(F.col("value"))})
+    status = _status(F.col("_golden"), F.col("_value"))
     return both.select("source", "album_id", "field", "golden", "value", status.alias("status"), "golden_ord", "ord")
 
 
@@ -191,7 +193,8 @@ def _match_large_groups(keys: Sequence[str]):
     """Grouped pandas function with one queue of produced credits per name: linear in the group."""
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ord", "tie"], kind="stable")
+        plain = lambda v: v if isinstance(v, str) or not hasattr(v, "__len__") else tuple(v)
+        pdf = pdf.assign(ord=pdf["ord"].map(plain), key=pdf["key"].map(tuple)).sort_values(["ord", "key"], kind="stable")
         queues: dict[str, list[int]] = {}
         produced = pdf[~pdf["is_golden"]]["key"].tolist()
         for j, key in enumerate(produced):
@@ -221,8 +224,10 @@ def _match_large_groups(keys: Sequence[str]):
 def match_credits(produced: DataFrame, golden: DataFrame, keys: Sequence[str] = ("album_id", "track")) -> DataFrame:
     """(keys..., matched, produced, golden) for credits (keys..., ord, role, names array).
 
-    ``ord`` is any sortable value. Both inputs are read several times: hand in tables, or results
-    that were materialized. Golden credits in order each take the first free produced credit of the same role that shares a
+    ``ord`` is a number, a text or an array of numbers. Both inputs are read several times: hand in
+    tables, or results that were materialized.
+
+    Golden credits in order each take the first free produced credit of the same role that shares a
     name (or is nameless like itself). Three exact routes, from common to rare:
 
     * a name that occurs only in one-name credits makes its credits interchangeable, so the number
@@ -234,35 +239,32 @@ def match_credits(produced: DataFrame, golden: DataFrame, keys: Sequence[str] =
     group = [*keys, "role"]
     shape = [*keys, "role", "ord", _match_key(F.col("names")).alias("key")]
     both = produced.select(*shape, F.lit(False).alias("is_golden")).unionByName(golden.select(*shape, F.lit(True).alias("is_golden")))
-    both = both.withColumn("tie", F.array_join("key", "|"))
 
     # one row per (group, key) from here on, however many credits repeat it
-    counted = both.groupBy(*group, "tie").agg(
-        F.first("key").alias("key"), F.count_if("is_golden").alias("g"), F.count_if(~F.col("is_golden")).alias("p")
-    )
-    several = counted.where(F.size("key") > 1)
-    entangled_names = several.select(*group, F.explode("key").alias("tie")).distinct()
-    plain = counted.where(F.size("key") <= 1).join(entangled_names, [*group, "tie"], "left_anti")
-    totals = counted.select(*keys, F.lit(0).cast("bigint").alias("matched"), F.col("p").alias("produced"), F.col("g").alias("golden"))
+    counted = both.groupBy(*group, "key").agg(F.count_if("is_golden").alias("g"), F.count_if(~F.col("is_golden")).alias("p"))
+    shared = counted.where(F.size("key") > 1).select(*group, F.explode("key").alias("name")).select(*group, F.array("name").alias("key"))
+    marked = counted.join(shared.distinct().withColumn("shared", F.lit(True)), [*group, "key"], "left")
+    is_entangled = F.col("shared").isNotNull() | (F.size("key") > 1)
     zero = F.lit(0).cast("bigint")
-    simple = plain.select(*keys, F.least("g", "p").alias("matched"), zero.alias("produced"), zero.alias("golden"))
-
-    entangled_keys = entangled_names.unionByName(several.select(*group, "tie"))
-    entangled = both.join(entangled_keys, [*group, "tie"], "left_semi")
-    sizes = entangled.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.where(F.col("n") > FOLD_LIMIT).select(*group)
-    item = F.struct("ord", "tie", "key")
-    small_groups = entangled.join(large, group, "left_anti").groupBy(*group).agg(
+    simple_matches = F.when(is_entangled, zero).otherwise(F.least("g", "p"))
+    simple = marked.select(*keys, simple_matches.alias("matched"), F.col("p").alias("produced"), F.col("g").alias("golden"))
+
+    # the entangled credits themselves, with the size of their group; keys are unique on the right
+    tangled = marked.where(is_entangled).select(*group, "key", (F.col("g") + F.col("p")).alias("n"))
+    sizes = tangled.groupBy(*group).agg(F.sum("n").alias("size"))
+    rows = both.join(tangled.drop("n").join(sizes, group), [*group, "key"])
+    item = F.struct("ord", "key")
+    small_groups = rows.where(F.col("size") <= FOLD_LIMIT).groupBy(*group).agg(
         F.array_sort(F.collect_list(F.when(F.col("is_golden"), item))).alias("gs"),
         F.array_sort(F.collect_list(F.when(~F.col("is_golden"), item))).alias("ps"),
     )
     folded = small_groups.select(*keys, _fold_matches(F.col("gs"), F.col("ps")).alias("matched"), zero.alias("produced"), zero.alias("golden"))
-    types = {f.name: f.dataType.simpleString() for f in entangled.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in both.schema.fields}
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", matched bigint"
-    linear = entangled.join(large, group, "left_semi").groupBy(*group).applyInPandas(_match_large_groups(keys), schema)
+    linear = rows.where(F.col("size") > FOLD_LIMIT).drop("size").groupBy(*group).applyInPandas(_match_large_groups(keys), schema)
     linear = linear.select(*keys, "matched", zero.alias("produced"), zero.alias("golden"))
 
-    parts = totals.unionByName(simple).unionByName(folded).unionByName(linear)
+    parts = simple.unionByName(folded).unionByName(linear)
     return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("matched", "produced", "golden")])
 
 

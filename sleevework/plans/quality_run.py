@@ -14,7 +14,7 @@ from sleevework.session import durable
 
 def matching_columns(credits: DataFrame, *labels: str) -> DataFrame:
     """What matching reads of mined credits: the key, the order in the notes, role and names."""
-    return credits.select(*labels, "album_id", "track", F.struct("pos", "grp").alias("ord"), "role", "names")
+    return credits.select(*labels, "album_id", "track", F.array("pos", "grp").alias("ord"), "role", "names")
 
 
 def quality_run(

@@ -96,7 +96,8 @@ def role_rules(spark: SparkSession) -> DataFrame:
     """The keywords as a table: a fixed 43-row dimension, safe to broadcast."""
     rows = [(0, text, True, role) for text, role in EXACT_ROLES.items()]
     rows += [(i, word, False, role) for i, (word, role) in enumerate(ROLE_KEYWORDS.items(), 1)]
-    return spark.createDataFrame(rows, "priority int, keyword string, exact boolean, role string")
+    values = ", ".join(f"({p}, '{w}', {str(e).lower()}, '{r}')" for p, w, e, r in rows)
+    return spark.sql(f"select * from values {values} as rules(priority, keyword, exact, role)")
 
 
 def normalize_role_by_table(labels: DataFrame, label: str, rules: DataFrame) -> DataFrame:

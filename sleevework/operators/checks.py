@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 def min_rows(entries: DataFrame, floors: Mapping[str, int], section: str = "section") -> DataFrame:
     """(section, n, floor) of sections with too few rows, also of those without any."""
-    spark = entries.sparkSession
-    wanted = spark.createDataFrame(list(floors.items()), f"{section} string, floor bigint")
+    pairs = [F.struct(F.lit(name).alias(section), F.lit(floor).cast("bigint").alias("floor")) for name, floor in floors.items()]
+    wanted = entries.sparkSession.range(1).select(F.inline(F.array(*pairs)))
     # both sides hold one row per section at this point
     counts = entries.groupBy(section).agg(F.count(F.lit(1)).alias("n"))
     joined = wanted.join(counts, section, "left").withColumn("n", F.coalesce("n", F.lit(0)))

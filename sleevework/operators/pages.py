@@ -77,7 +77,7 @@ def entity_names(html: Column, kind: Column) -> Column:
     )
 
 
-def route_pages(pages: DataFrame) -> DataFrame:
+def route_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """(page_id, kind, entity_id, link, names, reason): reason is NULL for pages worth extracting.
 
     The canonical link decides kind and id; without it, or without a name, the page is a reject.
@@ -100,7 +100,7 @@ def route_pages(pages: DataFrame) -> DataFrame:
         .when(F.col("entity_id").isNull(), "no entity id")
         .when(F.size("names") == 0, "no name")
     )
-    return rows.select("page_id", "kind", "entity_id", "link", "names", reason.alias("reason"))
+    return rows.select("page_id", *keep, "kind", "entity_id", "link", "names", reason.alias("reason"))
 
 
 # -- references ------------------------------------------------------------------------------------
@@ -506,24 +506,27 @@ def search_rows(pages: DataFrame, site: str = DEFAULT_SITE) -> DataFrame:
 
 
 def edges(albums: DataFrame | None = None, artists: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
-    """(src_kind, src, rel, pos, dst_kind, dst_id, names, link) of entity records, document order."""
+    """(src_kind, src, rel, pos, dst_kind, dst_id, names, link) of entity records, document order.
 
-    def rows(records: DataFrame, src_kind: str, dst_kind: str, rel: str, refs: Column) -> DataFrame:
-        exploded = records.select(F.col("id").alias("src"), F.posexplode(refs).alias("pos", "r")).where(F.size("r.names") > 0)
-        return exploded.select(
-            F.lit(src_kind).alias("src_kind"), "src", F.lit(rel).alias("rel"), "pos", F.lit(dst_kind).alias("dst_kind"),
-            F.col("r.id").alias("dst_id"), "r.names", "r.link",
-        )
+    All references of a record leave in one explode, so a page is parsed once for all its relations.
+    """
+
+    def labelled(rel: str, dst_kind: str, refs: Column) -> Column:
+        return F.transform(refs, lambda r, i: F.struct(F.lit(rel).alias("rel"), i.alias("pos"), F.lit(dst_kind).alias("dst_kind"), r.alias("ref")))
+
+    def rows(records: DataFrame, src_kind: str, *relations: Column) -> DataFrame:
+        found = F.filter(F.concat(*relations), lambda e: F.size(e["ref"]["names"]) > 0)
+        exploded = records.select(F.lit(src_kind).alias("src_kind"), F.col("id").alias("src"), F.explode(found).alias("e"))
+        return exploded.select("src_kind", "src", "e.rel", "e.pos", "e.dst_kind", F.col("e.ref.id").alias("dst_id"), "e.ref.names", "e.ref.link")
 
     parts = []
     if albums is not None:
-        parts.append(rows(albums, "album", "artist", "credit", F.flatten(F.transform("credits", lambda c: c["artists"]))))
-        parts.append(rows(albums, "album", "event", "release_event", F.array_compact(F.array("release_event"))))
+        credited = F.flatten(F.transform("credits", lambda c: c["artists"]))
+        parts.append(rows(albums, "album", labelled("credit", "artist", credited), labelled("release_event", "event", F.array_compact(F.array("release_event")))))
     if artists is not None:
-        parts += [rows(artists, "artist", "artist", rel, F.col(rel)) for rel in ("members", "units")]
+        parts.append(rows(artists, "artist", *[labelled(rel, "artist", F.col(rel)) for rel in ("members", "units")]))
     if products is not None:
-        parts.append(rows(products, "product", "product", "franchises", F.col("franchises")))
-        parts.append(rows(products, "product", "org", "organizations", F.col("organizations")))
+        parts.append(rows(products, "product", labelled("franchises", "product", F.col("franchises")), labelled("organizations", "org", F.col("organizations"))))
     out = parts[0]
     for more in parts[1:]:
         out = out.unionByName(more)

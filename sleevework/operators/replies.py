@@ -16,8 +16,11 @@ from sleevework.functions.localized import to_text
 from sleevework.functions.loose_json import is_kind
 from sleevework.functions.roles import normalize_role
 
+# Output modes, the tool, the default model and template, and the texts sent with them.
 OUTPUT_MODES = ("json_object", "json_schema", "tool")
 TOOL_NAME = "emit_enrichment"
+TOOL_DESCRIPTION = "Return per-track credits."
+CORRECTION = ("Your previous response was invalid (", "). Respond with ONLY JSON matching the schema.")
 DEFAULT_MODEL = "gpt-4o-mini"
 DEFAULT_TEMPLATE = "Tracklist:\n{tracklist}\n\nNotes:\n{notes}"
 DEFAULT_SYSTEM_PROMPT = (
@@ -74,7 +77,7 @@ def messages(system: Column, user: Column) -> Column:
 
 
 def corrective_message(reason: Column) -> Column:
-    content = F.concat(F.lit("Your previous response was invalid ("), reason, F.lit("). Respond with ONLY JSON matching the schema."))
+    content = F.concat(F.lit(CORRECTION[0]), reason, F.lit(CORRECTION[1]))
     return F.struct(F.lit("user").alias("role"), content.alias("content"))
 
 
@@ -88,7 +91,7 @@ def request_rows(prompts: DataFrame, mode: str = "json_object", model: str = DEF
         wanted = F.struct(F.lit("enrichment").alias("name"), schema.alias("schema"), F.lit(False).alias("strict"))
         fields.append(F.struct(F.lit("json_schema").alias("type"), wanted.alias("json_schema")).alias("response_format"))
     elif mode == "tool":
-        function = F.struct(F.lit(TOOL_NAME).alias("name"), F.lit("Return per-track credits.").alias("description"), schema.alias("parameters"))
+        function = F.struct(F.lit(TOOL_NAME).alias("name"), F.lit(TOOL_DESCRIPTION).alias("description"), schema.alias("parameters"))
         fields.append(F.array(F.struct(F.lit("function").alias("type"), function.alias("function"))).alias("tools"))
         fields.append(F.struct(F.lit("function").alias("type"), F.struct(F.lit(TOOL_NAME).alias("name")).alias("function")).alias("tool_choice"))
     else:

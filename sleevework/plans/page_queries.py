@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sleevework.functions import html as H
+from sleevework.functions import web
 from sleevework.functions.core import blank_to_null
 from sleevework.operators import pages as P
 from sleevework.plans import composed_pages as pages
-from sleevework.plans.registry import CHECK_VIEWS, query, view
+from sleevework.plans.registry import CHECK_VIEWS, query, table, view
 from sleevework.sources.scan import balanced, scan_pages
 
 CHECK_VIEWS["x_clean"] = """
@@ -93,9 +94,6 @@ union all select o_orderkey, -1, {_ABSOLUTE.format(h='h')}, {_ABSOLUTE.format(h=
 from (select o_orderkey, case o_orderkey % 4 when 0 then '' when 1 then concat('org/', o_orderkey, '?tab=x') when 2 then concat('http://a.org/', o_orderkey, '?q=1?2') else null end as h from orders) t
 """)
 def absolute_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sleevework.functions import web
-    from sleevework.plans.registry import table
-
     real = P.page_links(_real(spark, sf_dir)).select("page_id", *_big("pos"), "link", "ref")
     href = F.expr("case o_orderkey % 4 when 0 then '' when 1 then concat('org/', o_orderkey, '?tab=x') when 2 then concat('http://a.org/', o_orderkey, '?q=1?2') end")
     made = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page_id"), F.lit(-1).cast("bigint").alias("pos"), href.alias("h"))
@@ -134,9 +132,9 @@ def route_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     out = None
     for name, make in inputs.items():
-        routed = P.route_pages(make(spark, sf_dir)).select(F.lit(name).alias("page_kind"), "page_id", "kind", "entity_id", "reason")
-        out = routed if out is None else out.unionByName(routed)
-    return out
+        rows = make(spark, sf_dir).withColumn("page_kind", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return P.route_pages(out, keep=("page_kind",)).select("page_kind", "page_id", "kind", "entity_id", "reason")
 
 
 @query("p4_localized_text", """

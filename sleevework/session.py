@@ -29,12 +29,13 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
 def durable(df: DataFrame) -> DataFrame:
     """Materialize a result that several outputs read, so that a lost executor costs no re-run.
 
-    Reliable checkpoint in the shared folder the cluster names; only a session without one (a test)
-    gets a temporary folder.
+    A reliable checkpoint in the shared folder that ``spark.checkpoint.dir`` names. Only a local
+    session without that setting (a test) gets a temporary folder; a cluster must name one.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sleevework-checkpoint-"))
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sleevework-checkpoint-"))
     return df.checkpoint(eager=True)

@@ -9,6 +9,7 @@ from sleevework.functions.core import blank_to_null
 
 # The characters counted as whitespace, and the line ends.
 SPACE = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+SPACE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 LINE_END = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 
 # Japanese/CJK script for page text (with full-width forms) and for notes (without).
@@ -17,7 +18,7 @@ NOTES_CJK = "[\\u3040-\\u30ff\\u3400-\\u4dbf\\u4e00-\\u9fff]"
 
 
 def strip(value: Column) -> Column:
-    return F.regexp_replace(value, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(value, F.lit(SPACE_CHARS))
 
 
 def is_blank(value: Column) -> Column:

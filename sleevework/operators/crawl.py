@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sleevework.functions.web import quote_plus
@@ -60,14 +61,26 @@ def latest_pages(pages: DataFrame, key: str = "key", at: str = "captured_at") ->
     return pages.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
 
 
+def stored_pages(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest capture of every stored page; None while nothing is stored."""
+    try:
+        return latest_pages(spark.read.parquet(path))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def sink_pages(pages: DataFrame, path: str, *, overwrite: bool = False) -> None:
-    """Store captured pages by kind; bodies are kept byte for byte.
+    """Add captured pages (key, kind, captured_at, html) to a store partitioned by kind.
 
-    Overwriting replaces the pages of the kinds at hand by their newest captures.
+    Bodies are kept byte for byte and files are only ever added, so a failed run leaves the store as
+    it was. A page that is stored already is skipped, or with ``overwrite`` superseded by the newer
+    capture when the store is read.
     """
-    rows = latest_pages(pages) if overwrite else pages
-    writer = rows.write.partitionBy("kind").mode("overwrite" if overwrite else "append")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    stored = None if overwrite else stored_pages(pages.sparkSession, path)
+    rows = pages if stored is None else skip_existing(pages, stored.select("key"))
+    rows.write.partitionBy("kind").mode("append").parquet(path)
 
 
 def retry_outcome(log: DataFrame, max_retries: int) -> DataFrame:

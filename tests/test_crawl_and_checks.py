@@ -34,13 +34,14 @@ def test_pages_are_stored_unchanged_and_latest_wins(spark, tmp_path):
     path = str(tmp_path / "pages")
     schema = "key string, kind string, captured_at bigint, html string"
     first = spark.createDataFrame([("album/1", "album", 1, "<p>\r\né</p>"), ("org/1", "org", 1, "o")], schema)
+    assert C.stored_pages(spark, path) is None
     C.sink_pages(first, path)
-    newer = spark.createDataFrame([("album/1", "album", 2, "new"), ("album/1", "album", 3, "newest")], schema)
-    C.sink_pages(newer, path, overwrite=True)
-    rows = {(r["key"], r["html"]) for r in spark.read.parquet(path).collect()}
-    assert rows == {("album/1", "newest"), ("org/1", "o")}
-    C.sink_pages(first, path)
-    assert "<p>\r\né</p>" in {r["html"] for r in spark.read.parquet(path).collect()}
+    C.sink_pages(spark.createDataFrame([("album/1", "album", 2, "skipped"), ("album/2", "album", 2, "added")], schema), path)
+    stored = {(r["key"], r["html"]) for r in C.stored_pages(spark, path).collect()}
+    assert stored == {("album/1", "<p>\r\né</p>"), ("album/2", "added"), ("org/1", "o")}
+    C.sink_pages(spark.createDataFrame([("album/1", "album", 3, "new"), ("album/1", "album", 4, "newest")], schema), path, overwrite=True)
+    stored = {(r["key"], r["html"]) for r in C.stored_pages(spark, path).collect()}
+    assert stored == {("album/1", "newest"), ("album/2", "added"), ("org/1", "o")}
 
 
 def test_html_folder(spark, tmp_path):

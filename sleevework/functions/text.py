@@ -27,7 +27,8 @@ def is_blank(value: Column) -> Column:
 
 def collapse(value: Column) -> Column:
     """Runs of whitespace become one space; none at either end."""
-    return F.trim(F.regexp_replace(value, f"{SPACE}+", " "))
+    # single spaces are left alone, so ordinary prose is scanned without being rewritten
+    return F.trim(F.regexp_replace(value, f" {SPACE}+|[{SPACE}&&[^ ]]{SPACE}*", " "))
 
 
 def casefold(value: Column) -> Column:

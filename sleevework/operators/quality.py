@@ -169,7 +169,7 @@ FOLD_LIMIT = 64  # larger entangled groups are matched in linear time instead of
 
 def _match_key(names: Column) -> Column:
     """Distinct casefolded non-empty names, sorted: the part of a credit that matching looks at."""
-    folded = F.filter(F.transform(names, casefold), lambda n: n != "")
+    folded = F.filter(F.transform(F.coalesce(names, F.array().cast("array<string>")), casefold), lambda n: n != "")
     return F.array_sort(F.array_distinct(folded))
 
 

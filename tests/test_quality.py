@@ -87,6 +87,13 @@ def test_matching_large_group_with_array_order(spark, monkeypatch):
     assert [tuple(r) for r in Q.match_credits(df, df).collect()] == [(1, 1, 3, 3, 3)]
 
 
+def test_credits_without_names_match_on_their_role(spark):
+    rows = [(1, 1, 1, "composer", None), (1, 1, 2, "composer", []), (1, 1, 3, "arranger", [""]), (1, 1, 4, "arranger", ["a"])]
+    other = [(1, 1, 1, "composer", [""]), (1, 1, 2, "arranger", None), (1, 1, 3, "performer", [])]
+    got = Q.match_credits(spark.createDataFrame(rows, CREDIT), spark.createDataFrame(other, CREDIT)).collect()
+    assert [tuple(r) for r in got] == [(1, 1, 2, 4, 3)]
+
+
 def test_one_track_with_most_credits_is_only_counted(spark):
     rows = spark.range(200000).select(
         F.lit(1).cast("bigint").alias("album_id"), F.lit(1).cast("bigint").alias("track"), F.col("id").alias("ord"), F.lit("composer").alias("role"),

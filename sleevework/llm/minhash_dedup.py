@@ -19,6 +19,9 @@ PERCENT = 85
 #: Share of its own retained values that a linked document shares at least. For a pair at the threshold the number
 #: of shared values of two full sketches is at least a binomial (64, 0.85) draw; 39 or more is 5.3 deviations below its mean.
 LEAST_SHARED = 0.6
+#: The wide sketches of step 3 have so many values: the whole set, and so an exact answer, for sets up to that size.
+WIDE = 256
+LEAST_WIDE = 0.73  # as LEAST_SHARED, for wide sketches: 187 or more of 256 is 5.3 deviations below the mean
 BATCH_BYTES = 8 << 20
 BLOCK = 512  # members of a list that are compared in one task
 
@@ -66,11 +69,10 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(value, cid, shared): the rare values of each class that other classes retain as well.
+    """(cid, k, shared, first, weight): the retained values that a class shares with any other, the rarest first.
 
-    ``shared`` has all the values that the class shares with any other, the rarest first; a value that a linked
-    class must share with it is among the first ``p`` of its retained values in that order, and only these make a
-    row. Values that nobody else retains come first in the order and make no rows.
+    A linked class shares one of the first ``first`` of them: with values that nobody else retains ahead of all,
+    two sketches that share ``LEAST_SHARED`` of the ``k`` values of either meet within the first 40 percent.
     """
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,7 +87,44 @@ def _postings(classes: DataFrame) -> DataFrame:
     held = spread_out.join(often, "value").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("n", "value"))).alias("held"), F.max("k").alias("k"))
     first = F.greatest(F.lit(0), F.expr(f"k - cast(ceil({LEAST_SHARED} * k) as int) + 1 - (k - size(held))")).cast("int")
     held = held.select("cid", "k", F.transform("held", lambda h: h["value"]).alias("shared"), first.alias("first"), F.aggregate("held", F.lit(0).cast("long"), lambda s, h: s + h["n"]).alias("weight")).where("first > 0")
-    return held.select("cid", "k", "shared", "first", "weight", F.explode(F.slice("shared", F.lit(1), F.col("first"))).alias("value"))
+    return held
+
+
+def _overlap(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many values each of ``x`` has in common with each of ``y``."""
+    vx, vy = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (x, y))
+    kinds, codes = np.unique(np.concatenate([vx, vy]), return_inverse=True)
+    both = np.isin(kinds, vx, assume_unique=False) & np.isin(kinds, vy)
+    column = np.cumsum(both) - 1
+    out = []
+    for values, part in ((x, codes[: len(vx)]), (y, codes[len(vx) :])):
+        row = np.repeat(np.arange(len(values)), [len(v) for v in values])
+        held = np.zeros((len(values), int(both.sum())), np.float32)
+        use = both[part]
+        held[row[use], column[part[use]]] = 1
+        out.append(held)
+    return out[0] @ out[1].T
+
+
+def _arrays(table: pa.Table, name: str) -> list[np.ndarray]:
+    return [np.array(v, np.int64) for v in table[name].to_pylist()]
+
+
+def _candidates(x: pa.Table, y: pa.Table) -> np.ndarray:
+    """Which pairs of members of one list may be linked and meet in no list before this one.
+
+    Lists are in the order of the shared values, the rarest first; what stands before this list's value in either
+    member's order are the lists it was in before.
+    """
+    value = x["value"][0].as_py()
+    sx, sy = _arrays(x, "shared"), _arrays(y, "shared")
+    before = _overlap(*([v[: int(np.flatnonzero(v == value)[0])] for v in side] for side in (sx, sy)))
+    need = np.ceil(LEAST_SHARED * np.minimum.outer(x["k"].to_numpy(), y["k"].to_numpy()))
+    nx, ny = x["n"].to_numpy(), y["n"].to_numpy()
+    sizes = 100 * np.minimum.outer(nx, ny) >= PERCENT * np.maximum.outer(nx, ny)
+    apart = x["comp"].to_numpy()[:, None] != y["comp"].to_numpy()[None, :]
+    once = ~y["outside"].to_numpy()[None, :] | (x["cid"].to_numpy()[:, None] < y["cid"].to_numpy()[None, :])
+    return (before == 0) & sizes & apart & once & (_overlap(sx, sy) >= need)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -134,8 +173,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     2. Classes that share a rare retained value meet in the list of that value. In every list all members are
        held against one centre, the class whose values are the most frequent; verified links give components.
     3. Lists that still hold several components compare, in blocks of bounded size, the members outside the
-       list's main component with all others, by their shared values. What may be linked is estimated by the
-       union of the sketches and verified on the full sets. Members of one component need no comparison.
+       list's main component with all others: first by their shared values, which only marks the members that
+       have a candidate, then the marked ones by wide sketches. Only pairs that these confirm leave a block, to
+       be estimated and verified as in 2. Members of one component need no comparison.
 
     Linked pairs are lost only if their sketches share less than ``LEAST_SHARED`` of the values, see there.
     """
@@ -147,9 +187,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = worded.join(sets_seen, ["n", "one", "two"]).where("doc_id = least").select("n", "one", "two", "least", "sketch").distinct()
     classes = saved(own.withColumn("cid", F.xxhash64("n", "one", "two")), "near-own")
 
-    lists = saved(_postings(classes), "near-lists")
+    postings = saved(_postings(classes), "near-postings")
+    lists = postings.select("cid", "weight", F.explode(F.slice("shared", F.lit(1), F.col("first"))).alias("value"))
     sizes = lists.groupBy("value").agg(F.count("*").alias("size"), F.max(F.struct("weight", "cid"))["cid"].alias("centre")).where("size > 1")
-    shared = saved(lists.join(sizes, "value"), "near-shared")
+    shared = saved(lists.join(sizes, "value").select("value", "cid", "centre"), "near-lists")
 
     involved = shared.select("cid").distinct().join(classes.select("cid", "n", "one", "two", "least"), "cid")
     texts = docs.select(F.col(id_col).cast("long").alias("least"), text_of(text_col).alias("text")).join(involved, "least")
@@ -157,50 +198,67 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _in_parts(batches):
             prints = zip(*(part.column(c).to_pylist() for c in ("n", "one", "two")))
-            found = [codes.tobytes() if (len(codes), *_print(codes)) == known else None for codes, known in zip(_shingles(part.column("text")), prints)]
-            yield pa.RecordBatch.from_arrays([part.column("cid"), pa.array(found, pa.binary())], ["cid", "codes"])
+            found = [codes if (len(codes), *_print(codes)) == known else None for codes, known in zip(_shingles(part.column("text")), prints)]
+            full = pa.array([None if c is None else c.tobytes() for c in found], pa.binary())
+            wide = pa.array([None if c is None else np.sort(mix(c))[:WIDE].astype(np.uint32).tobytes() for c in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("cid"), full, wide], ["cid", "codes", "wide"])
 
-    sets = texts.select("cid", "n", "one", "two", "text").mapInArrow(full_sets, "cid long, codes binary").where("codes is not null")
-    sets = saved(sets.dropDuplicates(["cid"]), "near-sets")
+    sets = texts.select("cid", "n", "one", "two", "text").mapInArrow(full_sets, "cid long, codes binary, wide binary").where("codes is not null")
+    stored = saved(sets.dropDuplicates(["cid"]), "near-sets")
+    sets = stored.select("cid", "codes")
 
     spokes = shared.where("cid <> centre").select(F.least("cid", "centre").alias("a"), F.greatest("cid", "centre").alias("b")).distinct()
     links = saved(_verified(spokes, classes, sets), "near-links")
     met = components(links, "near-met").withColumnsRenamed({"node": "cid", "root": "comp"})
 
-    members = shared.join(met, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    members = saved(members.select("value", "cid", "k", "shared", "comp"), "near-members")
-    by_comp = members.groupBy("value", "comp").agg(F.count("*").alias("n"))
-    main = by_comp.groupBy("value").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count("*").alias("comps"), F.sum("n").alias("size")).where("comps > 1")
-    main = main.join(by_comp.select("value", F.col("comp").alias("main"), F.col("n").alias("main_n")), ["value", "main"])
-    open_lists = members.join(main, "value").withColumn("outside", F.col("comp") != F.col("main"))
-    outer_blocks, all_blocks = F.expr(f"cast((size - main_n - 1) div {BLOCK} as int)"), F.expr(f"cast((size - 1) div {BLOCK} as int)")
-    cols = ["value", "cid", "k", "shared", "comp"]
+    members = saved(shared.join(met, "cid", "left").select("value", "cid", F.coalesce("comp", "cid").alias("comp")), "near-members")
+    by_comp = members.groupBy("value", "comp").agg(F.count("*").alias("in_comp"))
+    main = by_comp.groupBy("value").agg(F.max(F.struct("in_comp", "comp")).alias("main"), F.count("*").alias("comps"), F.sum("in_comp").alias("size")).where("comps > 1")
+    main = main.select("value", "size", F.col("main.comp").alias("main"), (F.col("size") - F.col("main.in_comp")).alias("rest"))
+    facts = postings.select("cid", "k", "shared").join(classes.select("cid", "n"), "cid")
+    open_lists = saved(members.join(main, "value").withColumn("outside", F.col("comp") != F.col("main")).drop("main"), "near-open")
+    rest_blocks, all_blocks = F.expr(f"cast((rest - 1) div {BLOCK} as int)"), F.expr(f"cast((size - 1) div {BLOCK} as int)")
     place = F.xxhash64("cid")
-    left = open_lists.where("outside").select(*cols, F.pmod(place, outer_blocks + 1).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), all_blocks)).alias("j"))
-    right = open_lists.select(*[F.col(c).alias(c) for c in cols], F.explode(F.sequence(F.lit(0), outer_blocks)).alias("i"), F.pmod(place, all_blocks + 1).cast("int").alias("j"))
-
-    def meet(x: pa.Table, y: pa.Table) -> pa.Table:
+    cols = ["value", "cid", "comp", "outside"]
+    left = open_lists.where("outside").select(*cols, F.pmod(place, rest_blocks + 1).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), all_blocks)).alias("j"))
+    right = open_lists.select(*cols, F.explode(F.sequence(F.lit(0), rest_blocks)).alias("i"), F.pmod(place, all_blocks + 1).cast("int").alias("j"))
+    key = ["value", "i", "j"]
+
+    def grid(side: DataFrame, *more: DataFrame):
+        for facts_ in (facts, *more):
+            side = side.join(facts_, "cid")
+        return side.toDF(*side.columns).groupBy(*key)
+
+    def flag(x: pa.Table, y: pa.Table) -> pa.Table:
+        """The members that have a candidate in this block; one row for each, whatever the number of pairs."""
+        schema = pa.schema([("value", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("cid", pa.int64()), ("comp", pa.int64()), ("outside", pa.bool_()), ("is_left", pa.bool_())])
+        if not x.num_rows or not y.num_rows:
+            return schema.empty_table()
+        pairs = _candidates(x, y)
+        parts = []
+        for side, some, is_left in ((x, pairs.any(axis=1), True), (y, pairs.any(axis=0), False)):
+            chosen = side.filter(pa.array(some)).select(["value", "i", "j", "cid", "comp", "outside"])
+            parts.append(chosen.append_column("is_left", pa.array([is_left] * chosen.num_rows, pa.bool_())).cast(schema))
+        return pa.concat_tables(parts)
+
+    def estimate(x: pa.Table, y: pa.Table) -> pa.Table:
+        """The candidates of a block whose wide sketches agree; for sets that these hold in full, the links."""
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         if not x.num_rows or not y.num_rows:
             return schema.empty_table()
-        def flat(t):
-            values = t["shared"].combine_chunks()
-            values = values.chunk(0) if isinstance(values, pa.ChunkedArray) else values
-            return np.repeat(np.arange(t.num_rows), np.diff(values.offsets.to_numpy())), values.flatten().to_numpy()
-        (rx, vx), (ry, vy) = flat(x), flat(y)
-        kinds, codes = np.unique(np.concatenate([vx, vy]), return_inverse=True)
-        mx, my = np.zeros((x.num_rows, len(kinds)), np.float32), np.zeros((y.num_rows, len(kinds)), np.float32)
-        mx[rx, codes[: len(vx)]] = 1
-        my[ry, codes[len(vx) :]] = 1
-        common = mx @ my.T
-        kx, ky = x["k"].to_numpy(), y["k"].to_numpy()
-        need = np.ceil(LEAST_SHARED * np.minimum.outer(kx, ky))
-        cx, cy = x["comp"].to_numpy(), y["comp"].to_numpy()
-        at, to = np.nonzero((common >= need) & (cx[:, None] != cy[None, :]))
+        wide = [[np.frombuffer(v, np.uint32).astype(np.int64) for v in t["wide"].to_pylist()] for t in (x, y)]
+        common, nx, ny = _overlap(*wide), x["n"].to_numpy(), y["n"].to_numpy()
+        exact = 100 * common >= PERCENT * (nx[:, None] + ny[None, :] - common)
+        likely = common >= np.ceil(LEAST_WIDE * np.minimum(np.minimum.outer(nx, ny), WIDE))
+        at, to = np.nonzero(_candidates(x, y) & np.where(np.maximum.outer(nx, ny) <= WIDE, exact, likely))
         a, b = x["cid"].to_numpy()[at], y["cid"].to_numpy()[to]
         return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=schema)
 
-    likely = left.groupBy("value", "i", "j").cogroup(right.toDF(*right.columns).groupBy("value", "i", "j")).applyInArrow(meet, "a long, b long").distinct()
+    flagged = grid(left).cogroup(grid(right)).applyInArrow(flag, "value long, i int, j int, cid long, comp long, outside boolean, is_left boolean")
+    flagged = saved(flagged, "near-flagged")
+    wide = stored.select("cid", "wide")
+    sides = [flagged.where(F.col("is_left") == x).drop("is_left") for x in (True, False)]
+    likely = grid(sides[0], wide).cogroup(grid(sides[1], wide)).applyInArrow(estimate, "a long, b long").distinct()
     more = saved(_verified(likely, classes, sets), "near-links")
 
     ids = saved(drawn.join(classes.select("n", "one", "two", "cid", "least"), ["n", "one", "two"], "left").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("cid")).alias("cid")), "near-ids")

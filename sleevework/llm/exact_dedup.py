@@ -60,8 +60,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat id and text one stays."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("kept_id_")).distinct()
-    stay = docs.join(kept, F.col(id_col).eqNullSafe(F.col("kept_id_")), "left_semi")
-    print_of = "bare_md5_"
-    marked = stay.withColumn(print_of, F.md5(normalised(text_col)))
-    return marked.dropDuplicates([id_col, print_of]).drop(print_of)
+    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("kept_id_"), F.col("text_sha256").alias("kept_print_")).distinct()
+    print_of = "bare_sha256_"
+    marked = docs.withColumn(print_of, F.sha2(normalised(text_col), 256))
+    stay = marked.join(kept, F.col(id_col).eqNullSafe(F.col("kept_id_")) & (F.col(print_of) == F.col("kept_print_")), "left_semi")
+    return stay.dropDuplicates([id_col, print_of]).drop(print_of)

@@ -36,7 +36,7 @@ def _scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def _matrix(table: pa.Table) -> np.ndarray:
     flat = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(table.num_rows, -1) if table.num_rows else flat.reshape(0, 0)
+    return flat.reshape(table.num_rows, len(flat) // max(1, table.num_rows))
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -98,7 +98,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
         for at in range(len(ids)):
             low, high, width, need, above = (int(state[c][at]) for c in ("low", "high", "width", "need", "above"))
             line = scores[at][~own[at] & (scores[at] >= low) & (scores[at] <= high)]
-            counts = np.bincount((line - low) // width, minlength=BINS)
+            bins = (line.astype(np.uint64) - np.uint64(low & (1 << 64) - 1)) // np.uint64(width)  # a span may exceed a signed long
+            counts = np.bincount(bins.astype(np.int64), minlength=BINS)
             reach = np.cumsum(counts[::-1])[::-1]  # scores in this bin and above
             bins = np.flatnonzero((counts > 0) & (reach - counts < need - above))
             out[0] += [int(ids[at])] * len(bins)

@@ -113,7 +113,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
         counted = grid(asked.join(state.where("width > 0"), "id"), histogram, "id long, bin long, n long").groupBy("id", "bin").agg(F.sum("n").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("id").orderBy(F.col("bin").desc()))
         located = counted.withColumn("upto", upto).join(state, "id").where("above + upto >= need and above + upto - n < need")
-        low, high, inner = "low + bin * width", "least(high, low + bin * width + width - 1)", f"case when width = 1 then 0 else (width - 1) div {BINS} + 1 end"
+        low, high, inner = "cast(low + cast(bin as decimal(20,0)) * width as long)", "cast(least(high, low + (cast(bin as decimal(20,0)) + 1) * width - 1) as long)", f"case when width = 1 then 0 else (width - 1) div {BINS} + 1 end"
         finer = located.select("id", F.expr(low).alias("low"), F.expr(high).alias("high"), F.expr(inner).alias("width"), "need", F.expr("above + upto - n").alias("above"))
         state = saved(finer.unionByName(state.where("width = 0")), "topk-state")
 

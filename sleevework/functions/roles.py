@@ -103,13 +103,14 @@ def role_rules(spark: SparkSession) -> DataFrame:
 def normalize_role_by_table(labels: DataFrame, label: str, rules: DataFrame) -> DataFrame:
     """The same mapping driven by a rule table, for vocabularies kept as data.
 
-    Works on distinct labels, so the substring join never sees a repeated label.
+    Works on distinct labels, so the substring join never sees a repeated label. A null label gets the fallback
+    role. The optimizer decides by the size of ``rules`` whether to broadcast it.
     """
     distinct = labels.select(label).distinct().withColumn("_folded", strip(casefold(F.col(label))))
     hit = F.when(F.col("exact"), F.col("_folded") == F.col("keyword")).otherwise(F.col("_folded").contains(F.col("keyword")))
     best = F.min_by("role", "priority")
-    mapped = distinct.join(F.broadcast(rules), hit, "left").groupBy(label).agg(F.coalesce(best, F.lit(FALLBACK_ROLE)).alias("role"))
-    return labels.join(mapped, label, "left")
+    mapped = distinct.join(rules, hit, "left").groupBy(label).agg(F.coalesce(best, F.lit(FALLBACK_ROLE)).alias("role"))
+    return labels.join(mapped, label, "left").withColumn("role", F.coalesce("role", F.lit(FALLBACK_ROLE)))
 
 
 def has_role_keyword(phrase: Column) -> Column:

@@ -20,7 +20,7 @@ NAME_EDGE = " ,;&/"
 def _numbers(start: Column, end: Column, is_range: Column) -> Column:
     last = F.when(is_range, end).otherwise(start)
     # sequence() counts down when the bounds are swapped, hence the guard comes first
-    believed = (start <= last) & (last <= start + WIDEST_RANGE)
+    believed = (start <= last) & (F.try_subtract(last, start) <= WIDEST_RANGE)
     return F.when(believed, F.sequence(start, last))
 
 

@@ -61,16 +61,27 @@ def latest_pages(pages: DataFrame, key: str = "key", at: str = "captured_at") ->
     return pages.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
 
 
-def stored_pages(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest capture of every stored page; None while nothing is stored."""
+def _store(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return latest_pages(spark.read.parquet(path))
+        return spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
+def stored_pages(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest capture of every stored page; None while nothing is stored."""
+    store = _store(spark, path)
+    return None if store is None else latest_pages(store)
+
+
+def stored_keys(spark: SparkSession, path: str) -> DataFrame | None:
+    """The keys of the stored pages, without reading a body; None while nothing is stored."""
+    store = _store(spark, path)
+    return None if store is None else store.select("key")
+
+
 def sink_pages(pages: DataFrame, path: str, *, overwrite: bool = False) -> None:
     """Add captured pages (key, kind, captured_at, html) to a store partitioned by kind.
 
@@ -78,8 +89,8 @@ def sink_pages(pages: DataFrame, path: str, *, overwrite: bool = False) -> None:
     it was. A page that is stored already is skipped, or with ``overwrite`` superseded by the newer
     capture when the store is read.
     """
-    stored = None if overwrite else stored_pages(pages.sparkSession, path)
-    rows = pages if stored is None else skip_existing(pages, stored.select("key"))
+    stored = None if overwrite else stored_keys(pages.sparkSession, path)
+    rows = pages if stored is None else skip_existing(pages, stored)
     rows.write.partitionBy("kind").mode("append").parquet(path)
 
 
@@ -94,7 +105,7 @@ def retry_outcome(log: DataFrame, max_retries: int) -> DataFrame:
     final = F.when(F.col("outcome") != "transient", F.col("attempt") * width + code)
     made = log.where(F.col("attempt") <= max_retries + 1).groupBy("request_id").agg(F.min(final).alias("final"), F.max("attempt").alias("last"))
     outcome = F.coalesce(F.get(F.array(*map(F.lit, OUTCOMES)), (F.col("final") % width - 1).cast("int")), F.lit("transient"))
-    attempts = F.coalesce(F.floor(F.col("final") / F.lit(width)), F.col("last"))
+    attempts = F.coalesce(F.expr(f"final div {width}"), F.col("last").cast("bigint"))
     return made.select("request_id", outcome.alias("outcome"), attempts.alias("attempts"))
 
 

@@ -6,6 +6,8 @@ of readers share its column.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -199,9 +201,9 @@ def info_value(fields: Column, label: str, part: str = "value") -> Column:
 
 def cover_url(html: Column, host: str, album_id: Column) -> Column:
     """First address on a media host whose path names this album, so not a related album's picture."""
-    values = F.regexp_extract_all(html, F.lit(rf'(?is)\s(?:src|href|style)\s*=\s*"[^"]*{host}[^"]*"'), 0)
+    values = F.regexp_extract_all(html, F.lit(rf'(?is)\s(?:src|href|style)\s*=\s*"[^"]*{re.escape(host)}[^"]*"'), 0)
     needle = F.concat(F.lit("/"), album_id.cast("string"), F.lit("/"))
-    found = F.transform(values, lambda v: F.regexp_extract(v, rf"https?://{host}[^\"' )]+", 0))
+    found = F.transform(values, lambda v: F.regexp_extract(H.unescape(v), rf"https?://{re.escape(host)}[^\"' )]+", 0))
     return first(found, lambda u: u.contains(needle))
 
 

@@ -127,16 +127,18 @@ def scorecard(scores: DataFrame) -> DataFrame:
 def nway_diff(scores: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per album and field with the golden value and one value/status pair per source.
 
-    ``rank`` orders golden fields first, then extras as the sources bring them up.
+    ``rank_place`` and ``rank_ord`` order golden fields first (place 0), then extras as the sources bring them up.
     """
     cells = []
     for place, name in enumerate(names):
         mine = F.col("source") == name
         cells += [F.max(F.when(mine, F.col("value"))).alias(f"{name}_value"), F.max(F.when(mine, F.col("status"))).alias(f"{name}_status")]
     place = F.array_position(F.array(*map(F.lit, names)), F.col("source"))
-    extra_rank = place * 1_000_000_000 + F.col("ord")
-    rank = F.coalesce(F.min("golden_ord").cast("bigint"), F.min(extra_rank))
-    return scores.groupBy("album_id", "field").agg(F.max("golden").alias("golden"), *cells, rank.alias("rank"))
+    first_extra = F.min(F.struct(place.cast("bigint").alias("place"), F.col("ord").cast("bigint").alias("ord")))
+    golden_ord = F.min("golden_ord").cast("bigint")
+    rank = F.struct(F.when(golden_ord.isNull(), first_extra["place"]).otherwise(0).alias("place"), F.coalesce(golden_ord, first_extra["ord"]).alias("ord"))
+    diff = scores.groupBy("album_id", "field").agg(F.max("golden").alias("golden"), *cells, rank.alias("rank"))
+    return diff.select("*", F.col("rank.place").alias("rank_place"), F.col("rank.ord").alias("rank_ord")).drop("rank")
 
 
 def distinct_in_first_seen_order(rows: DataFrame, name: str, order: str) -> DataFrame:

@@ -134,7 +134,7 @@ def reply_problem(doc: Column) -> Column:
     found = _part(doc, "track_credits")
     fits = found.isNull() | (is_kind(found, "OBJECT") & _all(_values(found), lambda v: is_kind(v, "ARRAY") & _all(_items(v), _is_credit)))
     tracks = F.map_keys(F.try_variant_get(found, "$", "map<string,variant>"))
-    numeric = found.isNull() | _all(tracks, lambda k: F.trim(k).try_cast("int").isNotNull())
+    numeric = found.isNull() | _all(tracks, lambda k: F.trim(k).try_cast("bigint").isNotNull())
     return F.when(doc.isNull(), "not JSON").when(~is_kind(doc, "OBJECT") | ~fits, "wrong shape").when(~numeric, "track key is no number")
 
 
@@ -150,7 +150,7 @@ _CREDITS = "map<string,array<struct<role_raw:string,artists:array<struct<names:m
 def reply_credits(valid: DataFrame) -> DataFrame:
     """(album_id, attempt, track, ord, role, role_raw, artists) of valid replies; roles are normalized here."""
     doc = F.from_json("reply", f"struct<track_credits:{_CREDITS}>")
-    entries = F.transform(F.map_entries(doc["track_credits"]), lambda e: F.struct(F.trim(e["key"]).cast("int").alias("track"), e["value"].alias("credits")))
+    entries = F.transform(F.map_entries(doc["track_credits"]), lambda e: F.struct(F.trim(e["key"]).cast("bigint").alias("track"), e["value"].alias("credits")))
     # "1" and "01" are the same track; the later entry counts
     tracks = valid.select("album_id", "attempt", F.explode(deduplicate(entries, lambda e, _i: e["track"], keep="last")).alias("e"))
     rows = tracks.select("album_id", "attempt", "e.track", F.posexplode("e.credits").alias("ord", "c"))

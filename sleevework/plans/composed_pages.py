@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sleevework.plans.registry import table, view
-from sleevework.sources.scan import balanced
 
 SITE = "https://example.org"
 
@@ -35,7 +34,7 @@ def _page(key: str, kind: str, head: str, body: str) -> list[str]:
 def org_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One per supplier: its name, its nation as type (labelled twice), a description."""
     nation = F.broadcast(table(spark, sf_dir, "nation"))  # 25 rows at every scale
-    rows = balanced(table(spark, sf_dir, "supplier")).join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     body = """concat('<h1> </h1><h1> ', case when s_suppkey % 19 = 0 then '' else s_name end, ' </h1><dl><dt class="label">Type</dt><dd>', n_name, '</dd>',
       '<dt class="smallfont label">Description</dt>\n<dd>', case when s_suppkey % 3 = 0 then ' ' else concat('A &amp; B<br>', s_suppkey, '&nbsp;&#33;&eacute;') end, '</dd><dt class="label">Type</dt><dd>second</dd></dl>')"""
     return rows.selectExpr(*_page("s_suppkey", "org", canonical("org", "s_suppkey"), body))
@@ -49,7 +48,7 @@ def artist_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
       '<div><b style="color: #788990">Members</b><a href="/artist/', c_custkey + 1, '"><span class="artistname" lang="en">M', c_custkey, '</span><span class="artistname" lang="ja"><em> / </em>M', c_custkey, '</span></a>, <a href="/artist/x">NoId</a><a href="/album/3">not</a></div>',
       case when c_custkey % 2 = 0 then concat('<div><b style="color: #788990">Units</b><a href="https://other.org/artist/', c_custkey + 2, '?x=1">U &lt;', c_custkey, '</a></div>') else '' end,
       '<div><b style="color: #788990">Birthdate</b>1999</div></div>')"""
-    rows = balanced(table(spark, sf_dir, "customer"))
+    rows = table(spark, sf_dir, "customer")
     return rows.selectExpr(*_page("c_custkey", "artist", canonical("artist", "c_custkey"), body))
 
 
@@ -61,7 +60,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
       '<dl><dt class="label">Franchises</dt><dd><a href="/product/', id + 1, '?tab=x">', {names}, '<span class="productname" lang="en">later</span></a><a href="/product/5">Plain ', id, '</a></dd>',
       '<dt class="label">Developer</dt><dd><a href="/org/', p_size % 5, '?tab=p">Dev ', p_size % 5, '</a><a href="/org/none">NoId</a><a href="/org/none">NoId</a></dd>',
       '<dt class="label">Publisher</dt><dd><a href="/org/', p_size % 3, '">Pub ', p_size % 3, '</a><a href="/org/9">Pub 9</a></dd></dl>')"""
-    rows = balanced(table(spark, sf_dir, "part")).join(view(spark, sf_dir, "v_localized"), F.col("p_partkey") == F.col("id"))
+    rows = table(spark, sf_dir, "part").join(view(spark, sf_dir, "v_localized"), F.col("p_partkey") == F.col("id"))
     return rows.selectExpr(*_page("id", "product", canonical("product", "id"), body))
 
 
@@ -71,7 +70,7 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
       case when id % 3 = 0 then '<span class="albumtitle" lang="ja"><em> / </em>祭り</span>' else '' end,
       '<span class="albumtitle" lang="en">Other album</span><span class="albumtitle" lang="ja-Latn">late</span>',
       '<span class="smallfont label">', raw, '</span><span class="smallfont label">2030</span>')"""
-    rows = balanced(view(spark, sf_dir, "v_dates"))
+    rows = view(spark, sf_dir, "v_dates")
     return rows.selectExpr(*_page("id", "event", canonical("event", "id"), body))
 
 
@@ -106,7 +105,7 @@ def album_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = """case when id % 4 = 0 then concat('<a class="thickbox link_event" href="/event/', id % 50, '" title="Released at Fest ', id % 50, ' (Dec 1, 2001)">x</a>')
        when id % 4 = 1 then '<a href="/event/3" class="link_event">Released at  祭り (2002) </a>' when id % 4 = 2 then '<a href="/event/3" class="link_event">(2002)</a>' else '' end"""
     body = f"""concat('<h1>', case when id % 19 = 0 then '' else {titles} end, '</h1>', {pictures}, {credits}, {info}, {event}, {tracklist}, {notes}, '<div>after</div>')"""
-    rows = balanced(table(spark, sf_dir, "part")).join(view(spark, sf_dir, "v_localized"), F.col("p_partkey") == F.col("id"))
+    rows = table(spark, sf_dir, "part").join(view(spark, sf_dir, "v_localized"), F.col("p_partkey") == F.col("id"))
     return rows.selectExpr(*_page("id", "album", canonical("album", "id"), body))
 
 
@@ -117,5 +116,5 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
       '</td><td>media</td><td>', case t % 3 when 0 then 'Nov 08, 2005' when 1 then 'Nov 2005' else 'TBA' end, '</td><td>1999</td></tr>')"""
     body = f"""concat('<h3 class="label">x</h3>', case when c_custkey % 10 = 9 then '' else concat('<div id="albumresults"><h3 class="label">', c_custkey % 14, ' album results for "say "', c_custkey, '""</h3><table class="results"><thead><tr><th>head</th></tr></thead>',
       array_join(transform(slice(sequence(1, 14), 1, cast(c_custkey % 14 as int)), t -> {hit}), ''), '</table></div>') end, '<div id="artistresults"><h3 class="label">0 artist results for "q"</h3></div>')"""
-    rows = balanced(table(spark, sf_dir, "customer"))
+    rows = table(spark, sf_dir, "customer")
     return rows.selectExpr(*_page("c_custkey", "search", "''", body))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sleevework.functions import web
@@ -194,7 +194,12 @@ def captured_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.captured_only(_entries(spark, sf_dir)).select("section", "id", "slug")
 
 
-@query("c9_ordered_ids", "select cast(o_orderkey as varchar) as id from orders where o_orderstatus = 'F'")
+@query("c9_ordered_ids", "select cast(o_orderkey as varchar) as id, row_number() over (order by o_orderkey) - 1 as place from orders")
 def ordered_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("string").alias("id"))
-    return C.ordered_ids(rows)
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
+    # the parts of a range sort follow one another, so a row's place is its place in the part and the rows before
+    parts = C.ordered_ids(rows).select("id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+    counts = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    shift = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.col("at").bitwiseAND((1 << 33) - 1)
+    return parts.join(counts.withColumn("shift", shift), "part").select("id", (F.col("shift") + within).alias("place"))

@@ -11,7 +11,7 @@ from sleevework.functions.core import blank_to_null
 from sleevework.operators import pages as P
 from sleevework.plans import composed_pages as pages
 from sleevework.plans.registry import CHECK_VIEWS, query, table, view
-from sleevework.sources.scan import balanced, scan_pages
+from sleevework.sources.scan import scan_pages
 
 CHECK_VIEWS["x_clean"] = """
 select page_id, url, regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g') as html from pages
@@ -31,7 +31,7 @@ def _text(fragment: str) -> str:
 
 
 def _real(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return balanced(scan_pages(spark, f"{sf_dir}/pages.parquet"))
+    return scan_pages(spark, f"{sf_dir}/pages.parquet")
 
 
 def _big(*names: str) -> list[Column]:

@@ -246,7 +246,8 @@ def rank_backends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """select album_id, field, max(golden) as golden,
          max(case when source = 'ours' then value end) as ours_value, max(case when source = 'ours' then status end) as ours_status,
          max(case when source = 'other' then value end) as other_value, max(case when source = 'other' then status end) as other_status,
-         coalesce(cast(min(golden_ord) as bigint), min(case when source = 'ours' then 1000000000 else 2000000000 end + ord)) as rank
+         case when min(golden_ord) is null then min(case when source = 'ours' then 1 else 2 end) else 0 end::bigint as rank_place,
+         coalesce(min(golden_ord), arg_min(ord, case when source = 'ours' then 1 else 2 end * 10000 + ord))::bigint as rank_ord
        from x_scores group by album_id, field""",
 )
 def nway_diff(spark: SparkSession, sf_dir: str) -> DataFrame:

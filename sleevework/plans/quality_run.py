@@ -52,6 +52,8 @@ def summary(tables: Mapping[str, DataFrame], backend: str = "rules") -> DataFram
     card = tables["scorecard"].select(
         F.lit("scorecard").alias("section"), F.col("source").alias("name"), "matches", "scored", none.alias("precision"), none.alias("recall")
     )
+    if "ranking" not in tables:  # a run without backends
+        return card
     ranks = tables["ranking"].where("over_all").select(
         F.lit("enrichment").alias("section"), F.col("backend").alias("name"), F.col("matched").alias("matches"), F.col("golden").alias("scored"), "precision", "recall"
     )

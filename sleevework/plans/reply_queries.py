@@ -76,7 +76,7 @@ def validate_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("n15_reply_credits", """
-select album_id, cast(attempt as bigint) as attempt, c.track, cast(c.ord as bigint) as ord, c.role, c.role_raw,
+select album_id, cast(attempt as bigint) as attempt, cast(c.track as bigint) as track, cast(c.ord as bigint) as ord, c.role, c.role_raw,
   case when c.n is null then '' else concat(c.n, album_id, case when shape = 5 then '|' else '' end) end as names
 from v_replies join (values (5, 2, 0, 'composer', 'Music', null), (5, 2, 1, 'vocalist', 'Vocals', 'B'), (8, 1, 0, 'composer', 'Composed by', 'A')) c(s, track, ord, role, role_raw, n) on c.s = shape
 """)

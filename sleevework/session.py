@@ -15,6 +15,8 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         .appName("sleevework")
         .config("spark.sql.shuffle.partitions", parallel)
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.files.minPartitionNum", parallel)
+        .config("spark.sql.files.openCostInBytes", "65536")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")

@@ -20,7 +20,7 @@ def manifest_entries(texts: DataFrame, value: str = "value") -> DataFrame:
         entries = F.coalesce(F.col(f"m.{section}"), F.array())
         return F.transform(entries, lambda e: F.struct(F.lit(section).alias("section"), e.alias("e")))
 
-    doc = texts.select(F.from_json(value, SCHEMA).alias("m"))
+    doc = texts.select(F.from_json(value, SCHEMA, {"mode": "FAILFAST"}).alias("m"))  # a broken manifest is no empty crawl
     rows = doc.select(F.explode(F.concat(*map(labelled, SECTIONS))).alias("r"))
     return rows.select("r.section", *[f"r.e.{c}" for c in ("id", "slug", "kind", "query", "source_url", "captured_date", "status", "diversity")])
 

@@ -6,16 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def balanced(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out evenly when it has fewer partitions than the cluster has cores.
-
-    Parsing is the expensive part, and a small input may sit in a single row group. An input large
-    enough to fill the cluster comes back untouched.
-    """
-    want = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= want else scan.repartition(want)
-
-
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, url, html) of captured pages kept as parquet."""
     return spark.read.parquet(path).select("page_id", "url", "html")

@@ -29,7 +29,7 @@ def test_every_status(spark):
         ("a", 1, "classification"): "extra", ("b", 2, "title"): "match",
     }, "albums a source lacks are not held against it"
     assert {tuple(r) for r in Q.scorecard(scores).collect()} == {("a", 1, 3, "33%"), ("b", 1, 1, "100%")}
-    diff = {r["field"]: r["rank"] for r in Q.nway_diff(scores, ["a", "b"]).where("album_id = 1").collect()}
+    diff = {r["field"]: (r["rank_place"], r["rank_ord"]) for r in Q.nway_diff(scores, ["a", "b"]).where("album_id = 1").collect()}
     assert sorted(diff, key=diff.get) == ["title", "catalog", "release_date", "notes", "classification"]
     shown = scores.where("field = 'title' and album_id = 1").collect()[0]
     assert (shown["golden"], shown["value"]) == ("Album A", " album  a"), "raw values are reported"

@@ -133,5 +133,7 @@ def scored(docs: DataFrame, model: RuleModel, text_col: str = "text", name: str
     """``docs`` with the score of each whole text (null counts as empty); other columns stay as they are."""
     made = statistics(text_of(text_col))
     holder = F.col("statistics_of_text_")
-    wide = docs.select("*", F.struct(*[c.alias(n) for n, c in made.items()]).alias("statistics_of_text_"))
-    return wide.withColumn(name, model.score(lambda n: holder[n])).drop("statistics_of_text_")
+    wide = docs.withColumn("all_statistics_", F.struct(*[c.alias(n) for n, c in made.items()]))
+    # behind the one-element explode no filter on the score can be rewritten to work the statistics out for every rule
+    once = wide.select(*docs.columns, F.explode(F.array("all_statistics_")).alias("statistics_of_text_"))
+    return once.withColumn(name, model.score(lambda n: holder[n])).drop("statistics_of_text_")

@@ -6,7 +6,8 @@ result rows, so page extraction needs no shuffle and no Python.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+import re
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,19 +23,41 @@ LINE_BREAK = r"(?i)<br\s*/?>"
 
 # characters that stay escaped until a text is read, because decoding them early would forge markup
 _MARKUP = {"&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&#39;"}
+_SHORT = sorted((n for n in html5 if n in name2codepoint), key=len, reverse=True)  # names that may go without a semicolon
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_OPEN_ENTITY = rf"^(#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|{'|'.join(_SHORT)})(?![0-9A-Za-z=;])"
+ANY_TAG = "[A-Za-z][A-Za-z0-9]*"
+
+
+def _code_page() -> dict[int, str]:
+    """Code points 128 to 159 stand for the characters of the Windows code page."""
+    pairs = ((n, bytes([n]).decode("cp1252", "ignore")) for n in range(128, 160))
+    return {n: c for n, c in pairs if c}
+
+
+def _names() -> dict[str, str]:
+    """The entity names of HTML 4 and ``apos``; those of markup characters keep them escaped."""
+    full = {n: html5[f"{n};"] for n in [*name2codepoint, "apos"]}
+    return {n: _MARKUP.get(c, c) for n, c in full.items()}
+
+
+def _constant_map(entries: dict[str, str]) -> Column:
+    """A map of literals, which the optimizer folds to a constant."""
+    quoted = lambda t: "'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return F.expr("map(" + ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in entries.items()) + ")")
 
 
 def _code_point(number: Column) -> Column:
     valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     text = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    markup = F.expr("map(" + ", ".join(f"{ord(c)}, '{e}'" for c, e in _MARKUP.items()) + ")")
-    return F.when(valid, F.coalesce(markup[number.cast("int")], text)).otherwise(F.lit("�"))
+    special = {**{ord(c): e for c, e in _MARKUP.items()}, **_code_page()}
+    markup = _constant_map({str(n): c for n, c in special.items()})
+    return F.when(valid, F.coalesce(markup[number.cast("string")], text)).otherwise(F.lit("�"))
 
 
 def _decode_names(html: Column) -> Column:
     """Named and numeric entities to characters, except those that stand for markup."""
-    named = F.expr("map(" + ", ".join(f"'{n}', '{chr(c)}'" for n, c in name2codepoint.items() if chr(c) not in _MARKUP) + ")")
+    named = _constant_map(_names())
 
     def entity(name: Column) -> Column:
         decimal = F.regexp_extract(name, "^#([0-9]+)$", 1).try_cast("bigint")
@@ -43,9 +66,10 @@ def _decode_names(html: Column) -> Column:
         return F.when(name.startswith("#"), _code_point(number)).otherwise(named[name])
 
     def piece(text: Column, i: Column) -> Column:
-        name = F.regexp_extract(text, _ENTITY, 1)
-        decoded = let(name, lambda n: F.concat(entity(n), F.substr(text, F.length(n) + 2)))
-        return F.when(i == 0, text).otherwise(F.coalesce(F.when(name != "", decoded), F.concat(F.lit("&"), text)))
+        closed, bare = F.regexp_extract(text, _ENTITY, 1), F.regexp_extract(text, _OPEN_ENTITY, 1)
+        name = F.struct(F.when(closed != "", closed).otherwise(bare).alias("n"), F.when(closed != "", 2).otherwise(1).alias("skip"))
+        decoded = let(name, lambda x: F.when(x["n"] != "", F.concat(entity(x["n"]), F.substr(text, F.length(x["n"]) + x["skip"]))))
+        return F.when(i == 0, text).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), text)))
 
     return F.array_join(F.transform(F.split(html, "&", -1), piece), "")
 
@@ -98,11 +122,30 @@ def spaced_text(fragment: Column) -> Column:
     return F.coalesce(collapse(unescape(F.regexp_replace(fragment, TAG, " "))), F.lit(""))
 
 
+def _condition(having: str) -> str:
+    """``name="value"`` in any quoting, or with the last quote left out a value that begins so; other patterns as they are.
+
+    The name must be a whole one: ``id`` is not found in ``data-id``.
+    """
+    got = re.fullmatch(r'([a-z]+)="(.*?)("?)', having)
+    if not got:
+        return rf"(?<=\s){having}"
+    name, value, closed = got.groups()
+    single, bare = value.replace('[^"]', "[^']"), value.replace('[^"]', "[^\\s\"'>]")
+    ends = ('"', "'", r"(?=[\s/>])") if closed else ("", "", "")
+    return rf"""\s{name}\s*=\s*(?:"{value}{ends[0]}|'{single}{ends[1]}|{bare}{ends[2]})"""
+
+
 def _opening(tag: str, having: str) -> str:
-    condition = rf"(?=[^>]*{having})" if having else ""
+    condition = rf"(?=[^>]*{_condition(having)})" if having else ""
     return rf"<{tag}\b{condition}[^>]*>"
 
 
+def has(html: Column, tag: str, having: str) -> Column:
+    """Whether there is an opening tag that matches ``having``."""
+    return html.rlike(rf"(?is){_opening(tag, having)}")
+
+
 def elements(html: Column, tag: str, having: str = "") -> Column:
     """Whole elements whose opening tag matches ``having``; for tags that do not nest in themselves."""
     return F.regexp_extract_all(html, F.lit(rf"(?is){_opening(tag, having)}.*?</{tag}\s*>"), 0)
@@ -117,43 +160,66 @@ def inner(element: Column) -> Column:
     return F.regexp_replace(element, r"(?s)^<[^>]*>|</[^>]*>\z", "")
 
 
-def _until_closed(tail: Column, tag: str) -> Column:
-    """The part of ``tail`` before the close of an element of ``tag`` opened just before it."""
+def _at_close(tail: Column, tag: Column) -> Column:
+    """``struct<inner, rest>``: ``tail`` cut at the close of an element of ``tag`` opened just before it."""
 
-    def cut(pieces: Column) -> Column:
+    def cut(x: Column) -> Column:
         def step(state: Column, piece: Column) -> Column:
-            opened = F.size(F.regexp_extract_all(piece, F.lit(rf"(?is)<{tag}\b"), 0))
+            opened = F.size(F.regexp_extract_all(piece, F.concat(F.lit("(?is)<"), x["tag"], F.lit(r"\b")), 0))
             depth = state["depth"] + opened - 1
             return F.struct(
                 F.when(state["depth"] > 0, depth).otherwise(F.lit(0)).alias("depth"),
                 (state["taken"] + F.when(state["depth"] > 0, F.lit(1)).otherwise(F.lit(0))).alias("taken"),
             )
 
+        def joined(items: Column) -> Column:
+            return F.call_function("array_join", items, F.concat(F.lit("</"), x["tag"], F.lit(">")))
+
         start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
-        taken = F.aggregate(pieces, start, step, lambda s: s["taken"])
-        return F.array_join(F.slice(pieces, F.lit(1), taken), f"</{tag}>")
+        taken = F.aggregate(x["pieces"], start, step, lambda s: s["taken"])
+        return let(taken, lambda n: F.struct(joined(F.slice(x["pieces"], F.lit(1), n)).alias("inner"), joined(F.slice(x["pieces"], n + 1, F.size(x["pieces"]))).alias("rest")))
 
-    return let(F.split(tail, rf"(?is)</{tag}\s*>", -1), cut)
+    closing = F.concat(F.lit("(?is)</"), tag, F.lit(r"\s*>"))
+    return let(F.struct(F.split(tail, closing, -1).alias("pieces"), tag.alias("tag")), cut)
 
 
 def containers(html: Column, tag: str, having: str, lead: str = "") -> Column:
     """``array<struct<open, inner>>`` of elements that may hold others of their own tag.
 
     The end is found by counting openings and closings of that one tag, which survives unclosed
-    elements of other tags inside. ``lead`` is a pattern that must follow the opening tag and is
-    reported with it.
+    elements of other tags inside. ``tag`` may be a pattern for several tags; ``lead`` is a pattern that
+    must follow the opening tag and is reported with it.
     """
     pattern = rf"(?is){_opening(tag, having)}{lead}"
     opens = F.regexp_extract_all(html, F.lit(pattern), 0)
     tails = let(F.split(html, pattern, -1), lambda parts: F.slice(parts, F.lit(2), F.size(parts)))
-    return F.zip_with(opens, tails, lambda o, t: F.struct(o.alias("open"), _until_closed(t, tag).alias("inner")))
+    return F.zip_with(opens, tails, lambda o, t: F.struct(o.alias("open"), _at_close(t, _own_tag(o, tag))["inner"].alias("inner")))
+
+
+def _own_tag(opening: Column, tag: str) -> Column:
+    return F.lit(tag) if tag.isalnum() else F.regexp_extract(opening, f"^<({ANY_TAG})", 1)
+
+
+def _first_container(html: Column, tag: str, having: str) -> Column:
+    """``struct<head, inner, rest>`` around the first such element, NULL if the page has none."""
+    pattern = rf"(?is){_opening(tag, having)}"
+    opening = F.regexp_extract(html, pattern, 0)
+
+    def read(parts: Column) -> Column:
+        around = _at_close(F.get(parts, F.lit(1)), _own_tag(opening, tag))
+        return let(around, lambda a: F.struct(F.get(parts, F.lit(0)).alias("head"), a["inner"].alias("inner"), a["rest"].alias("rest")))
+
+    return F.when(html.rlike(pattern), let(F.split(html, pattern, 2), read))
 
 
 def container(html: Column, tag: str, having: str) -> Column:
     """Inner HTML of the first such element, NULL if the page has none."""
-    pattern = rf"(?is){_opening(tag, having)}"
-    tail = let(F.split(html, pattern, 2), lambda parts: F.get(parts, F.lit(1)))
-    return F.when(html.rlike(pattern), _until_closed(tail, tag))
+    return _first_container(html, tag, having)["inner"]
+
+
+def without_container(html: Column, tag: str, having: str) -> Column:
+    """The page without the first such element, cut out by its place."""
+    return let(_first_container(html, tag, having), lambda c: F.coalesce(F.concat(c["head"], F.lit(" "), c["rest"]), html))
 
 
 def pieces(html: Column, opening: str) -> Column:
@@ -165,10 +231,10 @@ def language_spans(html: Column, css_class: str) -> Column:
     """``array<struct<lang, text>>`` of the language spans of a class, separators stripped."""
 
     def read(span: Column) -> Column:
-        shown = strip(F.regexp_replace(text(inner(span)), r"(?U)^/\s*", ""))
-        return F.struct(attribute(span, "lang").alias("lang"), shown.alias("text"))
+        shown = strip(F.regexp_replace(text(span["inner"]), r"(?U)^/\s*", ""))
+        return F.struct(attribute(span["open"], "lang").alias("lang"), shown.alias("text"))
 
-    return F.transform(elements(html, "span", f'class="{css_class}"'), read)
+    return F.transform(containers(html, "span", f'class="{css_class}"'), read)
 
 
 def leading_group(spans: Column) -> Column:

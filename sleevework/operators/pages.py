@@ -65,9 +65,9 @@ def heading_name(html: Column) -> Column:
 
 
 def entity_names(html: Column, kind: Column) -> Column:
-    heading = H.container(html, "h1", "")
-    whole_heading = H.localized(H.language_spans(F.coalesce(heading, F.lit("")), TITLE_CLASS))
-    own_heading = H.localized(H.leading_group(H.language_spans(F.coalesce(heading, F.lit("")), TITLE_CLASS)))
+    headings = F.array_join(F.transform(H.containers(html, "h1", ""), lambda h: h["inner"]), " ")
+    whole_heading = H.localized(H.language_spans(headings, TITLE_CLASS))
+    own_heading = H.localized(H.leading_group(H.language_spans(headings, TITLE_CLASS)))
     own_spans = H.localized(H.leading_group(H.language_spans(html, TITLE_CLASS)))
     artist = first(H.elements(F.coalesce(H.container(html, "div", 'id="innermain"'), F.lit("")), "span", 'style="[^"]*1\\.5em'))
     return (
@@ -91,7 +91,7 @@ def route_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         {
             "_kind": blank_to_null(F.regexp_extract("link", pattern, 1)),
             "entity_id": F.regexp_extract("link", pattern, 2).try_cast("bigint"),
-            "_search": F.col("html").rlike(r'(?is)<\w+\b[^>]*id="albumresults"'),
+            "_search": H.has(F.col("html"), H.ANY_TAG, 'id="albumresults"'),
         }
     )
     rows = rows.withColumn("kind", F.coalesce("_kind", F.when(F.col("_search"), F.lit("search"))))
@@ -114,7 +114,7 @@ def reference(anchor: Column, kind: str, span_class: str, site: str, *, keep_que
     spans = H.language_spans(anchor, span_class)
     grouped = H.leading_group(spans) if span_class == PRODUCT_CLASS else spans
     plain = F.map_filter(F.create_map(F.lit("English"), H.text(H.inner(anchor))), lambda _k, v: v.isNotNull())
-    names = F.when(anchor.rlike(f'(?is)<span\\b[^>]*class="{span_class}"'), H.localized(grouped)).otherwise(plain)
+    names = F.when(H.has(anchor, "span", f'class="{span_class}"'), H.localized(grouped)).otherwise(plain)
     link = absolute_url(href, site) if keep_query else ref_link(href, site)
     return F.struct(names.alias("names"), F.regexp_extract(href, f"/{kind}/(\\d+)", 1).try_cast("bigint").alias("id"), link.alias("link"))
 
@@ -142,14 +142,24 @@ def page_links(pages: DataFrame, site: str = DEFAULT_SITE) -> DataFrame:
 
 
 def label_pairs(html: Column) -> Column:
-    """``array<struct<label, body>>`` of the ``dt``/``dd`` pairs of a page."""
-    pairs = F.regexp_extract_all(html, F.lit(r'(?is)<dt\b(?=[^>]*class="[^"]*label)[^>]*>.*?</dt>[^<]*<dd\b[^>]*>.*?</dd>'), 0)
+    """``array<struct<label, body>>`` of the ``dt`` labels of a page, each with the next ``dd`` of its list.
 
-    def read(pair: Column) -> Column:
-        label = H.text(F.regexp_extract(pair, r"(?is)^(<dt\b.*?)</dt>", 1))
-        return F.struct(label.alias("label"), F.regexp_extract(pair, r"(?is)</dt>[^<]*<dd\b[^>]*>(.*?)</dd>\z", 1).alias("body"))
+    End tags may be missing, and labels that follow one another share a ``dd``; without one the body is NULL.
+    """
+    events = F.regexp_extract_all(html, F.lit(r"(?is)<d[td]\b[^>]*>.*?(?=<d[td]\b|</d[tdl]\b|\z)|</dl\b"), 0)
+
+    def read(part: Column) -> Column:
+        end = F.try_element_at(part, F.lit(-1))
+        body = F.when(end.rlike("(?i)^<dd"), F.regexp_replace(end, r"(?s)^<[^>]*>", ""))
+        labels = F.filter(part, lambda e: H.has(F.regexp_extract(e, "^<[^>]*>", 0), "dt", 'class="[^"]*label'))
+        return F.transform(labels, lambda e: F.struct(H.text(e).alias("label"), body.alias("body")))
 
-    return F.transform(pairs, read)
+    def pairs(items: Column) -> Column:
+        after_end = lambda i: (i == 0) | ~F.get(items, i - 1).rlike("(?i)^<dt")
+        starts = F.filter(F.transform(items, lambda _e, i: F.when(after_end(i), i + 1)), lambda p: p.isNotNull())
+        return F.flatten(F.transform(sections(items, starts), read))
+
+    return let(events, pairs)
 
 
 def definition(pairs: Column, label: str) -> Column:
@@ -158,9 +168,10 @@ def definition(pairs: Column, label: str) -> Column:
 
 
 def artist_fields(html: Column) -> Column:
-    """``array<struct<label, body>>`` of an artist's profile blocks; the first of a label counts."""
-    blocks = H.containers(html, "div", "", rf'\s*<b\b(?=[^>]*{FIELD_COLOR})[^>]*>.*?</b>')
-    fields = F.transform(blocks, lambda b: F.struct(H.text(b["open"]).alias("label"), b["inner"].alias("body")))
+    """``array<struct<label, body>>`` of an artist's profile blocks, whatever their tag; the first of a label counts."""
+    mark = rf"<b\b(?=[^>]*{FIELD_COLOR})[^>]*>.*?</b\s*>"
+    blocks = H.containers(html, "(?:div|p|td|li|dd|span|section)", "", rf"[^<]*{mark}")
+    fields = F.transform(blocks, lambda b: F.struct(H.text(F.regexp_extract(b["open"], rf"(?is){mark}", 0)).alias("label"), b["inner"].alias("body")))
     return deduplicate(F.filter(fields, lambda f: f["label"] != ""), lambda f, _i: f["label"])
 
 
@@ -171,10 +182,6 @@ def aliases(body: Column) -> Column:
 
 def info_fields(html: Column) -> Column:
     """``array<struct<label, value, href>>`` of an album's info box; the last of a label counts."""
-    def without_credits(page: Column) -> Column:
-        box = H.container(page, "div", 'id="collapse_credits"')
-        return let(box, lambda b: F.when(b != "", F.replace(page, b, F.lit(""))).otherwise(page))
-
     def field(cells: Column) -> Column:
         label = first(H.containers(F.get(cells, F.lit(0)), "span", 'class="label"'))["inner"]
         body = F.regexp_replace(F.get(cells, F.lit(1)), r"(?is)</td\s*>.*\z", "")
@@ -186,7 +193,7 @@ def info_fields(html: Column) -> Column:
         row = F.struct(H.text(cell["label"]).alias("label"), H.spaced_text(shown).alias("value"), href.alias("href"))
         return F.when(cell["label"].isNotNull() & cell["body"].isNotNull(), row)
 
-    tables = H.containers(let(html, without_credits), "table", 'id="album_infobit_large"')
+    tables = H.containers(H.without_container(html, "div", 'id="collapse_credits"'), "table", 'id="album_infobit_large"')
     rows = F.flatten(F.transform(tables, lambda t: H.pieces(t["inner"], r"(?is)<tr\b[^>]*>")))
     fields = F.transform(rows, lambda row: let(H.pieces(row, r"(?is)<td\b[^>]*>"), field))
     return deduplicate(F.filter(fields, lambda f: f.isNotNull()), lambda f, _i: f["label"], keep="last")
@@ -201,7 +208,9 @@ def info_value(fields: Column, label: str, part: str = "value") -> Column:
 
 def cover_url(html: Column, host: str, album_id: Column) -> Column:
     """First address on a media host whose path names this album, so not a related album's picture."""
-    values = F.regexp_extract_all(html, F.lit(rf'(?is)\s(?:src|href|style)\s*=\s*"[^"]*{re.escape(host)}[^"]*"'), 0)
+    site = re.escape(host)
+    quoted = rf"""(?is)\s(?:src|href|style)\s*=\s*(?:"[^"]*{site}[^"]*"|'[^']*{site}[^']*'|[^\s"'>]*{site}[^\s"'>]*)"""
+    values = F.regexp_extract_all(html, F.lit(quoted), 0)
     needle = F.concat(F.lit("/"), album_id.cast("string"), F.lit("/"))
     found = F.transform(values, lambda v: F.regexp_extract(H.unescape(v), rf"https?://{re.escape(host)}[^\"' )]+", 0))
     return first(found, lambda u: u.contains(needle))
@@ -209,7 +218,7 @@ def cover_url(html: Column, host: str, album_id: Column) -> Column:
 
 def release_event(html: Column, site: str = DEFAULT_SITE) -> Column:
     """The event an album was released at, without the lead-in and the date in its link text."""
-    anchor = first(H.elements(html, "a", 'class="[^"]*link_event'), lambda a: a.rlike(r'(?is)^<a\b[^>]*href="[^"]*/event/'))
+    anchor = first(H.elements(html, "a", 'class="[^"]*link_event'), lambda a: H.has(a, "a", 'href="[^"]*/event/'))
 
     def read(a: Column) -> Column:
         title = F.coalesce(blank_to_null(H.attribute(a, "title")), H.text(H.inner(a)))
@@ -229,7 +238,7 @@ def raw_track(row: Column) -> Column:
     """``struct<number, length, title>`` of a tracklist row."""
     number = F.regexp_extract(H.text(H.inner(first(H.elements(row, "span", 'class="label"')))), r"\d+", 0).try_cast("int")
     time = first(H.elements(row, "span", 'class="time"'))
-    wide = first(H.elements(row, "td", r'(?:width="100%"|colspan\s*=)'))
+    wide = first(H.elements(row, "td", r"""(?:width\s*=\s*["']?100%|colspan\s*=)"""))
     length = F.when(time.isNotNull(), blank_to_null(H.text(H.inner(time))))
     return F.struct(number.alias("number"), length.alias("length"), H.text(H.inner(wide)).alias("title"))
 
@@ -385,7 +394,7 @@ def credit_rows(html: Column, site: str = DEFAULT_SITE) -> Column:
 
 
 def notes_text(html: Column) -> Column:
-    return H.plain_notes(H.container(html, "div", 'id="notes"'))
+    return H.plain_notes(H.container(html, H.ANY_TAG, 'id="notes"'))
 
 
 def event_date(html: Column) -> Column:

@@ -108,3 +108,52 @@ def test_entry_points(spark):
     assert df.columns == ["album_id", "track", "role", "role_raw", "artist"] and df.count() > 0
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
     assert os.path.exists(os.path.join(os.path.dirname(entry_points.__file__), "bench.py"))
+
+
+def _album(spark, html):
+    page = spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")
+    return P.route_pages(page).collect()[0]
+
+
+@pytest.mark.parametrize("rel", ["rel='canonical'", "rel=canonical", 'rel = "canonical"'])
+def test_canonical_link_in_any_quoting(spark, rel):
+    row = _album(spark, f"<html><head><link {rel} href=/album/7></head><h1>Site</h1><h1><span class='albumtitle' lang=en>A <span>B</span> C</span></h1></html>")
+    assert (row["entity_id"], row["reason"], row["names"]) == (7, None, {"English": "A B C"})
+
+
+def test_attribute_names_are_whole(spark):
+    html = '<div data-id="notes">no</div><section id=notes>a<br>b<section>c</section></section><p>d</p>'
+    assert on_page(spark, html, P.notes_text(F.col("html"))) == "a\nbc"
+
+
+def test_more_entities(spark):
+    html = "<p>it&apos;s &copy 2024 &#39 &#146; &hellip; &amp &notaname; a&copyb &lt;b&gt;</p>"
+    assert on_page(spark, html, H.text(F.col("html"))) == "it's © 2024 ' ’ … & &notaname; a&copyb <b>"
+
+
+def test_blank_credits_box_keeps_the_info_box(spark):
+    info = '<table id="album_infobit_large"><tr><td><span class="label">Catalog Number</span></td><td>AB 12</td></tr></table>'
+    html = f'<div id="collapse_credits"> </div>{info}'
+    assert on_page(spark, html, P.info_value(P.info_fields(F.col("html")), "Catalog Number")) == "AB 12"
+    inside = f'<div id="collapse_credits"><div>{info}</div></div><p>x</p>'
+    assert on_page(spark, inside, P.info_value(P.info_fields(F.col("html")), "Catalog Number")) is None
+
+
+def test_definition_lists_without_end_tags(spark):
+    def pairs(html):
+        return [(p["label"], p["body"]) for p in on_page(spark, html, P.label_pairs(F.col("html")))]
+
+    assert pairs('<dl><dt class="label">Type</dt><dt class="label">Developer</dt><dd>X</dd></dl>') == [("Type", "X"), ("Developer", "X")]
+    assert pairs("<dl><dt class=label>Type<dd>Game<dt class='a label'>Maker<dd><b>Y</b></dl>") == [("Type", "Game"), ("Maker", "<b>Y</b>")]
+    assert pairs('<dl><dt class="label">Type</dt></dl><dl><dt>No</dt><dd>Z</dd></dl>') == [("Type", None)]
+    assert pairs("<p>no list</p>") == []
+
+
+def test_profile_labels_in_any_element(spark):
+    html = '<p><b style="color:#788990">Birthdate</b> 1970</p><div>x <b style="color: #788990">Type</b> Unit</div>'
+    assert [(f["label"], f["body"].strip()) for f in on_page(spark, html, P.artist_fields(F.col("html")))] == [("Birthdate", "1970"), ("Type", "Unit")]
+
+
+def test_cover_of_any_quoting(spark):
+    html = "<img src='https://thumb.media.example/albums/7/a&amp;b.jpg'><img src=https://thumbXmedia.example/albums/7/c.jpg>"
+    assert on_page(spark, html, P.cover_url(F.col("html"), "thumb.media.example", F.lit(7))) == "https://thumb.media.example/albums/7/a&b.jpg"

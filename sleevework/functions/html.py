@@ -7,6 +7,7 @@ result rows, so page extraction needs no shuffle and no Python.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
@@ -160,24 +161,25 @@ def inner(element: Column) -> Column:
     return F.regexp_replace(element, r"(?s)^<[^>]*>|</[^>]*>\z", "")
 
 
-def _at_close(tail: Column, tag: Column) -> Column:
-    """``struct<inner, rest>``: ``tail`` cut at the close of an element of ``tag`` opened just before it."""
+def _at_close(tail: Column, tag: Column, *, rest: bool = False) -> Column:
+    """``struct<inner>``, with ``rest`` also ``rest``: ``tail`` cut at the close of an element of ``tag`` opened just before it."""
 
     def cut(x: Column) -> Column:
         def step(state: Column, piece: Column) -> Column:
             opened = F.size(F.regexp_extract_all(piece, F.concat(F.lit("(?is)<"), x["tag"], F.lit(r"\b")), 0))
-            depth = state["depth"] + opened - 1
-            return F.struct(
-                F.when(state["depth"] > 0, depth).otherwise(F.lit(0)).alias("depth"),
-                (state["taken"] + F.when(state["depth"] > 0, F.lit(1)).otherwise(F.lit(0))).alias("taken"),
-            )
+            inside = F.struct((state["depth"] + opened - 1).alias("depth"), (state["taken"] + 1).alias("taken"))
+            return F.when(state["depth"] > 0, inside).otherwise(state)
 
         def joined(items: Column) -> Column:
             return F.call_function("array_join", items, F.concat(F.lit("</"), x["tag"], F.lit(">")))
 
+        def parts(n: Column) -> Column:
+            inner = joined(F.slice(x["pieces"], F.lit(1), n)).alias("inner")
+            after = [joined(F.slice(x["pieces"], n + 1, F.size(x["pieces"]))).alias("rest")] if rest else []
+            return F.struct(inner, *after)
+
         start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
-        taken = F.aggregate(x["pieces"], start, step, lambda s: s["taken"])
-        return let(taken, lambda n: F.struct(joined(F.slice(x["pieces"], F.lit(1), n)).alias("inner"), joined(F.slice(x["pieces"], n + 1, F.size(x["pieces"]))).alias("rest")))
+        return let(F.aggregate(x["pieces"], start, step, lambda s: s["taken"]), parts)
 
     closing = F.concat(F.lit("(?is)</"), tag, F.lit(r"\s*>"))
     return let(F.struct(F.split(tail, closing, -1).alias("pieces"), tag.alias("tag")), cut)
@@ -200,26 +202,26 @@ def _own_tag(opening: Column, tag: str) -> Column:
     return F.lit(tag) if tag.isalnum() else F.regexp_extract(opening, f"^<({ANY_TAG})", 1)
 
 
-def _first_container(html: Column, tag: str, having: str) -> Column:
-    """``struct<head, inner, rest>`` around the first such element, NULL if the page has none."""
-    pattern = rf"(?is){_opening(tag, having)}"
-    opening = F.regexp_extract(html, pattern, 0)
+def _split_at(html: Column, tag: str, having: str, read: Callable[[Column, Column, Column], Column]) -> Column:
+    """``read(head, tail, tag)`` around the first such opening, NULL if the page has none; one search of the page."""
+    parts = F.split(html, rf"(?is){_opening(tag, having)}", 2)
 
-    def read(parts: Column) -> Column:
-        around = _at_close(F.get(parts, F.lit(1)), _own_tag(opening, tag))
-        return let(around, lambda a: F.struct(F.get(parts, F.lit(0)).alias("head"), a["inner"].alias("inner"), a["rest"].alias("rest")))
+    def around(x: Column) -> Column:
+        head, tail = F.get(x["parts"], F.lit(0)), F.get(x["parts"], F.lit(1))
+        opening = F.substring(x["html"], F.length(head) + 1, F.lit(32))  # long enough for the name of any tag
+        return F.when(F.size(x["parts"]) > 1, read(head, tail, _own_tag(opening, tag)))
 
-    return F.when(html.rlike(pattern), let(F.split(html, pattern, 2), read))
+    return let(F.struct(html.alias("html"), parts.alias("parts")), around)
 
 
 def container(html: Column, tag: str, having: str) -> Column:
     """Inner HTML of the first such element, NULL if the page has none."""
-    return _first_container(html, tag, having)["inner"]
+    return _split_at(html, tag, having, lambda _head, tail, own: _at_close(tail, own)["inner"])
 
 
 def without_container(html: Column, tag: str, having: str) -> Column:
     """The page without the first such element, cut out by its place."""
-    return let(_first_container(html, tag, having), lambda c: F.coalesce(F.concat(c["head"], F.lit(" "), c["rest"]), html))
+    return F.coalesce(_split_at(html, tag, having, lambda head, tail, own: F.concat(head, F.lit(" "), _at_close(tail, own, rest=True)["rest"])), html)
 
 
 def pieces(html: Column, opening: str) -> Column:

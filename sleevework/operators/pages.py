@@ -64,19 +64,22 @@ def heading_name(html: Column) -> Column:
     return single_name(F.coalesce(first(headings, lambda t: t != ""), F.lit("")))
 
 
-def entity_names(html: Column, kind: Column) -> Column:
-    headings = F.array_join(F.transform(H.containers(html, "h1", ""), lambda h: h["inner"]), " ")
-    whole_heading = H.localized(H.language_spans(headings, TITLE_CLASS))
-    own_heading = H.localized(H.leading_group(H.language_spans(headings, TITLE_CLASS)))
-    own_spans = H.localized(H.leading_group(H.language_spans(html, TITLE_CLASS)))
+def names_of_kind(html: Column, kind: str) -> Column:
+    """Names of an entity page of a known kind."""
+    if kind in ("album", "product"):
+        headings = F.array_join(F.transform(H.containers(html, "h1", ""), lambda h: h["inner"]), " ")
+        spans = H.language_spans(headings, TITLE_CLASS)
+        return H.localized(spans if kind == "album" else H.leading_group(spans))
+    if kind == "event":
+        return H.localized(H.leading_group(H.language_spans(html, TITLE_CLASS)))
+    if kind == "org":
+        return heading_name(html)
     artist = first(H.elements(F.coalesce(H.container(html, "div", 'id="innermain"'), F.lit("")), "span", 'style="[^"]*1\\.5em'))
-    return (
-        F.when(kind == "album", whole_heading)
-        .when(kind == "product", own_heading)
-        .when(kind == "event", own_spans)
-        .when(kind == "org", heading_name(html))
-        .when(kind == "artist", single_name(H.text(H.inner(artist))))
-    )
+    return single_name(H.text(H.inner(artist)))
+
+
+def entity_names(html: Column, kind: Column) -> Column:
+    return F.coalesce(*[F.when(kind == k, names_of_kind(html, k)) for k in KINDS])
 
 
 def route_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -408,7 +411,7 @@ def _entities(pages: DataFrame, kind: str) -> DataFrame:
     """Clean pages of one kind that pass routing, with id, link and names."""
     def head(link: Column) -> Column:
         entity = F.regexp_extract(link, f"/{kind}/(\\d+)", 1).try_cast("bigint")
-        return F.struct(entity.alias("id"), link.alias("link"), F.when(entity.isNotNull(), entity_names(F.col("html"), F.lit(kind))).alias("names"))
+        return F.struct(entity.alias("id"), link.alias("link"), F.when(entity.isNotNull(), names_of_kind(F.col("html"), kind)).alias("names"))
 
     rows = computed(cleaned(pages), "_head", let(H.canonical_link(F.col("html")), head), lambda x: x["id"].isNotNull() & (F.size(x["names"]) > 0))
     return rows.select("page_id", "html", "_head.*")

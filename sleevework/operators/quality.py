@@ -6,9 +6,10 @@ all tasks; counts are combined on the map side before any shuffle by source or b
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import deque
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -166,59 +167,52 @@ def coverage(albums: DataFrame, tracks: DataFrame, credits: DataFrame | None) ->
     return albums.select("album_id").join(per_album, "album_id", "left").select("album_id", F.lit(True).alias("available"), *counts)
 
 
-FOLD_LIMIT = 64  # larger entangled groups are matched in linear time instead of by the array fold
-
-
 def _match_key(names: Column) -> Column:
     """Distinct casefolded non-empty names, sorted: the part of a credit that matching looks at."""
     folded = F.filter(F.transform(F.coalesce(names, F.array().cast("array<string>")), casefold), lambda n: n != "")
     return F.array_sort(F.array_distinct(folded))
 
 
-def _fold_matches(golden: Column, produced: Column) -> Column:
-    """Number of golden credits, in order, that find a first free produced credit."""
+def _match_in_order(keys: Sequence[str]):
+    """Greedy matching over Arrow batches sorted by (keys, role, is_golden, ord, key).
 
-    def fits(a: Column, b: Column) -> Column:
-        return ((F.size(a) == 0) & (F.size(b) == 0)) | F.arrays_overlap(a, b)
+    Keeps one queue of produced credits per name of the current group, in order; golden credits only
+    pass by. Linear in the rows, in memory the produced credits of one group.
+    """
+    group = [*keys, "role"]
 
-    def step(state: Column, g: Column) -> Column:
-        places = F.filter(
-            F.transform(produced, lambda p, j: F.when(fits(g["key"], p["key"]) & ~F.array_contains(state, j), j)),
-            lambda j: j.isNotNull(),
-        )
-        return F.concat(state, F.slice(places, F.lit(1), F.lit(1)))
-
-    return F.size(F.aggregate(golden, F.array().cast("array<int>"), step)).cast("bigint")
-
-
-def _match_large_groups(keys: Sequence[str]):
-    """Grouped pandas function with one queue of produced credits per name: linear in the group."""
-
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        plain = lambda v: v if isinstance(v, str) or not hasattr(v, "__len__") else tuple(v)
-        pdf = pdf.assign(ord=pdf["ord"].map(plain), key=pdf["key"].map(tuple)).sort_values(["ord", "key"], kind="stable")
-        queues: dict[str, list[int]] = {}
-        produced = pdf[~pdf["is_golden"]]["key"].tolist()
-        for j, key in enumerate(produced):
-            for name in key:
-                queues.setdefault(name, []).append(j)
-        heads = dict.fromkeys(queues, 0)
-        used = [False] * len(produced)
-        matched = 0
-        for key in pdf[pdf["is_golden"]]["key"]:
-            best = -1
-            for name in key:
-                queue, head = queues.get(name, []), heads.get(name, 0)
-                while head < len(queue) and used[queue[head]]:
-                    head += 1
-                heads[name] = head
-                if head < len(queue) and (best < 0 or queue[head] < best):
-                    best = queue[head]
-            if best >= 0:
-                used[best] = True
-                matched += 1
-        row = {k: [pdf[k].iloc[0]] for k in keys}
-        return pd.DataFrame({**row, "matched": [matched]})
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, queues, used, matched = None, {}, [], 0
+        for batch in batches:
+            done, counts = [], []
+            columns = [batch.column(c).to_pylist() for c in [*group, "is_golden", "key"]]
+            for *own, is_golden, names in zip(*columns):
+                if own != current:
+                    if matched:
+                        done.append(current)
+                        counts.append(matched)
+                    current, queues, used, matched = own, {}, [], 0
+                if not is_golden:
+                    for name in names:
+                        queues.setdefault(name, deque()).append(len(used))
+                    used.append(False)
+                    continue
+                free = []
+                for queue in (queues[n] for n in names if n in queues):
+                    while queue and used[queue[0]]:
+                        queue.popleft()
+                    if queue:
+                        free.append(queue[0])
+                if free:
+                    used[min(free)] = True
+                    matched += 1
+            yield result(batch, done, counts)
+        if matched:
+            yield result(batch, [current], [matched])
+
+    def result(batch: pa.RecordBatch, groups: list, counts: list[int]) -> pa.RecordBatch:
+        arrays = [pa.array([g[i] for g in groups], type=batch.schema.field(k).type) for i, k in enumerate(keys)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(counts, type=pa.int64())], names=[*keys, "matched"])
 
     return match
 
@@ -230,12 +224,10 @@ def match_credits(produced: DataFrame, golden: DataFrame, keys: Sequence[str] =
     tables, or results that were materialized.
 
     Golden credits in order each take the first free produced credit of the same role that shares a
-    name (or is nameless like itself). Three exact routes, from common to rare:
-
-    * a name that occurs only in one-name credits makes its credits interchangeable, so the number
-      of matches is the smaller of the two counts: plain counting, combined on the map side;
-    * credits entangled through a credit with several names are folded in order per (keys, role);
-    * groups of more than FOLD_LIMIT entangled credits take a linear-time grouped function.
+    name (or is nameless like itself). A name that occurs only in one-name credits makes its credits
+    interchangeable, so the number of matches is the smaller of the two counts: plain counting, combined
+    on the map side. Credits entangled through a credit with several names are matched in order, in a
+    stream sorted within (keys, role).
     """
     keys = list(keys)
     group = [*keys, "role"]
@@ -251,22 +243,14 @@ def match_credits(produced: DataFrame, golden: DataFrame, keys: Sequence[str] =
     simple_matches = F.when(is_entangled, zero).otherwise(F.least("g", "p"))
     simple = marked.select(*keys, simple_matches.alias("matched"), F.col("p").alias("produced"), F.col("g").alias("golden"))
 
-    # the entangled credits themselves, with the size of their group; keys are unique on the right
-    tangled = marked.where(is_entangled).select(*group, "key", (F.col("g") + F.col("p")).alias("n"))
-    sizes = tangled.groupBy(*group).agg(F.sum("n").alias("size"))
-    rows = both.join(tangled.drop("n").join(sizes, group), [*group, "key"])
-    item = F.struct("ord", "key")
-    small_groups = rows.where(F.col("size") <= FOLD_LIMIT).groupBy(*group).agg(
-        F.array_sort(F.collect_list(F.when(F.col("is_golden"), item))).alias("gs"),
-        F.array_sort(F.collect_list(F.when(~F.col("is_golden"), item))).alias("ps"),
-    )
-    folded = small_groups.select(*keys, _fold_matches(F.col("gs"), F.col("ps")).alias("matched"), zero.alias("produced"), zero.alias("golden"))
+    # keys are unique on the right
+    entangled = both.join(marked.where(is_entangled).select(*group, "key"), [*group, "key"])
+    ordered = entangled.repartition(*group).sortWithinPartitions(*group, "is_golden", "ord", "key").select(*group, "is_golden", "key")
     types = {f.name: f.dataType.simpleString() for f in both.schema.fields}
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", matched bigint"
-    linear = rows.where(F.col("size") > FOLD_LIMIT).drop("size").groupBy(*group).applyInPandas(_match_large_groups(keys), schema)
-    linear = linear.select(*keys, "matched", zero.alias("produced"), zero.alias("golden"))
+    in_order = ordered.mapInArrow(_match_in_order(keys), schema).select(*keys, "matched", zero.alias("produced"), zero.alias("golden"))
 
-    parts = simple.unionByName(folded).unionByName(linear)
+    parts = simple.unionByName(in_order)
     return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("matched", "produced", "golden")])
 
 

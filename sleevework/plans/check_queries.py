@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sleevework.operators import checks as D
 from sleevework.operators import notes as N
-from sleevework.plans.registry import query, table, view
+from sleevework.plans.registry import notes_view, query, table, view
 
 
 @query("d1_min_rows", """
@@ -74,4 +74,4 @@ where not exists (select 1 from v_tracks t where t.album_id = e.album_id and t.n
 """)
 def foreign_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     tracks = view(spark, sf_dir, "v_tracks").select("album_id", F.col("number").alias("track"))
-    return D.foreign_key(N.emit(view(spark, sf_dir, "v_notes")).select("album_id", "track"), tracks, ["album_id", "track"])
+    return D.foreign_key(N.emit(notes_view(spark, sf_dir)).select("album_id", "track"), tracks, ["album_id", "track"])

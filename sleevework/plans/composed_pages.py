@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sleevework.plans.registry import table, view
+from sleevework.plans.registry import by_key, table, view
 
 SITE = "https://example.org"
 
@@ -31,18 +31,13 @@ def _page(key: str, kind: str, head: str, body: str) -> list[str]:
     ]
 
 
-def _by_key(rows: DataFrame, key: str) -> DataFrame:
-    """The narrow source rows by key: reading a page costs far more than the row it is composed from."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
-
-
 def org_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One per supplier: its name, its nation as type (labelled twice), a description."""
     nation = F.broadcast(table(spark, sf_dir, "nation"))  # 25 rows at every scale
     rows = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     body = """concat('<h1> </h1><h1> ', case when s_suppkey % 19 = 0 then '' else s_name end, ' </h1><dl><dt class="label">Type</dt><dd>', n_name, '</dd>',
       '<dt class="smallfont label">Description</dt>\n<dd>', case when s_suppkey % 3 = 0 then ' ' else concat('A &amp; B<br>', s_suppkey, '&nbsp;&#33;&eacute;') end, '</dd><dt class="label">Type</dt><dd>second</dd></dl>')"""
-    return _by_key(rows, "s_suppkey").selectExpr(*_page("s_suppkey", "org", canonical("org", "s_suppkey"), body))
+    return by_key(rows, "s_suppkey").selectExpr(*_page("s_suppkey", "org", canonical("org", "s_suppkey"), body))
 
 
 def artist_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +49,7 @@ def artist_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
       case when c_custkey % 2 = 0 then concat('<div><b style="color: #788990">Units</b><a href="https://other.org/artist/', c_custkey + 2, '?x=1">U &lt;', c_custkey, '</a></div>') else '' end,
       '<div><b style="color: #788990">Birthdate</b>1999</div></div>')"""
     rows = table(spark, sf_dir, "customer")
-    return _by_key(rows, "c_custkey").selectExpr(*_page("c_custkey", "artist", canonical("artist", "c_custkey"), body))
+    return by_key(rows, "c_custkey").selectExpr(*_page("c_custkey", "artist", canonical("artist", "c_custkey"), body))
 
 
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +61,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
       '<dt class="label">Developer</dt><dd><a href="/org/', p_size % 5, '?tab=p">Dev ', p_size % 5, '</a><a href="/org/none">NoId</a><a href="/org/none">NoId</a></dd>',
       '<dt class="label">Publisher</dt><dd><a href="/org/', p_size % 3, '">Pub ', p_size % 3, '</a><a href="/org/9">Pub 9</a></dd></dl>')"""
     rows = table(spark, sf_dir, "part").join(view(spark, sf_dir, "v_localized"), F.col("p_partkey") == F.col("id"))
-    return _by_key(rows, "id").selectExpr(*_page("id", "product", canonical("product", "id"), body))
+    return by_key(rows, "id").selectExpr(*_page("id", "product", canonical("product", "id"), body))
 
 
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +71,7 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
       '<span class="albumtitle" lang="en">Other album</span><span class="albumtitle" lang="ja-Latn">late</span>',
       '<span class="smallfont label">', raw, '</span><span class="smallfont label">2030</span>')"""
     rows = view(spark, sf_dir, "v_dates")
-    return _by_key(rows, "id").selectExpr(*_page("id", "event", canonical("event", "id"), body))
+    return by_key(rows, "id").selectExpr(*_page("id", "event", canonical("event", "id"), body))
 
 
 # tracks of album p: discs 1 .. p % 3 (none: a bare list), disc d has (p + d) % 4 + 1 tracks
@@ -111,7 +106,7 @@ def album_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
        when id % 4 = 1 then '<a href="/event/3" class="link_event">Released at  祭り (2002) </a>' when id % 4 = 2 then '<a href="/event/3" class="link_event">(2002)</a>' else '' end"""
     body = f"""concat('<h1>', case when id % 19 = 0 then '' else {titles} end, '</h1>', {pictures}, {credits}, {info}, {event}, {tracklist}, {notes}, '<div>after</div>')"""
     rows = table(spark, sf_dir, "part").join(view(spark, sf_dir, "v_localized"), F.col("p_partkey") == F.col("id"))
-    return _by_key(rows, "id").selectExpr(*_page("id", "album", canonical("album", "id"), body))
+    return by_key(rows, "id").selectExpr(*_page("id", "album", canonical("album", "id"), body))
 
 
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,4 +117,4 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = f"""concat('<h3 class="label">x</h3>', case when c_custkey % 10 = 9 then '' else concat('<div id="albumresults"><h3 class="label">', c_custkey % 14, ' album results for "say "', c_custkey, '""</h3><table class="results"><thead><tr><th>head</th></tr></thead>',
       array_join(transform(slice(sequence(1, 14), 1, cast(c_custkey % 14 as int)), t -> {hit}), ''), '</table></div>') end, '<div id="artistresults"><h3 class="label">0 artist results for "q"</h3></div>')"""
     rows = table(spark, sf_dir, "customer")
-    return _by_key(rows, "c_custkey").selectExpr(*_page("c_custkey", "search", "''", body))
+    return by_key(rows, "c_custkey").selectExpr(*_page("c_custkey", "search", "''", body))

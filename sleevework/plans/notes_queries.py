@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sleevework.functions.tracks import inline_groups
 from sleevework.operators import notes as N
 from sleevework.plans import duck
-from sleevework.plans.registry import CHECK_VIEWS, query, view
+from sleevework.plans.registry import CHECK_VIEWS, notes_view, query, view
 
 # The same work written as joins and windows, for checking only.
 CHECK_VIEWS["x_lines"] = """
@@ -72,7 +72,7 @@ from x_emitted_grp e where exists (select 1 from v_tracks t where t.album_id = e
 
 
 def _notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "v_notes")
+    return notes_view(spark, sf_dir)
 
 
 def _tracks(spark: SparkSession, sf_dir: str) -> DataFrame:

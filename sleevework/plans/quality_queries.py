@@ -9,7 +9,7 @@ from sleevework.functions.dates import parse_partial_date
 from sleevework.operators import notes as N
 from sleevework.operators import quality as Q
 from sleevework.plans import quality_run as R
-from sleevework.plans.registry import CHECK_VIEWS, query, table, view
+from sleevework.plans.registry import CHECK_VIEWS, notes_view, query, table, view
 from sleevework.session import durable
 from sleevework.sources.golden import ALBUM_SCHEMA, golden_documents
 
@@ -132,7 +132,7 @@ left join (select album_id, count(distinct track) as tracks_with_credits, count(
 
 @query("q7_coverage", "select album_id, available, tracks_with_credits, total_tracks, total_credits from x_coverage")
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    notes = view(spark, sf_dir, "v_notes")
+    notes = notes_view(spark, sf_dir)
     # the emitted credits still name tracks the album lacks; coverage leaves them out itself
     return Q.coverage(notes.select("album_id"), view(spark, sf_dir, "v_tracks"), N.emit(notes))
 
@@ -230,7 +230,7 @@ select backend, album_id, matched, produced, golden, over_all, {_PRF} from (
 
 
 def _backend_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    notes, tracks = view(spark, sf_dir, "v_notes"), view(spark, sf_dir, "v_tracks")
+    notes, tracks = notes_view(spark, sf_dir), view(spark, sf_dir, "v_tracks")
     produced = durable(R.matching_columns(N.run_backends(notes, tracks), "backend"))
     golden = golden_credits(produced.where("backend = 'rules'").drop("backend"))
     return Q.score_backends(produced, golden, list(N.BACKENDS), notes.select("album_id"))
@@ -267,7 +267,7 @@ def distinct_in_first_seen_order(spark: SparkSession, sf_dir: str) -> DataFrame:
        union all select 'coverage', 'rules', cast(sum(tracks_with_credits) as bigint), cast(sum(total_tracks) as bigint), null, null from x_coverage""",
 )
 def quality_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    notes, tracks = view(spark, sf_dir, "v_notes"), view(spark, sf_dir, "v_tracks").select("album_id", "number")
+    notes, tracks = notes_view(spark, sf_dir), view(spark, sf_dir, "v_tracks").select("album_id", "number")
     tables = R.quality_run(
         sources=view(spark, sf_dir, "v_source"), golden=view(spark, sf_dir, "v_golden"), notes=notes, tracks=tracks,
         golden_credits=golden_credits(R.matching_columns(N.mine_credits(notes, tracks))),

@@ -43,6 +43,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_key(rows: DataFrame, key: str) -> DataFrame:
+    """Narrow rows dealt by key ahead of work, such as parsing, that costs far more than moving them."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _needed(text: str, views: dict[str, str]) -> list[str]:
     """The views a text refers to, dependencies first."""
     order: list[str] = []
@@ -68,6 +73,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(f"with {', '.join(ctes)} select * from {name}")
 
 
+def notes_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The notes of every album, dealt by album for their parsing."""
+    return by_key(view(spark, sf_dir, "v_notes"), "album_id")
+
+
 def checking_sql(text: str) -> str:
     """A query text completed with the definitions of the views it refers to."""
     views = {**VIEWS, **CHECK_VIEWS}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sleevework.operators import replies as R
 from sleevework.plans.quality_queries import album_documents
-from sleevework.plans.registry import CHECK_VIEWS, query, view
+from sleevework.plans.registry import CHECK_VIEWS, notes_view, query, view
 
 CHECK_VIEWS["x_tracklists"] = """
 select a.album_id, string_agg(concat(split_part(split_part(g.field, 'track', 2), '.', 1), '. ', g.value), chr(10) order by g.ord) as tracklist
@@ -30,7 +30,7 @@ from x_tracklists t join v_notes n on n.album_id = t.album_id
 
 def _prompt_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompts = R.prompt_table(album_documents(spark, sf_dir))
-    return prompts.join(view(spark, sf_dir, "v_notes"), "album_id")
+    return prompts.join(notes_view(spark, sf_dir), "album_id")
 
 
 @query("n13_render_template", "select album_id, text, error from x_rendered")

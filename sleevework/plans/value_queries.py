@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sleevework.functions import dates, localized, loose_json, roles, text, tracks
 from sleevework.plans import duck
-from sleevework.plans.registry import CHECK_VIEWS, query, table, view
+from sleevework.plans.registry import CHECK_VIEWS, notes_view, query, table, view
 
 
 def _parts(date: Column) -> list[Column]:
@@ -168,7 +168,7 @@ def normalize_role_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("v10_has_role_keyword", f"select album_id, pos, {duck.credit_word('line')} as has_word from x_lines")
 def has_role_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = view(spark, sf_dir, "v_notes").select("album_id", F.posexplode(text.lines(F.col("notes"))).alias("pos", "line"))
+    lines = notes_view(spark, sf_dir).select("album_id", F.posexplode(text.lines(F.col("notes"))).alias("pos", "line"))
     return lines.select("album_id", F.col("pos").cast("bigint").alias("pos"), roles.has_role_keyword(F.col("line")).alias("has_word"))
 
 
@@ -183,7 +183,7 @@ def parse_track_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("v12_split_names", f"select album_id, pos, array_to_string({duck.names('line')}, '|') as names from x_lines")
 def split_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = view(spark, sf_dir, "v_notes").select("album_id", F.posexplode(text.lines(F.col("notes"))).alias("pos", "line"))
+    lines = notes_view(spark, sf_dir).select("album_id", F.posexplode(text.lines(F.col("notes"))).alias("pos", "line"))
     return lines.select("album_id", F.col("pos").cast("bigint").alias("pos"), F.array_join(tracks.split_names(F.col("line")), "|").alias("names"))
 
 

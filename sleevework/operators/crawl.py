@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -118,10 +120,10 @@ def throttle_wait(log: DataFrame, min_interval: float, tie: str = "event_id") ->
     """
     if min_interval <= 0:
         return log.withColumn("wait", F.lit(0.0))
-    slot_us = int(max(3600.0, min_interval) * 1_000_000)
+    slot_us = max(1, math.ceil(min_interval * 1_000_000))
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    rows = log.withColumns({"_us": us, "_slot": F.floor(us / F.lit(slot_us))}).withColumn("_carry", F.lit(False))
-    carried = rows.groupBy("host", "_slot").agg(F.max("_us").alias("_us")).select("host", "_us", (F.col("_slot") + 1).alias("_slot"), F.lit(True).alias("_carry"))
+    rows = log.withColumns({"_us": us, "_slot": us - F.pmod(us, F.lit(slot_us))}).withColumn("_carry", F.lit(False))
+    carried = rows.groupBy("host", "_slot").agg(F.max("_us").alias("_us")).select("host", "_us", (F.col("_slot") + slot_us).alias("_slot"), F.lit(True).alias("_carry"))
     both = rows.unionByName(carried, allowMissingColumns=True)
     before = F.lag("_us").over(Window.partitionBy("host", "_slot").orderBy("_us", F.desc("_carry"), tie))
     wait = F.greatest(F.lit(0.0), F.lit(float(min_interval)) - (F.col("_us") - before) / F.lit(1e6))

@@ -214,8 +214,8 @@ def enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     notes = _notes(spark, sf_dir)
     albums = notes.select("album_id")
     counted = N.enrich(albums, N.mine_credits(notes, _tracks(spark, sf_dir)))
-    # without a backend every album is simply empty
-    return counted.withColumn("n_without_backend", F.lit(0).cast("bigint"))
+    without = N.enrich(albums).withColumnRenamed("n_credits", "n_without_backend")
+    return counted.join(without, "album_id")
 
 
 @query("flagship_track_credits", "select album_id, track, role, role_raw, n.name as artist from x_credits c, unnest(c.names) as n(name)")

@@ -232,22 +232,37 @@ union all select id, d, 1, null, 1, 99, null, 'Stray' from x_discs where id % 3
 """
 
 
+CHECK_VIEWS["x_every_tab"] = """
+select id, b.tab, d, number as disc_number, name, case when id % 3 = 0 and id % 7 = 0 then t.t + 1 else t.t end as pos, t.t as number, case when t.t % 2 = 0 then concat(t.t, ':0', d) end as length,
+  case when b.tab = 2 and t.t = 1 then concat('曲 ', id, '-', d) else concat(case b.tab when 3 then 'X' else 'E' end, id, '-', d, '-', t.t) end as title
+from x_discs cross join (values (1), (2), (3)) b(tab) cross join (values (1), (2), (3), (4), (5)) t(t)
+where t.t <= (id + d) % 4 + 1 + case when b.tab = 1 and id % 6 = 2 then 1 else 0 end and (b.tab < 3 or id % 5 = 0)
+union all select id, b.tab, d, 1, null, 1, 99, null, 'Stray' from x_discs cross join (values (1), (2), (3)) b(tab)
+where id % 3 = 0 and id % 7 = 0 and (b.tab < 3 or id % 5 = 0)
+"""
+
+
+def _disc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, tab, disc_ord, d): the discs of every tracklist tab."""
+    tabs = H.containers(F.col("html"), "span", 'class="tl"')
+    rows = P.cleaned(pages.album_pages(spark, sf_dir)).select(F.col("page_id").alias("id"), F.posexplode(tabs).alias("at", "t"))
+    rows = rows.select("id", (F.col("at") + 1).alias("tab"), F.posexplode(P.disc_groups(F.col("t.inner"))).alias("pos", "d"))
+    return rows.select("id", "tab", (F.col("pos") + 1).cast("bigint").alias("disc_ord"), "d")
+
+
 @query("p12_disc_groups", """
-select id, row_number() over (partition by id order by d) as disc_ord, disc_number as number, name, n from (
-  select id, d, disc_number, name, count(*) as n from x_raw_tracks group by id, d, disc_number, name) t
+select id, tab, row_number() over (partition by id, tab order by d) as disc_ord, disc_number as number, name, n from (
+  select id, tab, d, disc_number, name, count(*) as n from x_every_tab group by id, tab, d, disc_number, name) t
 """)
 def disc_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tab = F.get(H.containers(F.col("html"), "span", 'id="tl1"'), F.lit(0))["inner"]
-    rows = P.cleaned(pages.album_pages(spark, sf_dir)).select(F.col("page_id").alias("id"), F.posexplode(P.disc_groups(tab)).alias("pos", "d"))
-    return rows.select("id", (F.col("pos") + 1).cast("bigint").alias("disc_ord"), F.col("d.number").alias("number"), "d.name", F.size("d.tracks").cast("bigint").alias("n"))
+    rows = _disc_rows(spark, sf_dir)
+    return rows.select("id", "tab", "disc_ord", F.col("d.number").alias("number"), "d.name", F.size("d.tracks").cast("bigint").alias("n"))
 
 
-@query("p13_raw_track", "select id, cast(disc_number as int) as disc, cast(pos as bigint) as pos, cast(number as int) as number, length, title from x_raw_tracks")
+@query("p13_raw_track", "select id, tab, cast(disc_number as int) as disc, cast(pos as bigint) as pos, cast(number as int) as number, length, title from x_every_tab")
 def raw_track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tab = F.get(H.containers(F.col("html"), "span", 'id="tl1"'), F.lit(0))["inner"]
-    rows = P.cleaned(pages.album_pages(spark, sf_dir)).select(F.col("page_id").alias("id"), F.explode(P.disc_groups(tab)).alias("d"))
-    tracks = rows.select("id", F.col("d.number").alias("disc"), F.posexplode("d.tracks").alias("pos", "t"))
-    return tracks.select("id", "disc", (F.col("pos") + 1).cast("bigint").alias("pos"), "t.number", "t.length", "t.title")
+    tracks = _disc_rows(spark, sf_dir).select("id", "tab", F.col("d.number").alias("disc"), F.posexplode("d.tracks").alias("pos", "t"))
+    return tracks.select("id", "tab", "disc", (F.col("pos") + 1).cast("bigint").alias("pos"), "t.number", "t.length", "t.title")
 
 
 # the tab that speaks for English, and whether Japanese leads

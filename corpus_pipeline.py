@@ -25,8 +25,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates."""
-    return minhash_dedup.near_dedup(docs)
+    """One document of each component of near duplicates: four fifths of the five-word shingles in common."""
+    return minhash_dedup.near_dedup(docs, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

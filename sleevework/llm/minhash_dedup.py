@@ -16,16 +16,31 @@ from sleevework.llm.wordcodes import LOWER, find_words, mix, piece_codes, run_co
 SHINGLE = 5
 KEEP = 64  # retained values of a sketch
 PERCENT = 85
-#: Share of its own retained values that a linked document shares at least. For a pair at the threshold the number
-#: of shared values of two full sketches is at least a binomial (64, 0.85) draw; 39 or more is 5.3 deviations below its mean.
-LEAST_SHARED = 0.6
 #: The wide sketches of step 3 have so many values: the whole set, and so an exact answer, for sets up to that size.
 WIDE = 256
-LEAST_WIDE = 0.73  # as LEAST_SHARED, for wide sketches: 187 or more of 256 is 5.3 deviations below the mean
+LOSS = 1e-6  # chance at most that the sketches of a pair at the threshold share less than ``least_shared``
 BATCH_BYTES = 8 << 20
 BLOCK = 512  # members of a list that are compared in one task
 
 
+def least_shared(percent: int, kept: int) -> int:
+    """The percentage of its own retained values that a linked document shares at least, in sketches of ``kept``.
+
+    For a pair at the threshold the number of shared values of two full sketches is at least a binomial
+    (kept, percent / 100) draw; it falls short of the returned share with a chance of ``LOSS`` at most.
+    """
+    p, below, falls_short = percent / 100, 0.0, []
+    for shared in range(kept + 1):  # falls_short[n]: the chance of fewer than n shared values
+        falls_short.append(below)
+        below += math.comb(kept, shared) * p**shared * (1 - p) ** (kept - shared)
+    return max(share for share in range(percent + 1) if falls_short[_of(share, kept)] <= LOSS)
+
+
+def _of(share: int, n):
+    """So many percent of ``n``, rounded up; in whole numbers, which agree between Python, numpy and SQL."""
+    return (share * n + 99) // 100
+
+
 def _shingles(texts: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle codes of each text."""
     w = find_words(texts)
@@ -68,11 +83,11 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return read.mapInArrow(sketch, "doc_id long, n long, one long, two long, sketch binary")
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, share: int) -> DataFrame:
     """(cid, k, shared, first, weight): the retained values that a class shares with any other, the rarest first.
 
     A linked class shares one of the first ``first`` of them: with values that nobody else retains ahead of all,
-    two sketches that share ``LEAST_SHARED`` of the ``k`` values of either meet within the first 40 percent.
+    two sketches that share ``share`` percent of the ``k`` values of either meet within the first 100 - ``share``.
     """
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,7 +100,7 @@ def _postings(classes: DataFrame) -> DataFrame:
     spread_out = classes.select("cid", "sketch").mapInArrow(spread, "value long, cid long, k long")
     often = spread_out.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
     held = spread_out.join(often, "value").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("n", "value"))).alias("held"), F.max("k").alias("k"))
-    first = F.greatest(F.lit(0), F.expr(f"k - cast(ceil({LEAST_SHARED} * k) as int) + 1 - (k - size(held))")).cast("int")
+    first = F.greatest(F.lit(0), F.expr(f"k - ({share} * k + 99) div 100 + 1 - (k - size(held))")).cast("int")
     held = held.select("cid", "k", F.transform("held", lambda h: h["value"]).alias("shared"), first.alias("first"), F.aggregate("held", F.lit(0).cast("long"), lambda s, h: s + h["n"]).alias("weight")).where("first > 0")
     return held
 
@@ -110,7 +125,7 @@ def _arrays(table: pa.Table, name: str) -> list[np.ndarray]:
     return [np.array(v, np.int64) for v in table[name].to_pylist()]
 
 
-def _candidates(x: pa.Table, y: pa.Table) -> np.ndarray:
+def _candidates(x: pa.Table, y: pa.Table, percent: int, share: int) -> np.ndarray:
     """Which pairs of members of one list may be linked and meet in no list before this one.
 
     Lists are in the order of the shared values, the rarest first; what stands before this list's value in either
@@ -119,19 +134,19 @@ def _candidates(x: pa.Table, y: pa.Table) -> np.ndarray:
     value = x["value"][0].as_py()
     sx, sy = _arrays(x, "shared"), _arrays(y, "shared")
     before = _overlap(*([v[: int(np.flatnonzero(v == value)[0])] for v in side] for side in (sx, sy)))
-    need = np.ceil(LEAST_SHARED * np.minimum.outer(x["k"].to_numpy(), y["k"].to_numpy()))
+    need = _of(share, np.minimum.outer(x["k"].to_numpy(), y["k"].to_numpy()))
     nx, ny = x["n"].to_numpy(), y["n"].to_numpy()
-    sizes = 100 * np.minimum.outer(nx, ny) >= PERCENT * np.maximum.outer(nx, ny)
+    sizes = 100 * np.minimum.outer(nx, ny) >= percent * np.maximum.outer(nx, ny)
     apart = x["comp"].to_numpy()[:, None] != y["comp"].to_numpy()[None, :]
     once = ~y["outside"].to_numpy()[None, :] | (x["cid"].to_numpy()[:, None] < y["cid"].to_numpy()[None, :])
     return (before == 0) & sizes & apart & once & (_overlap(sx, sy) >= need)
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, share: int) -> DataFrame:
     """(a, b) of the pairs of classes that are linked: sizes, then the union of the sketches, then the full sets."""
     side = classes.select("cid", "n", "sketch")
     both = pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
-    both = both.where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+    both = both.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +155,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFram
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 union = np.union1d(x, y)[: max(len(x), len(y))]  # the bottom of the union
                 common = np.intersect1d(x, y, assume_unique=True)
-                keep.append(bool(len(union)) and int((common <= union[-1]).sum()) >= math.ceil(LEAST_SHARED * len(union)))
+                keep.append(bool(len(union)) and int((common <= union[-1]).sum()) >= _of(share, len(union)))
             chosen = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(chosen), batch.column("b").filter(chosen)], ["a", "b"])
 
@@ -152,7 +167,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFram
             for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
+                keep.append(100 * common >= percent * (len(x) + len(y) - common))
             chosen = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(chosen), batch.column("b").filter(chosen)], ["a", "b"])
 
@@ -160,11 +175,11 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFram
     return full.select("a", "b", "xa", "xb").mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
     A document's set has its distinct shingles of five words, A-Z in lower case; a shorter document is one shingle;
-    one without words (or null) is linked with nothing. Two sets are linked if 100 |x and y| >= 85 |x or y|.
+    one without words (or null) is linked with nothing. Two sets are linked if 100 |x and y| >= ``percent`` |x or y|.
     ``component_id`` is the smallest id that can be reached, ``kept`` marks its row. Rows that share an id share
     a component. Rows with a null id are linked with nothing, have a null component and are kept. An empty table
     gives no rows; other columns are not read.
@@ -177,8 +192,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        have a candidate, then the marked ones by wide sketches. Only pairs that these confirm leave a block, to
        be estimated and verified as in 2. Members of one component need no comparison.
 
-    Linked pairs are lost only if their sketches share less than ``LEAST_SHARED`` of the values, see there.
+    Linked pairs are lost only if their sketches share less than ``least_shared`` of the values, see there.
     """
+    share, share_wide = least_shared(percent, KEEP), least_shared(percent, WIDE)
     drawn = saved(sketches(docs, id_col, text_col), "near-sketches")
     worded = drawn.where("n > 0 and doc_id is not null")
     sets_seen = saved(worded.groupBy("n", "one", "two").agg(F.min("doc_id").alias("least")), "near-classes")
@@ -187,7 +203,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = worded.join(sets_seen, ["n", "one", "two"]).where("doc_id = least").select("n", "one", "two", "least", "sketch").distinct()
     classes = saved(own.withColumn("cid", F.xxhash64("n", "one", "two")), "near-own")
 
-    postings = saved(_postings(classes), "near-postings")
+    postings = saved(_postings(classes, share), "near-postings")
     lists = postings.select("cid", "weight", F.explode(F.slice("shared", F.lit(1), F.col("first"))).alias("value"))
     sizes = lists.groupBy("value").agg(F.count("*").alias("size"), F.max(F.struct("weight", "cid"))["cid"].alias("centre")).where("size > 1")
     shared = saved(lists.join(sizes, "value").select("value", "cid", "centre"), "near-lists")
@@ -208,7 +224,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = stored.select("cid", "codes")
 
     spokes = shared.where("cid <> centre").select(F.least("cid", "centre").alias("a"), F.greatest("cid", "centre").alias("b")).distinct()
-    links = saved(_verified(spokes, classes, sets), "near-links")
+    links = saved(_verified(spokes, classes, sets, percent, share), "near-links")
     met = components(links, "near-met").withColumnsRenamed({"node": "cid", "root": "comp"})
 
     members = saved(shared.join(met, "cid", "left").select("value", "cid", F.coalesce("comp", "cid").alias("comp")), "near-members")
@@ -234,7 +250,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         schema = pa.schema([("value", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("cid", pa.int64()), ("comp", pa.int64()), ("outside", pa.bool_()), ("is_left", pa.bool_())])
         if not x.num_rows or not y.num_rows:
             return schema.empty_table()
-        pairs = _candidates(x, y)
+        pairs = _candidates(x, y, percent, share)
         parts = []
         for side, some, is_left in ((x, pairs.any(axis=1), True), (y, pairs.any(axis=0), False)):
             chosen = side.filter(pa.array(some)).select(["value", "i", "j", "cid", "comp", "outside"])
@@ -248,9 +264,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             return schema.empty_table()
         wide = [[np.frombuffer(v, np.uint32).astype(np.int64) for v in t["wide"].to_pylist()] for t in (x, y)]
         common, nx, ny = _overlap(*wide), x["n"].to_numpy(), y["n"].to_numpy()
-        exact = 100 * common >= PERCENT * (nx[:, None] + ny[None, :] - common)
-        likely = common >= np.ceil(LEAST_WIDE * np.minimum(np.minimum.outer(nx, ny), WIDE))
-        at, to = np.nonzero(_candidates(x, y) & np.where(np.maximum.outer(nx, ny) <= WIDE, exact, likely))
+        exact = 100 * common >= percent * (nx[:, None] + ny[None, :] - common)
+        likely = common >= _of(share_wide, np.minimum(np.minimum.outer(nx, ny), WIDE))
+        at, to = np.nonzero(_candidates(x, y, percent, share) & np.where(np.maximum.outer(nx, ny) <= WIDE, exact, likely))
         a, b = x["cid"].to_numpy()[at], y["cid"].to_numpy()[to]
         return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=schema)
 
@@ -259,7 +275,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wide = stored.select("cid", "wide")
     sides = [flagged.where(F.col("is_left") == x).drop("is_left") for x in (True, False)]
     likely = grid(sides[0], wide).cogroup(grid(sides[1], wide)).applyInArrow(estimate, "a long, b long").distinct()
-    more = saved(_verified(likely, classes, sets), "near-links")
+    more = saved(_verified(likely, classes, sets, percent, share), "near-links")
 
     ids = saved(drawn.join(classes.select("n", "one", "two", "cid", "least"), ["n", "one", "two"], "left").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("cid")).alias("cid")), "near-ids")
     several = ids.where("cid is not null").groupBy("doc_id").agg(F.min("cid").alias("b"), F.max("cid").alias("most")).where("b <> most").select("doc_id", "b")
@@ -273,7 +289,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` of which one stands for each component, with all their columns."""
-    gone = near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("gone_id_")).distinct()
+    gone = near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col("doc_id").alias("gone_id_")).distinct()
     return docs.join(gone, F.col(id_col) == F.col("gone_id_"), "left_anti")

@@ -10,6 +10,7 @@ import re
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -231,6 +232,29 @@ def test_near_duplicates(docs, empty, spark):
     assert minhash_dedup.near_dedup(docs).columns == docs.columns
 
 
+def test_near_duplicates_between_the_thresholds(spark):
+    rows, shares = [], []
+    for pair, n in enumerate((100, 200, 300, 400, 600, 1000) * 3):  # some within a sketch, some beyond the wide one
+        words = prose(500 + pair, n).split()
+        changed = list(words)
+        least = 0.83 if pair < 12 else 0.79  # the last third stays apart
+        for k in range(n):
+            shingles = [{tuple(w[i : i + 5]) for i in range(n - 4)} for w in ([x.translate(LOWER) for x in words], [x.translate(LOWER) for x in changed])]
+            share = len(shingles[0] & shingles[1]) / len(shingles[0] | shingles[1])
+            if share <= least:
+                break
+            changed[(k * 11 + 3) % n] = f"w{pair}x{k}"
+        shares.append(share)
+        rows += [(2 * pair, " ".join(words), "s", "", "", 0), (2 * pair + 1, " ".join(changed), "s", "", "", 0)]
+    assert all(0.8 <= s < 0.85 for s in shares[:12]) and all(s < 0.8 for s in shares[12:])
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert minhash_dedup.near_dedup(docs).count() == 36
+    linked = sorted(r["doc_id"] for r in minhash_dedup.near_dedup(docs, percent=80).collect())
+    assert linked == [*range(0, 24, 2), *range(24, 36)]
+    staged = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "")
+    assert sorted(r["doc_id"] for r in staged.collect()) == linked
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(500, 501), (501, 500), (7, 7)]
     got = dict(rows_of(shared.components(spark.createDataFrame(edges, "a long, b long")), "node", "root"))

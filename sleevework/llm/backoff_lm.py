@@ -7,13 +7,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sleevework.llm.buckets import bucketed, unpack
+from sleevework.llm.buckets import bucketed, pack_counts, pack_sorted, unpack_counts, unpack_sorted
 from sleevework.llm.wordcodes import LOWER, find_words, piece_codes, run_codes
 
 BUCKET_BYTES = 16 << 20
 PART_KEYS = 2 << 20  # n-grams of the input for each part, about
 BYTES_PER_WORD = 5
-ORDER = 2
+ORDER = 3
+SPARE_BITS = 6  # of the shortened codes, beyond those that tell the tokens of the input apart
 PRIOR = 1.5  # weight of the failure arc, in observations of the state
 ADD = 0.1  # of the base model
 END = np.uint64(0x6A09E667F3BCC909)  # the code of the end of a document
@@ -58,10 +59,15 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
     up to one. Reading a token follows its arc, or failure arcs until one is found; the state reached is the
     longest known history. Every bucket of documents gets the counts of the n-grams its own texts can meet, so
     no task holds the whole model, and the counts come from all training documents.
+
+    1. Every bucket names its n-grams of two and more words by codes cut to a few bits more than the input needs,
+       and learns which of them another bucket has too. An n-gram that only one bucket has is counted there.
+    2. The others, and all words, are sent with their whole codes and counts; what comes back are the sums.
     """
     learnt = F.coalesce(learn, F.lit(False)).alias("learnt")
     rows, total = bucketed(docs, BUCKET_BYTES, id_col, text_col, learnt)
     parts = max(1, total // (BYTES_PER_WORD * PART_KEYS))
+    cut = np.uint64(max(0, 64 - SPARE_BITS - (total // BYTES_PER_WORD).bit_length()))
 
     def keys_of(tokens: _Tokens, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(distinct n-grams in order, where each part's begin, distinct place of each token's n-gram, in reach)."""
@@ -72,40 +78,73 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
         step = (2**64 - 1) // parts + 1
         return distinct, np.searchsorted(distinct, np.array([p * step for p in range(1, parts)], np.uint64)), place, whole
 
-    def send(table: pa.Table) -> pa.Table:
-        tokens, out, bucket = _Tokens(table), [], table["bucket"][0].as_py()
+    def own_counts(table: pa.Table, tokens: _Tokens, distinct: np.ndarray, place: np.ndarray, whole: np.ndarray) -> np.ndarray:
         counted = np.repeat(table["learnt"].to_numpy(), np.diff(tokens.first))
+        return np.bincount(place[whole & counted], minlength=len(distinct))
+
+    def table_of(out: list[tuple], *binaries: str) -> pa.Table:
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * len(binaries)]
+        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], ["part", "bucket", *binaries])
+
+    def probe(table: pa.Table) -> pa.Table:
+        """The shortened codes of a bucket."""
+        tokens, out, bucket = _Tokens(table), [], table["bucket"][0].as_py()
+        for n in range(2, order + 1):
+            distinct, borders, _, _ = keys_of(tokens, n)
+            out += [(n * parts + part, bucket, pack_sorted(np.unique(k >> cut))) for part, k in enumerate(np.split(distinct, borders))]
+        return table_of(out, "short")
+
+    def find_shared(table: pa.Table) -> pa.Table:
+        """One bit for each shortened code of a bucket: whether another bucket has it too."""
+        short = [unpack_sorted(x) for x in table["short"].to_pylist()]
+        _, inverse, buckets = np.unique(np.concatenate(short), return_inverse=True, return_counts=True)
+        shared = np.split((buckets > 1)[inverse], np.cumsum([len(s) for s in short])[:-1])
+        return pa.table([table["part"], table["bucket"], pa.array([np.packbits(s).tobytes() for s in shared], pa.binary())], ["part", "bucket", "shared"])
+
+    def send(table: pa.Table, probed: pa.Table) -> pa.Table:
+        """The n-grams that may be in other buckets, with their counts here, and which of all n-grams they are."""
+        if not table.num_rows:
+            return table_of([], "grams", "counts", "which")
+        tokens, out, bucket = _Tokens(table), [], table["bucket"][0].as_py()
+        told = dict(zip(probed["part"].to_pylist(), probed["shared"].to_pylist()))
         for n in range(1, order + 1):
             distinct, borders, place, whole = keys_of(tokens, n)
-            counts = np.bincount(place[whole & counted], minlength=len(distinct)).astype(np.uint32)
+            counts = own_counts(table, tokens, distinct, place, whole)
             for part, (k, c) in enumerate(zip(np.split(distinct, borders), np.split(counts, borders))):
-                out.append((n * parts + part, bucket, k.tobytes(), c.tobytes()))
-        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["part", "bucket", "grams", "counts"])
+                which = np.ones(len(k), bool)
+                if n > 1 and len(k):
+                    short = k >> cut
+                    at = np.cumsum(np.concatenate([[False], short[1:] != short[:-1]]))
+                    which = np.unpackbits(np.frombuffer(told[n * parts + part], np.uint8))[at].astype(bool)
+                out.append((n * parts + part, bucket, pack_sorted(k[which]), pack_counts(c[which]), np.packbits(which).tobytes()))
+        return table_of(out, "grams", "counts", "which")
 
     def merge(table: pa.Table) -> pa.Table:
         """Each bucket's n-grams with their counts in all buckets, and the sums over the n-grams of this part."""
-        grams, counts = unpack(table, "grams", "u8"), unpack(table, "counts", "u4")
+        grams = [unpack_sorted(x) for x in table["grams"].to_pylist()]
+        counts = [unpack_counts(x, len(g)) for x, g in zip(table["counts"].to_pylist(), grams)]
         distinct, inverse = np.unique(np.concatenate(grams), return_inverse=True)
         sums = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
-        answers = [x.astype(np.uint64).tobytes() if sums.max(initial=0) >= 2**32 else x.astype(np.uint32).tobytes() for x in np.split(sums[inverse], np.cumsum([len(g) for g in grams])[:-1])]
+        answers = [pack_counts(x) for x in np.split(sums[inverse], np.cumsum([len(g) for g in grams])[:-1])]
         n = table.num_rows
-        return pa.table([table["part"], table["bucket"], pa.array(answers, pa.binary()), pa.array([int(sums.sum())] * n), pa.array([int((sums > 0).sum())] * n)], ["part", "bucket", "counts", "total", "distinct"])
+        return pa.table([table["part"], table["bucket"], pa.array(answers, pa.binary()), table["which"], pa.array([int(sums.sum())] * n), pa.array([int((sums > 0).sum())] * n)], ["part", "bucket", "counts", "which", "total", "distinct"])
 
     def traverse(table: pa.Table, answers: pa.Table) -> pa.Table:
         schema = pa.schema([("doc_id", pa.int64()), ("learnt", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
         if not table.num_rows:
             return schema.empty_table()
         tokens = _Tokens(table)
-        told = sorted(zip(*(answers[c].to_pylist() for c in ("part", "counts", "total", "distinct"))))
+        told = sorted(zip(*(answers[c].to_pylist() for c in ("part", "counts", "total", "distinct", "which"))))
         seen, kinds = sum(t[2] for t in told if t[0] // parts == 1), sum(t[3] for t in told if t[0] // parts == 1)
         state = np.zeros(len(tokens.codes), np.int64)  # how often the history before each token was seen
         chance = known = None
         for n in range(1, order + 1):
             distinct, borders, place, whole = keys_of(tokens, n)
             sizes = np.diff(np.concatenate([[0], borders, [len(distinct)]]))
-            mine = [c for p, c, _, _ in told if p // parts == n]
-            counts = np.concatenate([np.frombuffer(c, "u4" if len(c) == 4 * size else "u8").astype(np.int64) for c, size in zip(mine, sizes)])
-            here = np.where(whole, counts[place], 0)
+            counts = own_counts(table, tokens, distinct, place, whole)
+            mine = [(c, np.unpackbits(np.frombuffer(w, np.uint8), count=size).astype(bool)) for (_, c, _, _, w), size in zip([t for t in told if t[0] // parts == n], sizes)]
+            counts[np.concatenate([which for _, which in mine])] = np.concatenate([unpack_counts(c, int(which.sum())) for c, which in mine])
+            here = np.where(whole, np.append(counts, 0)[place], 0)  # texts may all be shorter than n
             if n == 1:
                 known = here
                 chance = (here + ADD) / (seen + ADD * (kinds + 1))
@@ -119,6 +158,8 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
         n_docs = table.num_rows
         return pa.table([table["doc_id"], table["learnt"], pa.array(np.diff(tokens.first)), pa.array(sums((known > 0).astype(np.int64))), pa.array([seen] * n_docs, pa.int64()), pa.array(sums(base)), pa.array(sums(np.log10(chance)))], schema=schema)
 
-    sent = rows.groupBy("bucket").applyInArrow(send, "part long, bucket long, grams binary, counts binary")
-    merged = sent.groupBy("part").applyInArrow(merge, "part long, bucket long, counts binary, total long, distinct long")
+    probes = rows.groupBy("bucket").applyInArrow(probe, "part long, bucket long, short binary")
+    probed = probes.groupBy("part").applyInArrow(find_shared, "part long, bucket long, shared binary")
+    sent = rows.groupBy("bucket").cogroup(probed.groupBy("bucket")).applyInArrow(send, "part long, bucket long, grams binary, counts binary, which binary")
+    merged = sent.groupBy("part").applyInArrow(merge, "part long, bucket long, counts binary, which binary, total long, distinct long")
     return rows.groupBy("bucket").cogroup(merged.groupBy("bucket")).applyInArrow(traverse, "doc_id long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -40,6 +40,44 @@ def unpack(table: pa.Table, column: str, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in table[column].to_pylist()]
 
 
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending distinct 64-bit numbers in about 2 + log2(span / count) bits each: low bits as they are, high bits in unary."""
+    if not len(values):
+        return b""
+    rest, n = values - values[0], len(values)
+    low = max(0, (int(rest[-1]) // n).bit_length() - 1)
+    high = (rest >> np.uint64(low)).astype(np.int64)
+    marks = np.zeros(int(high[-1]) + n, bool)
+    marks[high + np.arange(n)] = True
+    wide = -(-low // 8)
+    bits = np.unpackbits(rest.astype(">u8").view(np.uint8).reshape(n, 8)[:, 8 - wide :], axis=1)[:, 8 * wide - low :]
+    head = np.array([n, low, values[0], len(marks)], np.uint64)
+    return head.tobytes() + np.packbits(marks).tobytes() + np.packbits(bits).tobytes()
+
+
+def unpack_sorted(packed: bytes) -> np.ndarray:
+    if not packed:
+        return np.zeros(0, np.uint64)
+    head = np.frombuffer(packed, np.uint64, 4)
+    n, low, marked = int(head[0]), int(head[1]), int(head[3])
+    raw, wide, to = np.frombuffer(packed, np.uint8)[32:], -(-low // 8), -(-marked // 8)
+    high = np.flatnonzero(np.unpackbits(raw[:to], count=marked)) - np.arange(n)
+    bits = np.zeros((n, 8 * wide), np.uint8)
+    bits[:, 8 * wide - low :] = np.unpackbits(raw[to:], count=n * low).reshape(n, low)
+    rest = np.zeros((n, 8), np.uint8)
+    rest[:, 8 - wide :] = np.packbits(bits, axis=1)
+    return (high.astype(np.uint64) << np.uint64(low)) + rest.view(">u8").ravel().astype(np.uint64) + head[2]
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Whole numbers in the narrowest of 1, 2, 4 and 8 bytes that holds them all."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
+
+
+def unpack_counts(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, f"u{len(packed) // n}" if n else "u1").astype(np.int64)
+
+
 def gaps(sorted_places: np.ndarray) -> bytes:
     """Ascending whole numbers below 2**32 as 16-bit steps; 65535 means that many on without a number."""
     steps = np.diff(sorted_places.astype(np.int64), prepend=0)

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from sleevework.llm import backoff_lm, exact_dedup, minhash_dedup, mixing, packing, rule_quality, sharding, shared, substring_dedup, tool_calls, topk
+from sleevework.llm import backoff_lm, buckets, exact_dedup, minhash_dedup, mixing, packing, rule_quality, sharding, shared, substring_dedup, tool_calls, topk
+from sleevework.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -337,6 +338,45 @@ def test_language_model_over_many_buckets(docs, monkeypatch):
     assert rows_of(many, *cols) == before and sorted(round(r["score"], 6) for r in many.collect()) == sums
 
 
+def test_language_model_query_has_two_words_of_history(spark, tmp_path, monkeypatch):
+    rows = [(i, prose(700 + i % 30, 40) + " " + prose(800 + i, 15)) for i in range(80)] + [(None, prose(701, 40)), (90, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    counts = [Counter() for _ in range(4)]
+    held_out = [doc is None or zlib.crc32(str(doc).encode()) % 10 == 0 for doc, _ in rows]
+    tokens = [[*WORD.findall((text or "").translate(LOWER)), ("end",)] for _, text in rows]
+    for own, held in zip(tokens, held_out):
+        for n in range(1, 4):
+            counts[n].update(tuple(own[i - n + 1 : i + 1]) for i in range(n - 1, len(own)) if not held)
+    total, kinds, want = sum(counts[1].values()), len(counts[1]), []
+    for (doc, _), own, held in zip(rows, tokens, held_out):
+        score = 0.0
+        for i, token in enumerate(own):
+            p = (counts[1][token,] + 0.1) / (total + 0.1 * (kinds + 1))
+            for n in (2, 3):
+                history = tuple(own[i - n + 1 : i]) if i >= n - 1 else None
+                if history and counts[n - 1][history]:
+                    p = (counts[n][(*history, token)] + 1.5 * p) / (counts[n - 1][history] + 1.5)
+            score += math.log10(p)
+        want.append((doc, held, round(score, 6)))
+    assert 0 < sum(held_out) < len(rows)
+    for size, keys in ((backoff_lm.BUCKET_BYTES, backoff_lm.PART_KEYS), (4000, 700)):
+        monkeypatch.setattr(backoff_lm, "BUCKET_BYTES", size)
+        monkeypatch.setattr(backoff_lm, "PART_KEYS", keys)
+        got = [(r["doc_id"], r["held_out"], round(r["score"], 6)) for r in QUERIES["op10_lm_score"](spark, str(tmp_path)).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_sorted_codes_and_counts_come_back():
+    draw = np.random.default_rng(1)
+    for values in ([], [0], [2**64 - 1], [0, 2**64 - 1], range(1000), draw.integers(0, 2**64, 5000, np.uint64), draw.integers(0, 2**39, 3000, np.uint64)):
+        values = np.unique(np.array(values, np.uint64))
+        assert (buckets.unpack_sorted(buckets.pack_sorted(values)) == values).all()
+    for top in (0, 255, 256, 2**32 - 1, 2**32):
+        counts = np.array([0, 1, top], np.int64)
+        assert (buckets.unpack_counts(buckets.pack_counts(counts), 3) == counts).all()
+    assert len(buckets.unpack_counts(buckets.pack_counts(np.zeros(0, np.int64)), 0)) == 0
+
+
 def test_top_k(spark):
     draw = np.random.default_rng(1)
     rows = [(i, [float(x) for x in draw.normal(size=6)]) for i in range(120)]

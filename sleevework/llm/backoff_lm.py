@@ -1,4 +1,4 @@
-"""Scoring texts with a weighted backoff automaton of smoothed n-grams that is learnt from the same corpus."""
+"""Scoring texts as a weighted backoff automaton of smoothed n-grams would, learnt from the same corpus."""
 
 from __future__ import annotations
 
@@ -57,7 +57,8 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
     arc for each token seen after it, of weight (c(hw) + prior * p(w | shorter h)) / (c(h) + prior), and a
     failure arc of weight prior / (c(h) + prior) to the state of the shorter history. The weights of a state add
     up to one. Reading a token follows its arc, or failure arcs until one is found; the state reached is the
-    longest known history. Every bucket of documents gets the counts of the n-grams its own texts can meet, so
+    longest known history. No automaton is built, though: what it would give is looked up for all tokens of a
+    bucket at once, order by order, from the counts of histories and n-grams. Every bucket of documents gets the counts of the n-grams its own texts can meet, so
     no task holds the whole model, and the counts come from all training documents.
 
     1. Every bucket names its n-grams of two and more words by codes cut to a few bits more than the input needs,
@@ -129,7 +130,7 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
         n = table.num_rows
         return pa.table([table["part"], table["bucket"], pa.array(answers, pa.binary()), table["which"], pa.array([int(sums.sum())] * n), pa.array([int((sums > 0).sum())] * n)], ["part", "bucket", "counts", "which", "total", "distinct"])
 
-    def traverse(table: pa.Table, answers: pa.Table) -> pa.Table:
+    def look_up(table: pa.Table, answers: pa.Table) -> pa.Table:
         schema = pa.schema([("doc_id", pa.int64()), ("learnt", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
         if not table.num_rows:
             return schema.empty_table()
@@ -162,4 +163,4 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
     probed = probes.groupBy("part").applyInArrow(find_shared, "part long, bucket long, shared binary")
     sent = rows.groupBy("bucket").cogroup(probed.groupBy("bucket")).applyInArrow(send, "part long, bucket long, grams binary, counts binary, which binary")
     merged = sent.groupBy("part").applyInArrow(merge, "part long, bucket long, counts binary, which binary, total long, distinct long")
-    return rows.groupBy("bucket").cogroup(merged.groupBy("bucket")).applyInArrow(traverse, "doc_id long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return rows.groupBy("bucket").cogroup(merged.groupBy("bucket")).applyInArrow(look_up, "doc_id long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -19,21 +19,23 @@ PERCENT = 85
 #: The wide sketches of step 3 have so many values: the whole set, and so an exact answer, for sets up to that size.
 WIDE = 256
 LOSS = 1e-6  # chance at most that the sketches of a pair at the threshold share less than ``least_shared``
+LOSS_WIDE = 1e-9  # the same for wide sketches, which only save exact comparisons
 BATCH_BYTES = 8 << 20
+COLUMNS = 4096  # values that are compared at a time
 BLOCK = 512  # members of a list that are compared in one task
 
 
-def least_shared(percent: int, kept: int) -> int:
+def least_shared(percent: int, kept: int, loss: float = LOSS) -> int:
     """The percentage of its own retained values that a linked document shares at least, in sketches of ``kept``.
 
     For a pair at the threshold the number of shared values of two full sketches is at least a binomial
-    (kept, percent / 100) draw; it falls short of the returned share with a chance of ``LOSS`` at most.
+    (kept, percent / 100) draw; it falls short of the returned share with a chance of ``loss`` at most.
     """
     p, below, falls_short = percent / 100, 0.0, []
     for shared in range(kept + 1):  # falls_short[n]: the chance of fewer than n shared values
         falls_short.append(below)
         below += math.comb(kept, shared) * p**shared * (1 - p) ** (kept - shared)
-    return max(share for share in range(percent + 1) if falls_short[_of(share, kept)] <= LOSS)
+    return max(share for share in range(percent + 1) if falls_short[_of(share, kept)] <= loss)
 
 
 def _of(share: int, n):
@@ -111,14 +113,20 @@ def _overlap(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     kinds, codes = np.unique(np.concatenate([vx, vy]), return_inverse=True)
     both = np.isin(kinds, vx, assume_unique=False) & np.isin(kinds, vy)
     column = np.cumsum(both) - 1
-    out = []
+    sides = []
     for values, part in ((x, codes[: len(vx)]), (y, codes[len(vx) :])):
         row = np.repeat(np.arange(len(values)), [len(v) for v in values])
-        held = np.zeros((len(values), int(both.sum())), np.float32)
         use = both[part]
-        held[row[use], column[part[use]]] = 1
-        out.append(held)
-    return out[0] @ out[1].T
+        sides.append((row[use], column[part[use]]))
+    out = np.zeros((len(x), len(y)), np.float32)
+    for low in range(0, int(both.sum()), COLUMNS):
+        held = []
+        for values, (row, at) in zip((x, y), sides):
+            use = (at >= low) & (at < low + COLUMNS)
+            held.append(np.zeros((len(values), COLUMNS), np.float32))
+            held[-1][row[use], at[use] - low] = 1
+        out += held[0] @ held[1].T
+    return out
 
 
 def _arrays(table: pa.Table, name: str) -> list[np.ndarray]:
@@ -194,7 +202,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Linked pairs are lost only if their sketches share less than ``least_shared`` of the values, see there.
     """
-    share, share_wide = least_shared(percent, KEEP), least_shared(percent, WIDE)
+    share, share_wide = least_shared(percent, KEEP), least_shared(percent, WIDE, LOSS_WIDE)
     drawn = saved(sketches(docs, id_col, text_col), "near-sketches")
     worded = drawn.where("n > 0 and doc_id is not null")
     sets_seen = saved(worded.groupBy("n", "one", "two").agg(F.min("doc_id").alias("least")), "near-classes")

@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import corpus_pipeline
 import numpy as np
@@ -256,6 +257,16 @@ def test_near_duplicates_between_the_thresholds(spark):
     assert sorted(r["doc_id"] for r in staged.collect()) == linked
 
 
+def test_sketches_hardly_lose_a_link_at_the_threshold():
+    wide = {p: minhash_dedup.least_shared(p, minhash_dedup.WIDE, minhash_dedup.LOSS_WIDE) for p in (80, 85)}
+    narrow = {p: minhash_dedup.least_shared(p, minhash_dedup.KEEP) for p in (80, 85)}
+    assert (wide, narrow) == ({80: 63, 85: 70}, {80: 53, 85: 60})
+    for kept, shares, most in ((minhash_dedup.WIDE, wide, 10**9), (minhash_dedup.KEEP, narrow, 10**6)):
+        for p, share in shares.items():
+            least = math.ceil(Fraction(share * kept, 100))
+            assert sum(math.comb(kept, i) * p**i * (100 - p) ** (kept - i) for i in range(least)) * most <= 100**kept
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(500, 501), (501, 500), (7, 7)]
     got = dict(rows_of(shared.components(spark.createDataFrame(edges, "a long, b long")), "node", "root"))

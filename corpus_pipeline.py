@@ -47,7 +47,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-#: Learnt rules, sketches and tokenizers are beyond SQL; tests compare every stage with a plain computation.
+#: Learnt rules, sketches and tokenizers are beyond SQL; tests compare both dedup stages with a plain computation, and the
+#: others with what must hold of their rows.
 ORACLE_SQL = None
 
 

@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sleevework.llm import backoff_lm, exact_dedup, minhash_dedup, mixing, packing, rule_quality, sharding, substring_dedup, tool_calls, topk
+from sleevework.llm import backoff_lm, bestfit, exact_dedup, fill_in_middle, minhash_dedup, mixing, packing, rule_quality, sharding, substring_dedup, tool_calls, topk
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,9 +68,20 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(_draw(10) == 0, F.lit(True)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.best_fit(_table(spark, sf_dir, "documents"), WORD_TOKENIZER, 4096)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+    rebuilt = fill_in_middle.restored(F.col("form"), F.col("output"))
+    hashes = [F.sha2(F.encode(text, "UTF-8"), 256).alias(name) for text, name in ((F.col("output"), "output_sha256"), (rebuilt, "restored_sha256"))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_tool_calls, op3_top_k, op4_substring_dedup, op5_sharding, op6_quality, op7_mixing, op8_near_dedup, op9_packing, op10_lm_score)
+    for f in (op1_exact_dedup, op2_tool_calls, op3_top_k, op4_substring_dedup, op5_sharding, op6_quality, op7_mixing, op8_near_dedup, op9_packing, op10_lm_score, op12_best_fit, op13_fill_in_middle)
 }
 
 _BARE = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g')"
@@ -109,4 +121,13 @@ with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(256
 s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score from v q join v c on len(q.e) = len(c.e) and q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 5""",
+    "op13_fill_in_middle": """
+with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::varchar, '')) as s from documents),
+h as (select *, length(t)::bigint as n, ('0x' || s[1:8])::bigint as h1, ('0x' || s[9:16])::bigint as h2, ('0x' || s[17:24])::bigint as h3, ('0x' || s[25:32])::bigint as h4 from d),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+  case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from h),
+p as (select *, substr(t, 1, a) as pre, substr(t, a + 1, b - a) as mid, substr(t, b + 1) as suf from c)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(t) as restored_sha256 from p""",
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sleevework.llm import backoff_lm, bestfit, exact_dedup, fill_in_middle, minhash_dedup, mixing, packing, rule_quality, sharding, substring_dedup, tool_calls, topk
+from sleevework.llm import backoff_lm, bestfit, exact_dedup, fill_in_middle, minhash_dedup, mixing, packing, prefix_trie, rule_quality, sharding, substring_dedup, tool_calls, topk
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(_draw(10) == 0, F.lit(True)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(*prefix_trie.rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.best_fit(_table(spark, sf_dir, "documents"), WORD_TOKENIZER, 4096)
 
@@ -81,7 +85,7 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_tool_calls, op3_top_k, op4_substring_dedup, op5_sharding, op6_quality, op7_mixing, op8_near_dedup, op9_packing, op10_lm_score, op12_best_fit, op13_fill_in_middle)
+    for f in (op1_exact_dedup, op2_tool_calls, op3_top_k, op4_substring_dedup, op5_sharding, op6_quality, op7_mixing, op8_near_dedup, op9_packing, op10_lm_score, op11_prefix_trie, op12_best_fit, op13_fill_in_middle)
 }
 
 _BARE = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g')"
@@ -121,6 +125,23 @@ with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(256
 s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score from v q join v c on len(q.e) = len(c.e) and q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 5""",
+    "op11_prefix_trie": """
+with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first,
+    unhex(sha256(octet_length(coalesce(role, '')::blob) || ':' || coalesce(role, '') || coalesce(text, '')))) - 1 as place from conversations where conv_id is not null),
+c as (select distinct conv_id, conv_id - conv_id % 20 as base, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::varchar, ''), lambda ch: ascii(ch)::bigint)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda p, q: xor(p >> 1, (p & 1) * 3988292384)))) % 4 as h from t),
+r as (select c.conv_id, place, 0 as late, role, text from c join t on t.conv_id = c.base and place < h union all select conv_id, place, 1, role, text from c join t using (conv_id) where place >= h),
+s as (select c.conv_id, coalesce(list({'role': r.role, 'text': r.text} order by late, place) filter (where r.conv_id is not null), []) as path from c left join r using (conv_id) group by c.conv_id),
+m as (select conv_id, len(path) as size, unnest(range(0, len(path) + 1)) as depth, path from s),
+n as (select depth, path[1:depth] as path, min(conv_id) as conv_id, count(*) as n_convs, coalesce(sha256(string_agg(conv_id::varchar, ',' order by conv_id) filter (where size = depth)), sha256('')) as ends_sha256
+  from m group by depth, path[1:depth]),
+k as (select depth - 1 as depth, path[1:depth - 1] as path, count(*) as n_children from n where depth > 0 group by all),
+w as (select n.*, coalesce(n_children, 0) as n_children, case when n.depth = 0 then 0 else (n_convs - 1) * len(regexp_extract_all(n.path[-1].text, '[^\\x20\\x09-\\x0D]+')) end as worth
+  from n left join k on k.depth = n.depth and k.path = n.path),
+u as (select depth, path[1:depth] as path, sum(worth)::bigint as saved_tokens, sum((n_children = 0)::int)::bigint as n_leaves
+  from (select unnest(range(0, depth + 1)) as depth, path, worth, n_children from w) group by all)
+select w.conv_id, w.depth::bigint as depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children, u.n_leaves, u.saved_tokens, w.ends_sha256
+from w join u on u.depth = w.depth and u.path = w.path left join w p on p.depth = w.depth - 1 and p.path = w.path[1:w.depth - 1]""",
     "op13_fill_in_middle": """
 with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::varchar, '')) as s from documents),
 h as (select *, length(t)::bigint as n, ('0x' || s[1:8])::bigint as h1, ('0x' || s[9:16])::bigint as h2, ('0x' || s[17:24])::bigint as h3, ('0x' || s[25:32])::bigint as h4 from d),

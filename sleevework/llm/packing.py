@@ -2,82 +2,17 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sleevework.llm.shared import ranked, saved, text_of
-from sleevework.llm.wordcodes import column_bytes, piece_codes
+from sleevework.llm.shared import ranked, saved
+from sleevework.llm.tokens import before_plain_words, token_pieces
 
 END = 0  # the id after each document
-CACHE = 1_000_000  # pieces of text whose ids a worker keeps
-BATCH_BYTES = 4 << 20
-
-
-@cache
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-_known: dict[str, tuple[dict[int, int], list[np.ndarray]]] = {}
-
-
-def _may_cut(data: np.ndarray) -> np.ndarray:
-    """Blanks between two characters of which neither is white space: the tokenizer always cuts there.
-
-    Only ASCII characters and the two-byte characters from U+00C0 are recognised; elsewhere pieces stay longer.
-    """
-    if len(data) < 3:
-        return np.zeros(0, np.int64)
-    before, here, after = data[:-2], data[1:-1], data[2:]
-    lead = np.concatenate([[0], data[:-3]])
-    plain = lambda x: (x > 0x20) & (x < 0x7F)
-    ends_word = plain(before) | ((before >= 0x80) & (before < 0xC0) & (lead >= 0xC3) & (lead <= 0xDF))
-    return np.flatnonzero((here == 0x20) & ends_word & (plain(after) | ((after >= 0xC3) & (after <= 0xDF)))) + 1
-
-
-def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts on end, where the ids of each text start and end), without the ids that end documents.
-
-    Each different piece of text is tokenized once and kept for the batches that follow.
-    """
-    known, ids_of = _known.setdefault(path, ({}, []))
-    if len(ids_of) > CACHE:
-        known.clear()
-        ids_of.clear()
-    data, base = column_bytes(column)
-    edges = np.zeros(len(data) + 1, bool)
-    edges[base] = True
-    edges[_may_cut(data)] = True
-    borders = np.flatnonzero(edges)
-    starts, ends = borders[:-1], borders[1:]
-    first = np.searchsorted(starts, base)
-    codes = piece_codes(data, starts, ends) ^ piece_codes(data, starts, ends, 2) * np.uint64(3)
-    distinct, at, inverse = np.unique(codes, return_index=True, return_inverse=True)
-    places = [known.get(c, -1) for c in distinct.tolist()]
-    new = [n for n, p in enumerate(places) if p < 0]
-    if new:
-        raw = data.tobytes()
-        texts = [raw[starts[at[n]] : ends[at[n]]].decode("utf-8", "replace") for n in new]
-        tokenizer = _tokenizer(path)
-        for n, found in zip(new, tokenizer.encode_batch(texts, add_special_tokens=False)):
-            known[int(distinct[n])] = places[n] = len(ids_of)
-            ids_of.append(np.array(found.ids, np.uint32))
-    local = [ids_of[p] for p in places]
-    sizes = np.array([len(x) for x in local], np.int64)
-    flat = np.concatenate(local) if local else np.zeros(0, np.uint32)
-    flat_start = np.concatenate([[0], np.cumsum(sizes)])[:-1] if len(sizes) else np.zeros(0, np.int64)
-    lengths = sizes[inverse] if len(sizes) else np.zeros(0, np.int64)
-    upto = np.concatenate([[0], np.cumsum(lengths)])
-    ids = flat[np.repeat(flat_start[inverse] - upto[:-1], lengths) + np.arange(upto[-1])] if len(lengths) else flat
-    return ids, upto[first]
 
 
 def combinations(size: int) -> np.ndarray:
@@ -151,25 +86,6 @@ def plan_windows(histogram: np.ndarray, size: int) -> list[tuple[tuple[int, ...]
     return plan
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): whole windows of each document and what is left of it."""
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            step = max(1, int(batch.num_rows * BATCH_BYTES / max(1, batch.nbytes)))
-            for low in range(0, batch.num_rows, step):
-                part = batch.slice(low, step)
-                ids, borders = encode(part.column("text"), tokenizer_path)
-                rows: list[tuple] = []
-                for n, doc in enumerate(part.column("doc_id").to_pylist()):
-                    own = np.append(ids[borders[n] : borders[n + 1]], np.uint32(END)).astype("<u4")
-                    rows += [(doc, at, min(size, len(own) - at), zlib.crc32(own[at : at + size].tobytes()), len(own)) for at in range(0, len(own), size)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-
-    return read.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
-
-
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset), one row per piece of a document.
 
@@ -182,7 +98,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 1024, id_col: str = "
     them, bounded by the number of combinations of lengths, is sent out.
     """
     spark = docs.sparkSession
-    pieces = saved(token_pieces(docs, tokenizer_path, size, id_col, text_col), "pack-pieces")
+    pieces = saved(token_pieces(docs, tokenizer_path, before_plain_words, size, END, id_col, text_col), "pack-pieces")
     histogram = np.zeros(size + 1, np.int64)
     for row in pieces.where(F.col("length") < size).groupBy("length").agg(F.count("*").alias("n")).collect():
         histogram[row["length"]] = row["n"]

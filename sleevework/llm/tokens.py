@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from sleevework.llm.shared import text_of
 from sleevework.llm.wordcodes import BLANK, column_bytes
 
-BATCH_BYTES = 2 << 20
-PIECES = 1 << 18  # that are looked up at a time
-CACHE_PIECES = 400_000
-CACHE_BYTES = 16 << 20  # of the pieces with their places, and of their ids
+BATCH_BYTES = 4 << 20
+PIECES = 1 << 20  # that are looked up at a time
+CACHE_PIECES = 600_000
+CACHE_BYTES = 24 << 20  # of the pieces with their places, and of their ids
 AT_ONCE = 512  # pieces in one call of the tokenizer
 
+BLANKS = " \t\n\v\f\r"
+
 Cuts = Callable[[np.ndarray], np.ndarray]
 
 
@@ -67,6 +69,18 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@cache
+def _word_ends(path: str) -> np.ndarray:
+    """Which ids end a word; empty for a tokenizer that does not mark the ends of words."""
+    suffix = getattr(_tokenizer(path).model, "end_of_word_suffix", None)
+    if not suffix:
+        return np.zeros(0, bool)
+    vocabulary = _tokenizer(path).get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return out
+
+
 class Tokens:
     """A tokenizer and the ids of pieces met before, in flat arrays that are bounded in number and bytes."""
 
@@ -75,24 +89,42 @@ class Tokens:
         self._known = pa.array([], pa.large_binary())
         self._ids, self._ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def _encode_new(self, pieces: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """(order in which the pieces were encoded, ids on end, how many of each)."""
+        tokenizer, ends_word = _tokenizer(self.path), _word_ends(self.path)
+        texts = [p.decode("utf-8", "replace") for p in pieces]
+        words = [n for n, t in enumerate(texts) if t.rstrip(BLANKS).isalpha()] if len(ends_word) else []
+        order, ids, sizes = [], array("I"), array("q")
+        left = set(range(len(texts)))
+        for low in range(0, len(words), AT_ONCE):
+            some = words[low : low + AT_ONCE]
+            found = np.array(tokenizer.encode_batch_fast([" ".join(texts[n] for n in some)], add_special_tokens=False)[0].ids)
+            stops = np.flatnonzero(ends_word[found]) + 1
+            if len(stops) == len(some):  # each is one word to the tokenizer too
+                order += some
+                ids.extend(found.tolist())
+                sizes.extend(np.diff(stops, prepend=0).tolist())
+                left.difference_update(some)
+        rest = sorted(left)
+        for low in range(0, len(rest), AT_ONCE):
+            for found in tokenizer.encode_batch_fast([texts[n] for n in rest[low : low + AT_ONCE]], add_special_tokens=False):
+                ids.extend(found.ids)
+                sizes.append(len(found))
+        return order + rest, np.array(ids, np.uint32), np.array(sizes, np.int64)
+
     def _look_up(self, pieces: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, where those of each piece start, where they end); the pieces are distinct.
 
         New pieces are kept. Beyond the bounds only those of this call are, or none if they exceed the bounds alone.
         """
         place = pc.fill_null(pc.index_in(pieces, value_set=self._known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        is_new = place < 0
-        new = pieces.filter(pa.array(is_new))
-        ids, ends = array("I"), array("q")
-        tokenizer = _tokenizer(self.path)
-        for low in range(0, len(new), AT_ONCE):
-            for found in tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in new.slice(low, AT_ONCE).to_pylist()], add_special_tokens=False):
-                ids.extend(found.ids)
-                ends.append(len(ids))
-        place[is_new] = len(self._known) + np.arange(len(new))
-        self._known = pa.concat_arrays([self._known, new])
-        self._ids = np.concatenate([self._ids, np.array(ids, np.uint32)])
-        self._ends = np.concatenate([self._ends, np.array(ends, np.int64) + self._ends[-1]])
+        missing = np.flatnonzero(place < 0)
+        order, ids, sizes = self._encode_new(pieces.take(pa.array(missing)).to_pylist())
+        missing = missing[order]
+        place[missing] = len(self._known) + np.arange(len(missing))
+        self._known = pa.concat_arrays([self._known, pieces.take(pa.array(missing))])
+        self._ids = np.concatenate([self._ids, ids])
+        self._ends = np.concatenate([self._ends, np.cumsum(sizes) + self._ends[-1]])
         all_ids, starts, stops = self._ids, self._ends[place], self._ends[place + 1]
         if len(self._known) > CACHE_PIECES or self._known.nbytes > CACHE_BYTES or self._ids.nbytes > CACHE_BYTES:
             few = len(pieces) <= CACHE_PIECES and pieces.nbytes <= CACHE_BYTES and 4 * int((stops - starts).sum()) <= CACHE_BYTES

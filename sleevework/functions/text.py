@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sleevework.functions.core import blank_to_null
+from sleevework.functions.core import blank_to_null, let
 
 # The characters counted as whitespace, and the line ends.
 SPACE = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
@@ -31,10 +31,33 @@ def collapse(value: Column) -> Column:
     return F.trim(F.regexp_replace(value, f" {SPACE}+|[{SPACE}&&[^ ]]{SPACE}*", " "))
 
 
+def _foldings() -> tuple[str, str, dict[str, str]]:
+    """(characters that fold to one other, those others in the same order, characters that fold to several)."""
+    folded = [(c, c.casefold()) for c in map(chr, range(0x20000)) if c.casefold() != c]
+    single = [(c, f) for c, f in folded if len(f) == 1]
+    return "".join(c for c, _ in single), "".join(f for _, f in single), {c: f for c, f in folded if len(f) > 1}
+
+
+_SINGLE, _FOLDED, _SEVERAL = _foldings()
+_SEVERAL_CLASS = "[" + "".join(f"\\u{ord(c):04x}" for c in _SEVERAL) + "]"
+
+
 def casefold(value: Column) -> Column:
-    """Lower case plus the foldings of sharp s, final sigma and long s."""
-    folded = F.translate(F.lower(value), "ςſ", "σs")
-    return F.replace(folded, F.lit("ß"), F.lit("ss"))
+    """The full case folding of Unicode: one look at each character, and a second only where one becomes several.
+
+    ASCII text, told by its number of bytes, is lower-cased.
+    """
+
+    def fold(text: Column) -> Column:
+        def expand(single: Column) -> Column:
+            several = F.expr("map(" + ", ".join(f"'{c}', '{f}'" for c, f in _SEVERAL.items()) + ")")
+            pieces = F.split(single, f"(?<={_SEVERAL_CLASS})|(?={_SEVERAL_CLASS})", -1)
+            whole = F.array_join(F.transform(pieces, lambda p: F.coalesce(several[p], p)), "")
+            return F.when(single.rlike(_SEVERAL_CLASS), whole).otherwise(single)
+
+        return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(let(F.translate(text, _SINGLE, _FOLDED), expand))
+
+    return let(value, fold)
 
 
 def normalize_value(value: Column) -> Column:

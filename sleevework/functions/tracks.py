@@ -17,26 +17,52 @@ STANDALONE_BY = r"(?iU)\bby\b"
 NAME_EDGE = " ,;&/"
 
 
-def _numbers(start: Column, end: Column, is_range: Column) -> Column:
-    last = F.when(is_range, end).otherwise(start)
-    # sequence() counts down when the bounds are swapped, hence the guard comes first
-    believed = (start <= last) & (F.try_subtract(last, start) <= WIDEST_RANGE)
-    return F.when(believed, F.sequence(start, last))
+def _tokens(raw: Column) -> Column:
+    """``array<struct<token, start, last, reason>>``; the reason, if any, why a token names no tracks."""
 
+    def judge(token: Column, first: Column, end: Column, widest: Column) -> Column:
+        start, last = first.try_cast("bigint"), F.when(end != "", end).otherwise(first).try_cast("bigint")
 
-def parse_track_set(text: Column) -> Column:
+        def reason(x: Column) -> Column:
+            return (
+                F.when(x["start"].isNull() | x["last"].isNull(), "beyond 64 bits")
+                .when(x["start"] > x["last"], "backwards")
+                .when(F.coalesce(F.try_subtract(x["last"], x["start"]) > widest, F.lit(True)), "too wide")
+            )
+
+        return let(F.struct(start.alias("start"), last.alias("last")), lambda x: F.struct(token.alias("token"), x["start"].alias("start"), x["last"].alias("last"), reason(x).alias("reason")))
+
+    def read(x: Column) -> Column:
+        parts = [F.regexp_extract_all(x["raw"], F.lit(TRACK_TOKEN), i) for i in range(3)]
+        return F.transform(F.arrays_zip(*[p.alias(n) for n, p in zip(("token", "first", "end"), parts)]), lambda t: judge(t["token"], t["first"], t["end"], x["widest"]))
+
+    return let(raw, read)
+
+
+def _token_list(text: Column, widest: int | Column) -> Column:
+    width = F.lit(widest).cast("bigint") if isinstance(widest, int) else widest.cast("bigint")
+    return _tokens(F.struct(text.alias("raw"), width.alias("widest")))
+
+
+def parse_track_set(text: Column, widest: int | Column = WIDEST_RANGE) -> Column:
     """``1,4,5``, ``1~3``, ``M-01`` and mixtures -> distinct numbers in order of appearance.
 
-    Ranges that run backwards or are implausibly wide, and numbers beyond 64 bits, are left out.
+    Ranges that run backwards or span more than ``widest``, and numbers beyond 64 bits, are left out;
+    ``track_set_rejects`` lists them.
     """
 
-    def read(raw: Column) -> Column:
-        first = F.regexp_extract_all(raw, F.lit(TRACK_TOKEN), 1)
-        last = F.regexp_extract_all(raw, F.lit(TRACK_TOKEN), 2)
-        ranges = F.zip_with(first, last, lambda a, b: _numbers(a.try_cast("bigint"), b.try_cast("bigint"), b != ""))
-        return F.array_distinct(F.flatten(F.filter(ranges, lambda r: r.isNotNull())))
+    def numbers(found: Column) -> Column:
+        kept = F.filter(found, lambda t: t["reason"].isNull())
+        return F.array_distinct(F.flatten(F.transform(kept, lambda t: F.sequence(t["start"], t["last"]))))
+
+    has_digit = text.rlike("[0-9]")
+    return F.when(has_digit, numbers(_token_list(text, widest))).otherwise(F.array().cast("array<bigint>"))
+
 
-    return let(text, lambda raw: F.when(raw.rlike("[0-9]"), read(raw)).otherwise(F.array().cast("array<bigint>")))
+def track_set_rejects(text: Column, widest: int | Column = WIDEST_RANGE) -> Column:
+    """``array<struct<token, reason>>``: what ``parse_track_set`` leaves out, as written, and why."""
+    left_out = F.filter(_token_list(text, widest), lambda t: t["reason"].isNotNull())
+    return F.transform(left_out, lambda t: F.struct(t["token"].alias("token"), t["reason"].alias("reason")))
 
 
 def split_names(text: Column) -> Column:

@@ -109,35 +109,37 @@ def _role_rows(notes: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select(key, "l.pos", "context", "l.role.phrase", "l.role.value")
 
 
-def _attribution(value: Column, context: Column | None) -> Column:
-    """``array<struct<names array, tracks array>>`` of a role line's value.
+def _named(groups: Column) -> Column:
+    """``array<struct<names array, tracks array>>``; groups whose names all fall away credit nobody."""
+    named = F.transform(groups, lambda g: F.struct(split_names(g["names"]).alias("names"), g["tracks"].alias("tracks")))
+    return F.filter(named, lambda g: F.size(g["names"]) > 0)
 
-    The inline groups if there are any, or else the whole value for the context. Groups whose names
-    all fall away credit nobody.
-    """
+
+def _attribution(value: Column, context: Column) -> Column:
+    """``struct<inline, groups>`` of a role line's value: its inline groups if there are any, or else all of it for the context."""
 
     def choose(groups: Column) -> Column:
-        chosen = F.when(F.size(groups) > 0, groups)
-        if context is None:
-            return chosen
-        return chosen.when(context.isNotNull(), F.array(F.struct(value.alias("names"), context.alias("tracks"))))
-
-    named = F.transform(
-        let(inline_groups(value), choose),
-        lambda g: F.struct(split_names(g["names"]).alias("names"), g["tracks"].alias("tracks")),
-    )
-    return F.filter(named, lambda g: F.size(g["names"]) > 0)
+        whole = F.when(context.isNotNull(), F.array(F.struct(value.alias("names"), context.alias("tracks"))))
+        return F.struct((F.size(groups) > 0).alias("inline"), _named(F.when(F.size(groups) > 0, groups).otherwise(whole)).alias("groups"))
 
+    return let(inline_groups(value), choose)
 
-def emit(notes: DataFrame, key: str = "album_id", text: str = "notes", *, use_context: bool = True) -> DataFrame:
-    """(key, track, pos, grp, phrase, names): one row per credited track and group of names.
 
-    A role line without inline groups and without a context credits nobody: precision first.
+def attributed(notes: DataFrame, key: str = "album_id", text: str = "notes") -> DataFrame:
+    """(key, track, pos, grp, phrase, names, inline): one row per credited track and group of names.
+
+    A role line without inline groups and without a context credits nobody: precision first. ``inline`` tells
+    whether the line names its tracks itself.
     """
-    roles = _role_rows(notes, key, text)
-    groups = _attribution(F.col("value"), F.col("context") if use_context else None)
-    rows = roles.select(key, "pos", "phrase", F.posexplode(groups).alias("grp", "g"))
-    return rows.select(key, F.explode("g.tracks").alias("track"), "pos", "grp", "phrase", F.col("g.names").alias("names"))
+    roles = computed(_role_rows(notes, key, text), "a", _attribution(F.col("value"), F.col("context")))
+    rows = roles.select(key, "pos", "phrase", F.col("a.inline").alias("inline"), F.posexplode("a.groups").alias("grp", "g"))
+    return rows.select(key, F.explode("g.tracks").alias("track"), "pos", "grp", "phrase", F.col("g.names").alias("names"), "inline")
+
+
+def emit(notes: DataFrame, key: str = "album_id", text: str = "notes", *, use_context: bool = True) -> DataFrame:
+    """(key, track, pos, grp, phrase, names) of ``attributed``; without context only the lines that name their tracks."""
+    rows = attributed(notes, key, text)
+    return (rows if use_context else rows.where("inline")).drop("inline")
 
 
 def valid_tracks_only(credits: DataFrame, tracks: DataFrame, key: str = "album_id") -> DataFrame:
@@ -179,12 +181,23 @@ def mine_inline_credits(notes: DataFrame, tracks: DataFrame) -> DataFrame:
 
 
 BACKENDS: dict[str, Backend] = {"rules": mine_credits, "inline_only": mine_inline_credits}
+#: Backends that keep some of the same attributed rows; one reading of the notes serves them all.
+SELECTIONS: dict[Backend, Callable[[], Column]] = {mine_credits: lambda: F.lit(True), mine_inline_credits: lambda: F.col("inline")}
 
 
 def run_backends(notes: DataFrame, tracks: DataFrame, backends: Mapping[str, Backend] | None = None) -> DataFrame:
-    """Credits of several named backends side by side, labelled ``backend``."""
+    """Credits of several named backends side by side, labelled ``backend``.
+
+    The notes are parsed once for all backends that are selections of the same rows, each row then repeated for the
+    backends that keep it; any other backend runs by itself.
+    """
     chosen = BACKENDS if backends is None else backends
-    runs = [run(notes, tracks).withColumn("backend", F.lit(name)) for name, run in chosen.items()]
+    runs = [run(notes, tracks).withColumn("backend", F.lit(name)) for name, run in chosen.items() if run not in SELECTIONS]
+    labels = [F.when(SELECTIONS[run](), F.lit(name)) for name, run in chosen.items() if run in SELECTIONS]
+    if labels:
+        known = make_credit(valid_tracks_only(attributed(notes), tracks))
+        kept = F.filter(F.array(*labels), lambda name: name.isNotNull())
+        runs.insert(0, known.select(*[c for c in known.columns if c != "inline"], F.explode(kept).alias("backend")))
     out = runs[0]
     for more in runs[1:]:
         out = out.unionByName(more)
@@ -212,7 +225,7 @@ def _credits_by_track(notes: Column, numbers: Column) -> Column:
             # built once per group, repeated per track
             return let(made, lambda c: F.transform(F.array_intersect(g["tracks"], numbers), lambda t: F.struct(t.alias("track"), c.alias("credit"))))
 
-        return F.flatten(F.transform(F.coalesce(_attribution(line["role"]["value"], context), F.array()), credits_of_group))
+        return F.flatten(F.transform(F.coalesce(_attribution(line["role"]["value"], context)["groups"], F.array()), credits_of_group))
 
     def credits_of_block(block: Column) -> Column:
         roles = F.filter(block["lines"], lambda x: x["role"].isNotNull())

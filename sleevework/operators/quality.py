@@ -10,7 +10,7 @@ from collections import deque
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sleevework.functions.core import let
@@ -20,6 +20,7 @@ from sleevework.functions.loose_json import as_text, is_kind, name_text
 from sleevework.functions.text import casefold, normalize_value, percent
 
 SCORED = ("match", "mismatch", "missing")  # statuses of fields the golden has
+LINK_STEPS = 4
 ALBUM_FIELDS = ("title", "catalog", "release_date", "classification")
 
 
@@ -125,11 +126,20 @@ def scorecard(scores: DataFrame) -> DataFrame:
     return totals.withColumn("agreement", percent(F.col("matches"), F.col("scored")))
 
 
-def nway_diff(scores: DataFrame, names: Sequence[str]) -> DataFrame:
+def nway_diff(scores: DataFrame, names: Sequence[str], golden: DataFrame | None = None) -> DataFrame:
     """One row per album and field with the golden value and one value/status pair per source.
 
-    ``rank_place`` and ``rank_ord`` order golden fields first (place 0), then extras as the sources bring them up.
+    With ``golden`` (album_id, field, value, ord) its fields drive the diff: albums that no source has are there too,
+    with empty cells. ``rank_place`` and ``rank_ord`` order golden fields first (place 0), then extras as the
+    sources bring them up.
     """
+    rows = scores.select("source", "album_id", "field", "golden", "value", "status", "golden_ord", "ord")
+    if golden is not None:
+        kinds = {f.name: f.dataType for f in rows.schema.fields}
+        given = {"golden": F.col("value"), "golden_ord": F.col("ord")}
+        column = lambda c: given.get(c, F.lit(None)) if c not in ("album_id", "field") else F.col(c)
+        # rows of no source, added ahead of the one grouping that makes the diff
+        rows = rows.unionByName(golden.select(*[column(c).cast(kinds[c]).alias(c) for c in rows.columns]))
     cells = []
     for place, name in enumerate(names):
         mine = F.col("source") == name
@@ -138,7 +148,7 @@ def nway_diff(scores: DataFrame, names: Sequence[str]) -> DataFrame:
     first_extra = F.min(F.struct(place.cast("bigint").alias("place"), F.col("ord").cast("bigint").alias("ord")))
     golden_ord = F.min("golden_ord").cast("bigint")
     rank = F.struct(F.when(golden_ord.isNull(), first_extra["place"]).otherwise(0).alias("place"), F.coalesce(golden_ord, first_extra["ord"]).alias("ord"))
-    diff = scores.groupBy("album_id", "field").agg(F.max("golden").alias("golden"), *cells, rank.alias("rank"))
+    diff = rows.groupBy("album_id", "field").agg(F.max("golden").alias("golden"), *cells, rank.alias("rank"))
     return diff.select("*", F.col("rank.place").alias("rank_place"), F.col("rank.ord").alias("rank_ord")).drop("rank")
 
 
@@ -174,12 +184,12 @@ def _match_key(names: Column) -> Column:
 
 
 def _match_in_order(keys: Sequence[str]):
-    """Greedy matching over Arrow batches sorted by (keys, role, is_golden, ord, key).
+    """Greedy matching over Arrow batches sorted by (keys, role, part, is_golden, ord, key).
 
-    Keeps one queue of produced credits per name of the current group, in order; golden credits only
-    pass by. Linear in the rows, in memory the produced credits of one group.
+    Keeps one queue of produced credits per name of the current part, in order; golden credits only
+    pass by. Linear in the rows, in memory the produced credits of one part.
     """
-    group = [*keys, "role"]
+    group = [*keys, "role", "part"]
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, queues, used, matched = None, {}, [], 0
@@ -217,17 +227,43 @@ def _match_in_order(keys: Sequence[str]):
     return match
 
 
+def connected_parts(keys: DataFrame, group: Sequence[str], steps: int = LINK_STEPS) -> DataFrame:
+    """(group..., key, part) for distinct (group..., key: array of names): keys that a chain of shared names links have one part.
+
+    Every name starts as its own part; in each step a key takes the least part of its names and a name the least of
+    its keys, so a part spreads over ``steps`` shared names in each direction. A group in which two names of a
+    key still differ after that has chains that are longer; it stays together as the part NULL. So parts never
+    cut a chain, and all is one lazy plan without a loop on the driver.
+    """
+    group = list(group)
+    linked = keys.select(*group, "key", F.explode("key").alias("name")).withColumn("part", F.col("name"))
+    for _ in range(steps):
+        for side in ("key", "name"):
+            linked = linked.withColumn("part", F.min("part").over(Window.partitionBy(*group, side)))
+    ends = linked.groupBy(*group, "key").agg(F.min("part").alias("part"), F.max("part").alias("other"))
+    open_groups = ends.where("part <> other").select(*group).distinct().withColumn("open", F.lit(True))
+    return ends.join(open_groups, group, "left").select(*group, "key", F.when(F.col("open").isNull(), F.col("part")).alias("part"))
+
+
+def entangled_in_order(produced_and_golden: DataFrame, entangled_keys: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The credits that have to be matched in order, dealt by group and part, in order within each."""
+    parts = connected_parts(entangled_keys, group)
+    rows = produced_and_golden.join(parts, [*group, "key"])  # keys are unique on the right
+    return rows.repartition(*group, "part").sortWithinPartitions(*group, "part", "is_golden", "ord", "key").select(*group, "part", "is_golden", "key")
+
+
 def match_credits(produced: DataFrame, golden: DataFrame, keys: Sequence[str] = ("album_id", "track")) -> DataFrame:
     """(keys..., matched, produced, golden) for credits (keys..., ord, role, names array).
 
-    ``ord`` is a number, a text or an array of numbers. Both inputs are read several times: hand in
-    tables, or results that were materialized.
+    ``ord`` is a number, a text or an array of numbers. Both inputs are read several times: hand in tables, or
+    results that were written. Never hand in two plans that share unwritten steps: the reuse of exchanges was seen
+    to double the rows of such a self-join (Spark 4.1.2).
 
     Golden credits in order each take the first free produced credit of the same role that shares a
     name (or is nameless like itself). A name that occurs only in one-name credits makes its credits
     interchangeable, so the number of matches is the smaller of the two counts: plain counting, combined
-    on the map side. Credits entangled through a credit with several names are matched in order, in a
-    stream sorted within (keys, role).
+    on the map side. Credits entangled through a credit with several names are matched in order. Credits that no
+    chain of shared names connects never compete, so each connected part is a stream of its own.
     """
     keys = list(keys)
     group = [*keys, "role"]
@@ -243,9 +279,7 @@ def match_credits(produced: DataFrame, golden: DataFrame, keys: Sequence[str] =
     simple_matches = F.when(is_entangled, zero).otherwise(F.least("g", "p"))
     simple = marked.select(*keys, simple_matches.alias("matched"), F.col("p").alias("produced"), F.col("g").alias("golden"))
 
-    # keys are unique on the right
-    entangled = both.join(marked.where(is_entangled).select(*group, "key"), [*group, "key"])
-    ordered = entangled.repartition(*group).sortWithinPartitions(*group, "is_golden", "ord", "key").select(*group, "is_golden", "key")
+    ordered = entangled_in_order(both, marked.where(is_entangled).select(*group, "key"), group)
     types = {f.name: f.dataType.simpleString() for f in both.schema.fields}
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", matched bigint"
     in_order = ordered.mapInArrow(_match_in_order(keys), schema).select(*keys, "matched", zero.alias("produced"), zero.alias("golden"))

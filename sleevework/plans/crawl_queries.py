@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from sleevework.functions import web
 from sleevework.operators import crawl as C
 from sleevework.plans.quality_queries import album_documents
-from sleevework.plans.registry import CHECK_VIEWS, query, table, view
-from sleevework.sources.golden import ALBUM_SCHEMA, golden_documents, golden_problems
+from sleevework.plans.registry import CHECK_VIEWS, by_key, query, table, view
+from sleevework.sources.golden import ALBUM_SCHEMA, golden_documents, golden_findings, golden_problems
 from sleevework.sources.manifest import manifest_entries
-from sleevework.sources.scan import scan_pages
+from sleevework.sources.scan import scan_pages, shared_keys
 
 
 @query("p0_scan_pages", "select page_id, url, length(html) as n_chars, md5(html) as html_md5 from pages")
@@ -31,15 +31,52 @@ def golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_GOLDEN_SHAPES = """case o_orderkey % 10
+  when 0 then concat('{"id": ', o_orderkey, ', "titles": {"English": "A"}, "notes": null, "release_date": {"year": 2001, "month": 12, "day": 31}}')
+  when 1 then concat('{"id": ', o_orderkey, ', "titles": {}, "mood": 3, "colour": 2}')
+  when 2 then '{"id": "x", "titles": {"English": 5}}'
+  when 3 then '{"id": '
+  when 4 then concat('{"id": 1, "titles": {}, "release_date": {"year": 2001, "month": ', 13 + o_orderkey % 65, ', "zz": 1}}')
+  when 5 then '{"titles": {}, "credits": [{"role": "composer", "role_raw": "x"}, {"role": "foo", "role_raw": "y", "artists": [{"names": {"English": "B"}, "nick": "b"}]}]}'
+  when 6 then '{"id": 1, "titles": {}, "discs": [{"tracks": [{"titles": {}, "number": 1}, {"number": "2", "titles": {"Romaji": null}}]}]}'
+  when 7 then '{"id": 1, "titles": null, "discs": null, "release_date": {"day": 40}}'
+  when 8 then '[1, 2]'
+  else '{"id": 1.5, "titles": {}, "credits": [null], "release_event": "x"}' end"""
+
+
+def _golden_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return by_key(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").select(F.col("o_orderkey").alias("id"), F.expr(_GOLDEN_SHAPES).alias("value"))
+
+
 @query(
     "p0b_golden_problems",
-    """select o_orderkey as id, case o_orderkey % 4 when 1 then 'unknown field colour, mood' when 2 then 'wrong type' when 3 then 'not JSON' end as problem from orders""",
+    """select o_orderkey as id, case o_orderkey % 10 when 1 then 'unknown field colour; unknown field mood' when 2 then 'wrong type id; wrong type titles.English' when 3 then 'not JSON'
+         when 4 then 'unknown field release_date.zz; out of bounds release_date.month'
+         when 5 then 'missing id; unknown word credits[1].role; unknown field credits[1].artists[0].nick'
+         when 6 then 'wrong type discs[0].tracks[1].titles.Romaji; wrong type discs[0].tracks[1].number'
+         when 7 then 'wrong type titles; missing release_date.year; out of bounds release_date.day; needs month release_date.day; wrong type discs' when 8 then 'wrong type'
+         when 9 then 'wrong type id; wrong type credits[0]; wrong type release_event' end as problem from orders""",
 )
 def golden_problem_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = F.expr("""case o_orderkey % 4 when 0 then concat('{"id": ', o_orderkey, ', "notes": null}') when 1 then '{"id": 1, "colour": 2, "mood": 3}'
-      when 2 then '{"id": "x"}' else '{"id": ' end""")
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), value.alias("value"))
-    return golden_problems(rows, ALBUM_SCHEMA).select("id", "problem")
+    return golden_problems(_golden_texts(spark, sf_dir), ALBUM_SCHEMA).select("id", "problem")
+
+
+@query(
+    "p0b_golden_findings",
+    """select o_orderkey as id, p.path, p.reason from orders join (values (1, 'colour', 'unknown field'), (1, 'mood', 'unknown field'), (2, 'id', 'wrong type'), (2, 'titles.English', 'wrong type'),
+         (3, '', 'not JSON'), (4, 'release_date.zz', 'unknown field'), (4, 'release_date.month', 'out of bounds'), (5, 'id', 'missing'), (5, 'credits[1].role', 'unknown word'),
+         (5, 'credits[1].artists[0].nick', 'unknown field'), (6, 'discs[0].tracks[1].titles.Romaji', 'wrong type'), (6, 'discs[0].tracks[1].number', 'wrong type'), (7, 'titles', 'wrong type'),
+         (7, 'release_date.year', 'missing'), (7, 'release_date.day', 'out of bounds'), (7, 'release_date.day', 'needs month'), (7, 'discs', 'wrong type'), (8, '', 'wrong type'),
+         (9, 'id', 'wrong type'), (9, 'credits[0]', 'wrong type'), (9, 'release_event', 'wrong type')) p(shape, path, reason) on p.shape = o_orderkey % 10""",
+)
+def golden_finding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golden_findings(_golden_texts(spark, sf_dir), ALBUM_SCHEMA).select("id", "path", "reason")
+
+
+@query("p0_shared_keys", "select page_id, count(*) as pages from (select page_id // 3 as page_id, url from pages) t group by page_id having min(url) <> max(url)")
+def shared_page_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scan_pages(spark, f"{sf_dir}/pages.parquet").withColumn("page_id", F.expr("page_id div 3"))
+    return shared_keys(rows).select("page_id", "pages")
 
 
 # one manifest per customer, listing a handful of entries in five of the six sections

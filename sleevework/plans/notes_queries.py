@@ -54,19 +54,19 @@ from (
 ) t
 """
 CHECK_VIEWS["x_attributed"] = f"""
-select album_id, pos, phrase, u.grp, {duck.names('u.g.names')} as names, u.g.tracks as tracks
+select album_id, pos, phrase, u.grp, {duck.names('u.g.names')} as names, u.g.tracks as tracks, len(found) > 0 as inline
 from (select *, case when len(found) > 0 then found when context is not null then [{{'names': value, 'tracks': context}}] else [] end as gs from x_groups) t,
   unnest(t.gs) with ordinality as u(g, grp)
 """
 CHECK_VIEWS["x_emitted"] = """
-select album_id, u.track, pos, phrase, names, rank() over (partition by album_id, pos order by grp) as g
+select album_id, u.track, pos, phrase, names, inline, rank() over (partition by album_id, pos order by grp) as g
 from (select * from x_attributed where len(names) > 0) t, unnest(t.tracks) as u(track)
 """
 CHECK_VIEWS["x_emitted_grp"] = """
-select album_id, track, pos, dense_rank() over (partition by album_id, pos order by g) - 1 as grp, phrase, names from x_emitted
+select album_id, track, pos, dense_rank() over (partition by album_id, pos order by g) - 1 as grp, phrase, names, inline from x_emitted
 """
 CHECK_VIEWS["x_credits"] = f"""
-select album_id, track, pos, grp, {duck.role_case('phrase')} as role, trim(phrase) as role_raw, names
+select album_id, track, pos, grp, {duck.role_case('phrase')} as role, trim(phrase) as role_raw, names, inline
 from x_emitted_grp e where exists (select 1 from v_tracks t where t.album_id = e.album_id and t.number = e.track)
 """
 
@@ -193,10 +193,8 @@ def is_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHECK_VIEWS["x_backend_credits"] = """
-select 'rules' as backend, album_id, track, pos, grp, role, names from x_credits
-union all
-select 'inline_only', album_id, track, pos, grp, role, names from x_credits c
-where exists (select 1 from x_groups g where g.album_id = c.album_id and g.pos = c.pos and len(g.found) > 0)
+select backend, album_id, track, pos, grp, role, names
+from x_credits cross join (values ('rules'), ('inline_only')) b(backend) where backend = 'rules' or inline
 """
 
 

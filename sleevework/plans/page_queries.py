@@ -10,7 +10,7 @@ from sleevework.functions import web
 from sleevework.functions.core import blank_to_null
 from sleevework.operators import pages as P
 from sleevework.plans import composed_pages as pages
-from sleevework.plans.registry import CHECK_VIEWS, query, table, view
+from sleevework.plans.registry import CHECK_VIEWS, by_key, query, table, view
 from sleevework.sources.scan import scan_pages
 
 CHECK_VIEWS["x_clean"] = """
@@ -31,7 +31,7 @@ def _text(fragment: str) -> str:
 
 
 def _real(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_pages(spark, f"{sf_dir}/pages.parquet")
+    return by_key(scan_pages(spark, f"{sf_dir}/pages.parquet"), "page_id")
 
 
 def _big(*names: str) -> list[Column]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sleevework.operators import replies as R
 from sleevework.plans.quality_queries import album_documents
-from sleevework.plans.registry import CHECK_VIEWS, notes_view, query, view
+from sleevework.plans.registry import CHECK_VIEWS, by_key, notes_view, query, view
 
 CHECK_VIEWS["x_tracklists"] = """
 select a.album_id, string_agg(concat(split_part(split_part(g.field, 'track', 2), '.', 1), '. ', g.value), chr(10) order by g.ord) as tracklist
@@ -71,7 +71,7 @@ select album_id, attempt, reply, shape, case when shape = 0 then 'not JSON' when
 
 @query("n15_validate_replies", "select album_id, cast(attempt as bigint) as attempt, reason from x_validated")
 def validate_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = R.validate_replies(view(spark, sf_dir, "v_replies"))
+    rows = R.validate_replies(by_key(view(spark, sf_dir, "v_replies"), "album_id"))
     return rows.select("album_id", F.col("attempt").cast("bigint").alias("attempt"), "reason")
 
 
@@ -81,7 +81,7 @@ select album_id, cast(attempt as bigint) as attempt, cast(c.track as bigint) as
 from v_replies join (values (5, 2, 0, 'composer', 'Music', null), (5, 2, 1, 'vocalist', 'Vocals', 'B'), (8, 1, 0, 'composer', 'Composed by', 'A')) c(s, track, ord, role, role_raw, n) on c.s = shape
 """)
 def reply_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = R.validate_replies(view(spark, sf_dir, "v_replies")).where("reason is null")
+    valid = R.validate_replies(by_key(view(spark, sf_dir, "v_replies"), "album_id")).where("reason is null")
     names = F.array_join(F.transform("artists", lambda a: F.coalesce(F.get(F.map_values(a["names"]), F.lit(0)), F.lit(""))), "|")
     rows = R.reply_credits(valid)
     return rows.select("album_id", *[F.col(c).cast("bigint").alias(c) for c in ("attempt",)], "track", F.col("ord").cast("bigint").alias("ord"), "role", "role_raw", names.alias("names"))
@@ -98,7 +98,7 @@ def settle_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _settled(spark: SparkSession, sf_dir: str) -> DataFrame:
     # every other album has made one attempt only so far
-    replies = view(spark, sf_dir, "v_replies").where("not (attempt = 2 and album_id % 2 = 0)")
+    replies = by_key(view(spark, sf_dir, "v_replies"), "album_id").where("not (attempt = 2 and album_id % 2 = 0)")
     return R.settle_replies(R.validate_replies(replies), max_retries=1)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sleevework.functions import dates, localized, loose_json, roles, text, tracks
 from sleevework.plans import duck
-from sleevework.plans.registry import CHECK_VIEWS, notes_view, query, table, view
+from sleevework.plans.registry import CHECK_VIEWS, by_key, notes_view, query, table, view
 
 
 def _parts(date: Column) -> list[Column]:
@@ -178,7 +178,25 @@ def has_role_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def parse_track_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.array_join(F.array_sort(tracks.parse_track_set(F.col("raw"))), ",")
-    return view(spark, sf_dir, "v_ranges").select("album_id", "number", "partkey", "suppkey", "raw", found.alias("tracks"))
+    ranges = by_key(view(spark, sf_dir, "v_ranges"), "album_id")
+    return ranges.select("album_id", "number", "partkey", "suppkey", "raw", found.alias("tracks"))
+
+
+@query(
+    "v11_track_set_rejects",
+    """select album_id, number, partkey, suppkey, case suppkey % 9 when 6 then concat(number + 3, ' ~ ', number) when 7 then concat(number, '~', 501 + number) else concat('14~', 14 + number) end as token,
+         case suppkey % 9 when 6 then 'backwards' else 'too wide' end as reason
+       from v_ranges where suppkey % 9 in (6, 7) or suppkey % 9 = 4 and number > case when suppkey % 2 = 0 then 500 else 3 end
+       union all select album_id, number, partkey, suppkey, 'M01~12', 'too wide' from v_ranges where suppkey % 9 = 4 and suppkey % 2 = 1
+       union all select album_id, number, partkey, suppkey, '27~31', 'too wide' from v_ranges where suppkey % 9 = 4 and suppkey % 2 = 1
+       union all select album_id, number, partkey, suppkey, raw, 'too wide' from v_ranges where suppkey % 9 = 8 and suppkey % 2 = 1""",
+)
+def track_set_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second supplier believes ranges of 3 at most, the others the usual width."""
+    ranges = by_key(view(spark, sf_dir, "v_ranges"), "album_id")
+    widest = F.when(F.col("suppkey") % 2 == 1, 3).otherwise(tracks.WIDEST_RANGE)
+    rejects = ranges.select("album_id", "number", "partkey", "suppkey", F.explode(tracks.track_set_rejects(F.col("raw"), widest)).alias("r"))
+    return rejects.select("album_id", "number", "partkey", "suppkey", "r.token", "r.reason")
 
 
 @query("v12_split_names", f"select album_id, pos, array_to_string({duck.names('line')}, '|') as names from x_lines")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
@@ -28,16 +28,16 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     return spark
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialize a result that several outputs read, so that a lost executor costs no re-run.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, named by ``spark.checkpoint.dir``.
 
-    A reliable checkpoint in the shared folder that ``spark.checkpoint.dir`` names. Only a local
-    session without that setting (a test) gets a temporary folder; a cluster must name one.
+    Only a local session without that setting (a test) gets a temporary folder; a cluster must name one.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sleevework-checkpoint-"))
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not folder and master.startswith("local") and not master.startswith("local-cluster"):
+        folder = tempfile.mkdtemp(prefix="sleevework-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder

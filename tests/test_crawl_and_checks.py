@@ -10,7 +10,7 @@ from sleevework.operators import checks as D
 from sleevework.operators import crawl as C
 from sleevework.operators import replies as R
 from sleevework.sources.manifest import scan_manifest
-from sleevework.sources.scan import scan_html_folder
+from sleevework.sources.scan import page_key, scan_html_folder, scan_pages, shared_keys
 
 
 def test_targets_from_a_manifest_file(spark, tmp_path):
@@ -44,10 +44,17 @@ def test_pages_are_stored_unchanged_and_latest_wins(spark, tmp_path):
     assert stored == {("album/1", "newest"), ("album/2", "added"), ("org/1", "o")}
 
 
-def test_html_folder(spark, tmp_path):
+def test_html_folder(spark, sf_dir, tmp_path):
     (tmp_path / "1.html").write_text("<h1>\nA</h1>")
     (tmp_path / "skip.txt").write_text("x")
-    assert [(r["page_id"], r["html"]) for r in scan_html_folder(spark, str(tmp_path)).collect()] == [("1", "<h1>\nA</h1>")]
+    rows = scan_html_folder(spark, str(tmp_path))
+    key = spark.range(1).select(page_key(F.lit("1"))).first()[0]
+    assert [(r["page_id"], r["html"]) for r in rows.collect()] == [(key, "<h1>\nA</h1>")]
+    assert rows.schema["page_id"].dataType == scan_pages(spark, f"{sf_dir}/pages.parquet").schema["page_id"].dataType
+    (tmp_path / "again").mkdir()
+    (tmp_path / "again" / "1.html").write_text("other")
+    (tmp_path / "again" / "2.html").write_text("other")
+    assert [(r["page_id"], r["pages"]) for r in shared_keys(scan_html_folder(spark, str(tmp_path))).collect()] == [(key, 2)]
 
 
 def test_retry_outcomes(spark):

@@ -266,12 +266,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pa.concat_tables(parts)
 
     def estimate(x: pa.Table, y: pa.Table) -> pa.Table:
-        """The candidates of a block whose wide sketches agree; for sets that these hold in full, the links."""
+        """The candidates of a block whose wide sketches agree, all of which are verified afterwards.
+
+        Sketches keep half of each code. Codes of one set that agree in that half count once, so a set's count of
+        such is added to what it may have in common.
+        """
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         if not x.num_rows or not y.num_rows:
             return schema.empty_table()
         wide = [[np.frombuffer(v, np.uint32).astype(np.int64) for v in t["wide"].to_pylist()] for t in (x, y)]
-        common, nx, ny = _overlap(*wide), x["n"].to_numpy(), y["n"].to_numpy()
+        twice = [np.array([len(v) - len(np.unique(v)) for v in side]) for side in wide]
+        common, nx, ny = _overlap(*[[np.unique(v) for v in side] for side in wide]) + np.add.outer(*twice), x["n"].to_numpy(), y["n"].to_numpy()
         exact = 100 * common >= percent * (nx[:, None] + ny[None, :] - common)
         likely = common >= _of(share_wide, np.minimum(np.minimum.outer(nx, ny), WIDE))
         at, to = np.nonzero(_candidates(x, y, percent, share) & np.where(np.maximum.outer(nx, ny) <= WIDE, exact, likely))

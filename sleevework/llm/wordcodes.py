@@ -7,23 +7,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
-SPAN = 1 << 20  # bytes that are coded at a time
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-@cache
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for factor in (_BASE, _INVERSE):
-        steps = np.full(SPAN, factor, np.uint64)
-        steps[0] = 1
-        out.append(np.cumprod(steps, dtype=np.uint64))
-    return out[0], out[1]
+PIECES = 1 << 18  # that are told apart at a time
 
 
 @cache
@@ -72,35 +61,17 @@ def find_words(column: pa.ChunkedArray | pa.Array) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, base), base)
 
 
-def _long_code(piece: np.ndarray, letters: np.ndarray) -> np.uint64:
-    power, _ = _powers()
-    total, factor, step = 0, 1, pow(_BASE, SPAN, 1 << 64)
-    for at in range(0, len(piece), SPAN):
-        part = letters[piece[at : at + SPAN]]
-        total += factor * int((part * power[: len(part)]).sum(dtype=np.uint64))
-        factor = factor * step & (1 << 64) - 1
-    return np.uint64(total & (1 << 64) - 1)
-
-
 def piece_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
-    """A 64-bit code of the bytes of each piece; pieces are in order and do not overlap."""
-    power, inverse = _powers()
-    letters = _letters(seed)
+    """A 64-bit hash of the bytes of each piece; pieces are in order and do not overlap. Each different piece is hashed once."""
     out = np.zeros(len(starts), np.uint64)
-    at = 0
-    while at < len(starts):
-        low = int(starts[at])
-        to = int(np.searchsorted(ends, low + SPAN, "right"))
-        if to <= at:  # one piece longer than the span
-            out[at] = _long_code(data[low : int(ends[at])], letters)
-            at += 1
-            continue
-        part = letters[data[low : int(ends[to - 1])]]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * power[: len(part)], dtype=np.uint64)])
-        s, e = starts[at:to] - low, ends[at:to] - low
-        out[at:to] = (sums[e] - sums[s]) * inverse[s]
-        at = to
-    return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+    raw = pa.py_buffer(np.ascontiguousarray(data))
+    for low in range(0, len(starts), PIECES):
+        some = slice(low, low + PIECES)
+        borders = np.stack([starts[some], ends[some]], 1).ravel()  # pieces, and the gaps between them
+        parts = pa.Array.from_buffers(pa.large_binary(), len(borders) - 1, [None, pa.py_buffer(borders.astype(np.int64)), raw]).dictionary_encode()
+        codes = np.fromiter((xxh3_64_intdigest(x, seed) for x in parts.dictionary.to_pylist()), np.uint64, len(parts.dictionary))
+        out[some] = codes[parts.indices.to_numpy()[::2]]
+    return out
 
 
 def run_codes(words: np.ndarray, length: int, seed: int = 1) -> np.ndarray:

@@ -18,7 +18,9 @@ from sleevework.functions.localized import placeholder_rule
 from sleevework.functions.text import collapse, strip
 
 NOISE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-TOKEN = r"<[^>]+>|[^<]+"
+_ATTRIBUTES = r"""(?>[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+"""  # up to the end of a tag; quoted values may hold anything
+TOKEN = rf"<(?=[^>]){_ATTRIBUTES}>|[^<]+"
+_OPEN_VALUE = r"""<[A-Za-z](?>[^<>=]++|=\s*+"[^"<>]*+"|=\s*+'[^'<>]*+'|=(?!\s*+["']))*+=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
 TAG = r"<[^>]*>"
 LINE_BREAK = r"(?i)<br\s*/?>"
 
@@ -75,9 +77,24 @@ def _decode_names(html: Column) -> Column:
     return F.array_join(F.transform(F.split(html, "&", -1), piece), "")
 
 
+def _escape_values(html: Column) -> Column:
+    """The page with ``<`` and ``>`` inside quoted attribute values escaped, so that a tag ends at its first ``>``.
+
+    Values are decoded again where an attribute is read. Pages without such a value are left as they are.
+    """
+
+    def escaped(token: Column) -> Column:
+        inside = F.substr(token, F.lit(2), F.length(token) - 2)
+        inside = F.replace(F.replace(inside, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+        return F.when(token.rlike(r"(?s)^<.*[<>].*>\z"), F.concat(F.lit("<"), inside, F.lit(">"))).otherwise(token)
+
+    tokens = F.regexp_extract_all(html, F.lit(f"<{_ATTRIBUTES}>|[^<]+|<"), 0)
+    return F.when(html.rlike(_OPEN_VALUE), F.array_join(F.transform(tokens, escaped), "")).otherwise(html)
+
+
 def clean(html: Column) -> Column:
     """The page without scripts, styles and comments, with ordinary entities decoded."""
-    bare = F.regexp_replace(html, NOISE, "")
+    bare = let(F.regexp_replace(html, NOISE, ""), _escape_values)
     return let(bare, lambda h: F.when(h.rlike("&(?!(?:amp|lt|gt|quot);)[#A-Za-z]"), _decode_names(h)).otherwise(h))
 
 

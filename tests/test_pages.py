@@ -33,6 +33,22 @@ def test_nested_containers(spark):
     assert on_page(spark, html, H.container(F.col("html"), "div", 'id="b"')) is None
 
 
+def test_markup_inside_quoted_values(spark):
+    body = """<h1><span class="albumtitle" lang="en" title="x > y">Name</span><span class='albumtitle' lang='ja' title='a "<b>" c'> / 名</span></h1>
+      <a data-x='1 > 0' href="/artist/5?q=a>b" title="<i>">A &lt; B</a> 1 < 2"""
+    page = BASE.format(body)
+    title = H.localized(H.language_spans(F.col("html"), "albumtitle"))
+    assert on_page(spark, page, title) == {"English": "Name", "Japanese": "名"}
+    link = F.get(H.elements(F.col("html"), "a", 'href="[^"]*/artist/'), F.lit(0))
+    assert on_page(spark, page, F.array(H.attribute(link, "href"), H.attribute(link, "title"), H.attribute(link, "data-x"), H.text(H.inner(link)))) == ["/artist/5?q=a>b", "<i>", "1 > 0", "A < B"]
+    rows = P.tokenise(spark.createDataFrame([(1, "u", '<a title="x > y">t</a><br/><b c=\'>\'>&gt;')], "page_id bigint, url string, html string")).orderBy("pos").collect()
+    assert [(r["tok"], r["tag"]) for r in rows] == [('<a title="x &gt; y">', "a"), ("t", None), ("</a>", "a"), ("<br/>", "br"), ("<b c='&gt;'>", "b"), (">", None)]
+    long = '<p title="' + "> <" * 20000 + '">end</p>'
+    assert on_page(spark, long, H.text(F.col("html"))) == "end"
+    plain = "<p a=b c>1 = 2 > 1</p>" + "<i>x</i>" * 5000
+    assert on_page(spark, plain, F.col("html")) == plain
+
+
 def test_attributes(spark):
     tag = F.col("html")
     assert on_page(spark, """<a title='it "is"' href="/x?a=1&amp;b=2" rel=tl1>""", F.array(H.attribute(tag, "title"), H.attribute(tag, "href"), H.attribute(tag, "rel"), H.attribute(tag, "id"))) == [

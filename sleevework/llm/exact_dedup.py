@@ -28,21 +28,22 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Rows meet by the MD5 of the normalised text. Every member of a group of two or more is compared byte by byte
     with the text of the group's best row; members that differ (a collision) are grouped by the text itself.
-    A group that holds a large share of the rows is reduced by partial aggregates, and its joins can be split.
+    A group that holds a large share of the rows is reduced by partial aggregates. What these give is saved before
+    rows meet it again, so both sides of a join are read from storage and a hot side of it can be split.
     """
     full = docs.select(F.col(id_col).alias("id"), F.char_length(text_of(text_col)).alias("n"), normalised(text_col).alias("bare"))
     full = full.select("id", "n", "bare", F.md5("bare").alias("h"), F.sha2("bare", 256).alias("sha"))
     best = F.min(F.struct((-F.col("n")).alias("n"), F.col("id").isNull().alias("void"), "id")).alias("best")
-    narrow = full.select("id", "n", "h", "sha")
+    narrow = saved(full.select("id", "n", "h", "sha"), "dedup-rows")
     groups = saved(narrow.groupBy("h").agg(F.count("*").alias("size"), best), "dedup-groups")
 
     several = groups.where("size > 1")
     members = saved(full.join(several.drop("size"), "h"), "dedup-members")
     is_best = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("n") == -F.col("best.n"))
-    models = members.where(is_best).groupBy("h").agg(F.min("bare").alias("model"))
+    models = saved(members.where(is_best).groupBy("h").agg(F.min("bare").alias("model")), "dedup-models")
     differs = F.when(F.col("bare") != F.col("model"), F.col("bare")).alias("variant")
     compared = saved(members.join(models, "h").select("h", "id", "n", "sha", differs), "dedup-compared")
-    decided = compared.groupBy("h", "variant").agg(F.count("*").alias("size"), best)
+    decided = saved(compared.groupBy("h", "variant").agg(F.count("*").alias("size"), best), "dedup-decided")
 
     decided = decided.withColumnsRenamed({"h": "h_", "variant": "variant_"})
     same = (F.col("h") == F.col("h_")) & F.col("variant").eqNullSafe(F.col("variant_"))
@@ -61,7 +62,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat id and text one stays."""
     kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("kept_id_"), F.col("text_sha256").alias("kept_print_")).distinct()
-    print_of = "bare_sha256_"
+    print_of = "bare_sha256_" + "_" * max(len(c) for c in docs.columns)  # no column of the caller's
     marked = docs.withColumn(print_of, F.sha2(normalised(text_col), 256))
     stay = marked.join(kept, F.col(id_col).eqNullSafe(F.col("kept_id_")) & (F.col(print_of) == F.col("kept_print_")), "left_semi")
     return stay.dropDuplicates([id_col, print_of]).drop(print_of)

@@ -144,7 +144,8 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
         runs.append((n + (runs[-1][0] if runs else 0), number))
     plan = spark.createDataFrame(list(ends.items()), "bytes_ long, runs array<struct<upto:long,shard:int>>")
     homes = placed.join(plan, F.col("bytes") == F.col("bytes_")).select("print", "piece", "step", F.expr("filter(runs, r -> r.upto > place)[0].shard").alias("shard"))
-    whole = homes.groupBy("print").agg(F.max("step").alias("step"), F.max("piece").alias("last"), F.min("shard").alias("home"))
+    # saved, so that the join reads both sides from storage and a text with many rows can be split
+    whole = saved(homes.groupBy("print").agg(F.max("step").alias("step"), F.max("piece").alias("last"), F.min("shard").alias("home")), "shard-homes")
 
     near = rows.join(whole, "print")
     even = near.where("last = 0").select("doc_id", "size", "text_crc32", F.col("home").alias("shard"))

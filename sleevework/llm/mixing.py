@@ -12,16 +12,18 @@ from sleevework.llm.shared import WORD, ranked, saved, text_of
 WEIGHTS = (5, 2, 1)  # by place of the source, repeating
 SHARE = 1.5  # of all sizes, what the mix has in all
 MOST = 2.0  # times its own size, what a source may give
-#: Words that are left to the exact fit after whole lengths have been dealt out in proportion.
+#: Longest lengths that are left to the exact fit, and most words that it works on.
+SPARE_LENGTHS = 2
 EXACT_SPAN = 200_000
 
 
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length to take so that their lengths add up to ``budget`` as closely as can be found.
 
-    Lengths are first taken in proportion, rounded down, then greedily from the longest until the rest is below
-    ``EXACT_SPAN``; a bounded-knapsack dynamic programme over the counts that remain then finds the largest
-    reachable sum up to the rest. The sum never exceeds the budget.
+    Every length gives its part of the budget, short of a few documents: the parts are rounded so that, from the
+    shortest length on, the documents taken are never one off their exact number. A bounded-knapsack dynamic
+    programme over the counts that remain then finds the largest reachable sum up to the rest. The sum never exceeds
+    the budget. Only where single documents are longer than ``EXACT_SPAN`` words is the rest brought below it first.
     """
     take = np.zeros(len(lengths), np.int64)
     if budget <= 0 or not len(lengths):
@@ -29,10 +31,17 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.astype(np.int64)
-    share = budget / total
-    take = np.minimum(counts, np.floor(counts * share)).astype(np.int64)
-    rest = budget - int((lengths * take).sum())
     order = np.argsort(-lengths)
+    longest = int(lengths.max())
+    share = max(0, budget - min(SPARE_LENGTHS * longest, EXACT_SPAN // 2)) / total
+    exact = np.cumsum((counts * share)[order[::-1]])
+    take[order[::-1]] = np.diff(np.floor(exact + 1e-9).astype(np.int64), prepend=0)
+    take = np.minimum(take, counts)
+    rest = budget - int((lengths * take).sum())
+    for at in order[::-1]:  # a very long document may have been rounded up; the shortest that makes room goes
+        if rest < 0 and take[at] and lengths[at] >= -rest:
+            take[at] -= 1
+            rest += int(lengths[at])
     for at in order:
         if rest <= EXACT_SPAN:
             break
@@ -40,7 +49,8 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         if n > 0:
             take[at] += n
             rest -= n * int(lengths[at])
-    spare = [(int(lengths[at]), int(counts[at] - take[at]), int(at)) for at in order[::-1] if lengths[at] > 0 and counts[at] > take[at]]
+    mixed_up = np.random.default_rng(len(order)).permutation(len(order))  # no length is preferred for the rest
+    spare = [(int(lengths[at]), int(counts[at] - take[at]), int(at)) for at in mixed_up if 0 < lengths[at] <= rest and counts[at] > take[at]]
     reach, full = 1, (1 << (rest + 1)) - 1
     steps: list[tuple[int, int, int]] = []  # what was reachable before each chunk of copies of one length
     for length, n, at in spare:
@@ -53,7 +63,7 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
             reach |= (reach << (length * copies)) & full
             n -= copies
             chunk *= 2
-        if reach >> rest & 1 or length > rest:
+        if reach >> rest & 1:
             break
     here = (reach & full).bit_length() - 1
     for before, copies, at in reversed(steps):

@@ -163,6 +163,22 @@ def test_budget_fit_is_exact_where_it_can_be():
         assert got <= best and best - got <= lengths.max()
 
 
+def test_a_mix_is_a_sample_of_all_lengths():
+    lengths, counts = np.arange(1, 4001), np.ones(4000, np.int64)
+    take = mixing.fit_budget(lengths, counts, int(lengths.sum()) // 2)
+    assert int((take * lengths).sum()) == int(lengths.sum()) // 2
+    shares = take.reshape(4, 1000).mean(1)
+    assert shares.max() - shares.min() < 0.05
+    draw = np.random.default_rng(8)
+    for widest in (30, 3000, 400_000):
+        for _ in range(20):
+            lengths = np.unique(draw.integers(0, widest, 60))
+            counts = draw.integers(1, 300, len(lengths))
+            budget = int(draw.integers(0, (lengths * counts).sum() + 1))
+            take = mixing.fit_budget(lengths, counts, budget)
+            assert (take >= 0).all() and (take <= counts).all() and 0 <= budget - int((take * lengths).sum()) <= lengths.max()
+
+
 def water_fill(sizes: dict, share: float = 1.5, most: float = 2.0) -> dict:
     weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
     left, open_, out = share * sum(sizes.values()), set(sizes), {}

@@ -1,4 +1,4 @@
-"""Scoring texts as a weighted backoff automaton of smoothed n-grams would, learnt from the same corpus."""
+"""Scoring texts with a weighted backoff automaton of smoothed n-grams, learnt from the same corpus."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sleevework.llm.buckets import bucketed, pack_counts, pack_sorted, unpack_counts, unpack_sorted
 from sleevework.llm.wordcodes import LOWER, find_words, piece_codes, run_codes
 
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 12 << 20
 PART_KEYS = 2 << 20  # n-grams of the input for each part, about
 BYTES_PER_WORD = 5
 ORDER = 3
@@ -32,7 +32,7 @@ class _Tokens:
         is_word = np.ones(len(self.codes), bool)
         is_word[self.first[1:] - 1] = False
         self.codes[is_word] = codes
-        self.place = np.arange(len(self.codes)) - np.repeat(self.first[:-1], np.diff(self.first))  # within the document
+        self.place = (np.arange(len(self.codes)) - np.repeat(self.first[:-1], np.diff(self.first))).astype(np.int32)  # within the document
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(codes of the n-grams that end at each token, whether the document reaches back so far)."""
@@ -43,6 +43,88 @@ class _Tokens:
         return out, self.place >= n - 1
 
 
+class Automaton:
+    """States, weighted arcs and failure arcs of the histories that a bucket can meet; weights are log10.
+
+    State 0 is the empty history; it has an arc for every token of the bucket. The histories of n words follow in
+    the order of their codes. An arc is found by its state and label together: many at once in a hash table of
+    the places in one sorted array, few by bisection.
+    """
+
+    MANY = 512
+    SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, labels: int) -> None:
+        self.labels = labels
+        self.fail, self.fail_weight = [np.zeros(1, np.int32)], [np.zeros(1)]
+        self.arcs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add_states(self, fail: np.ndarray, weight: np.ndarray) -> None:
+        self.fail.append(fail.astype(np.int32))
+        self.fail_weight.append(weight)
+
+    def add_arcs(self, states: np.ndarray, labels: np.ndarray, weights: np.ndarray, targets: np.ndarray) -> None:
+        self.arcs.append((states.astype(np.int64) * self.labels + labels, weights, targets.astype(np.int32)))
+
+    def close(self) -> None:
+        self.fail, self.fail_weight = np.concatenate(self.fail), np.concatenate(self.fail_weight)
+        keys = np.concatenate([a[0] for a in self.arcs])
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.weight, self.target = (np.concatenate([a[i] for a in self.arcs])[order] for i in (1, 2))
+        del self.arcs
+        bits = max(1, (2 * len(keys) - 1).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.table = np.full(1 << bits, -1, np.int32)
+        left, slot = np.arange(len(keys)), self._slots(self.keys)
+        while len(left):  # each arc takes the first free slot from its own on
+            free = self.table[slot] < 0
+            self.table[slot[free]] = left[free]
+            lost = self.table[slot] != left
+            left, slot = left[lost], (slot[lost] + 1) & self.last
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * self.SPREAD) >> self.shift).astype(np.int64)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each arc, -1 where there is none."""
+        if len(keys) < self.MANY:
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            return np.where(self.keys[at] == keys, at, -1)
+        out, left, slot = np.full(len(keys), -1, np.int64), np.arange(len(keys)), self._slots(keys)
+        while len(left):
+            at = self.table[slot]
+            hit = (at >= 0) & (self.keys[at] == keys[left])
+            out[left[hit]] = at[hit]
+            on = (at >= 0) & ~hit
+            left, slot = left[on], (slot[on] + 1) & self.last
+        return out
+
+    def read(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The weight of each document: all documents are read from left to right in step, each with its own state."""
+        lengths = np.diff(first)
+        docs = np.argsort(-lengths, kind="stable")
+        begins, ascending = first[docs], lengths[docs][::-1]
+        state, total = np.zeros(len(docs), np.int64), np.zeros(len(docs))
+        for step in range(int(lengths.max(initial=0))):
+            active = len(docs) - int(np.searchsorted(ascending, step, "right"))
+            label = words[begins[:active] + step]
+            left = np.arange(active)
+            while len(left):
+                key = state[left] * self.labels + label[left]
+                at = self._find(key)
+                there = at >= 0
+                gone = left[there]
+                total[gone] += self.weight[at[there]]
+                state[gone] = self.target[at[there]]
+                left = left[~there]  # these take the failure arc and look again
+                total[left] += self.fail_weight[state[left]]
+                state[left] = self.fail[state[left]]
+        out = np.zeros(len(docs))
+        out[docs] = total
+        return out
+
+
 def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float = PRIOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, learnt, n_tokens, n_known, train_tokens, base_score, score), one row per row of ``docs``.
 
@@ -57,16 +139,16 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
     arc for each token seen after it, of weight (c(hw) + prior * p(w | shorter h)) / (c(h) + prior), and a
     failure arc of weight prior / (c(h) + prior) to the state of the shorter history. The weights of a state add
     up to one. Reading a token follows its arc, or failure arcs until one is found; the state reached is the
-    longest known history. No automaton is built, though: what it would give is looked up for all tokens of a
-    bucket at once, order by order, from the counts of histories and n-grams. Every bucket of documents gets the counts of the n-grams its own texts can meet, so
-    no task holds the whole model, and the counts come from all training documents.
+    longest known history. Every bucket of documents gets the counts of the n-grams its own texts can meet, from
+    all training documents, builds the part of the automaton that these make up, and reads its texts with it; no
+    task holds the whole model. Rows are dealt to buckets by id and text, so rows without an id are no one bucket.
 
     1. Every bucket names its n-grams of two and more words by codes cut to a few bits more than the input needs,
        and learns which of them another bucket has too. An n-gram that only one bucket has is counted there.
     2. The others, and all words, are sent with their whole codes and counts; what comes back are the sums.
     """
     learnt = F.coalesce(learn, F.lit(False)).alias("learnt")
-    rows, total = bucketed(docs, BUCKET_BYTES, id_col, text_col, learnt)
+    rows, total = bucketed(docs, BUCKET_BYTES, id_col, text_col, learnt, by_text=True)
     parts = max(1, total // (BYTES_PER_WORD * PART_KEYS))
     cut = np.uint64(max(0, 64 - SPARE_BITS - (total // BYTES_PER_WORD).bit_length()))
 
@@ -74,7 +156,7 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
         """(distinct n-grams in order, where each part's begin, distinct place of each token's n-gram, in reach)."""
         grams, whole = tokens.grams(n)
         distinct, inverse = np.unique(grams[whole], return_inverse=True)
-        place = np.zeros(len(grams), np.int64)
+        place = np.zeros(len(grams), np.int32)
         place[whole] = inverse
         step = (2**64 - 1) // parts + 1
         return distinct, np.searchsorted(distinct, np.array([p * step for p in range(1, parts)], np.uint64)), place, whole
@@ -137,27 +219,43 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
         tokens = _Tokens(table)
         told = sorted(zip(*(answers[c].to_pylist() for c in ("part", "counts", "total", "distinct", "which"))))
         seen, kinds = sum(t[2] for t in told if t[0] // parts == 1), sum(t[3] for t in told if t[0] // parts == 1)
-        state = np.zeros(len(tokens.codes), np.int64)  # how often the history before each token was seen
-        chance = known = None
+        sums = lambda x: np.add.reduceat(x, tokens.first[:-1])
+        history, history_counts, history_chance, first_state = np.zeros(len(tokens.codes), np.int32), np.array([0]), None, 0
         for n in range(1, order + 1):
             distinct, borders, place, whole = keys_of(tokens, n)
             sizes = np.diff(np.concatenate([[0], borders, [len(distinct)]]))
             counts = own_counts(table, tokens, distinct, place, whole)
             mine = [(c, np.unpackbits(np.frombuffer(w, np.uint8), count=size).astype(bool)) for (_, c, _, _, w), size in zip([t for t in told if t[0] // parts == n], sizes)]
             counts[np.concatenate([which for _, which in mine])] = np.concatenate([unpack_counts(c, int(which.sum())) for c, which in mine])
-            here = np.where(whole, np.append(counts, 0)[place], 0)  # texts may all be shorter than n
+            at = np.zeros(len(distinct), np.int64)
+            at[place[whole]] = np.flatnonzero(whole)  # a token where each n-gram ends
             if n == 1:
-                known = here
-                chance = (here + ADD) / (seen + ADD * (kinds + 1))
-                base = np.log10(chance)
+                words, model = place, Automaton(len(distinct))
+                chance = (counts + ADD) / (seen + ADD * (kinds + 1))
+                n_known, base = sums((counts > 0)[place].astype(np.int64)), sums(np.log10(chance)[place])
+                arcs = np.ones(len(distinct), bool)
+                states = np.zeros(len(distinct), np.int64)
             else:
-                follow = whole & (state > 0)  # the state exists; else the failure arc is taken at no cost
-                chance = np.where(follow, (here + prior * chance) / (state + prior), chance)
-            state = np.concatenate([[0], here[:-1]])
-            state[tokens.place < n] = 0
-        sums = lambda x: np.add.reduceat(x, tokens.first[:-1])
+                before = history[at - 1]
+                arcs = counts > 0
+                chance = (counts + prior * history_chance[history[at]]) / (history_counts[before] + prior)
+                states = first_state + before
+            # n-grams that were seen are states of their own, unless they have all the words that a history may have
+            next_state = 1 if n == 1 else first_state + len(history_counts)
+            if n < order:
+                target = np.where(counts > 0, next_state + np.arange(len(distinct)), 0)
+                fail = np.zeros(len(distinct)) if n == 1 else first_state + history[at]
+                model.add_states(fail, np.log10(prior / (counts + prior)))
+            else:
+                target = np.zeros(len(distinct)) if n == 1 else first_state + history[at]
+            model.add_arcs(states[arcs], words[at[arcs]], np.log10(chance[arcs]), target[arcs])
+            history, history_counts, history_chance, first_state = place, counts, chance, next_state
+            del distinct, whole, place, at, mine, target, states, arcs
+        del history, history_counts, history_chance, chance, counts, told
+        model.close()
         n_docs = table.num_rows
-        return pa.table([table["doc_id"], table["learnt"], pa.array(np.diff(tokens.first)), pa.array(sums((known > 0).astype(np.int64))), pa.array([seen] * n_docs, pa.int64()), pa.array(sums(base)), pa.array(sums(np.log10(chance)))], schema=schema)
+        score = model.read(words, tokens.first)
+        return pa.table([table["doc_id"], table["learnt"], pa.array(np.diff(tokens.first)), pa.array(n_known), pa.array([seen] * n_docs, pa.int64()), pa.array(base), pa.array(score)], schema=schema)
 
     probes = rows.groupBy("bucket").applyInArrow(probe, "part long, bucket long, short binary")
     probed = probes.groupBy("part").applyInArrow(find_shared, "part long, bucket long, shared binary")

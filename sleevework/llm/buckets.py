@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 from sleevework.llm.shared import text_of
 
 
-def bucketed(docs: DataFrame, bucket_bytes: int, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> tuple[DataFrame, int]:
+def bucketed(docs: DataFrame, bucket_bytes: int, id_col: str = "doc_id", text_col: str = "text", *more: Column, by_text: bool = False) -> tuple[DataFrame, int]:
     """((doc_id, text, more columns, bucket), bytes of all texts). A bucket holds about ``bucket_bytes``; all rows of an id share one.
 
-    A null text becomes an empty one.
+    With ``by_text`` rows are dealt by id and text together, so only equal rows have to share a bucket. A null text
+    becomes an empty one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), *more)
     total = int(rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
     buckets = max(1, -(-total // bucket_bytes))
-    bucket: Column = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1).cast("long"))), F.lit(buckets))
+    key = [F.coalesce("doc_id", F.lit(-1).cast("long")), *([F.col("text")] if by_text else [])]
+    bucket: Column = F.pmod(F.xxhash64(*key), F.lit(buckets))
     return rows.withColumn("bucket", bucket), total
 
 

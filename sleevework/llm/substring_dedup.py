@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sleevework.llm.buckets import bucketed, from_gaps, gaps, ids_in_order, unpack
-from sleevework.llm.wordcodes import Words, find_words, piece_codes, run_codes, starts_inside
+from sleevework.llm.wordcodes import Words, find_words, pieces_coded, run_codes, starts_inside
 
 BUCKET_BYTES = 8 << 20
 PART_CELLS = 1 << 24  # cells of the sketch that one part merges
@@ -26,7 +26,7 @@ class _Bucket:
         self.table, self.ids = ids_in_order(table)
         self.words: Words = find_words(self.table["text"])
         w, first = self.words, self.words.first
-        one, two = piece_codes(w.data, w.starts, w.ends, 1), piece_codes(w.data, w.starts, w.ends, 2)
+        one, two = pieces_coded(w.data, w.starts, w.ends, (1, 2))
         self.at = np.flatnonzero(starts_inside(first, window))  # number of the first word, over the whole bucket
         self.one, self.two = run_codes(one, window, 1)[self.at], run_codes(two, window, 2)[self.at]
         # Rows that share an id count their words on, so that (id, start) names one window.

@@ -61,19 +61,28 @@ def find_words(column: pa.ChunkedArray | pa.Array) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, base), base)
 
 
-def piece_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
-    """A 64-bit hash of the bytes of each piece; pieces are in order and do not overlap. Each different piece is hashed once."""
-    out = np.zeros(len(starts), np.uint64)
-    raw = pa.py_buffer(np.ascontiguousarray(data))
+def pieces_coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seeds: tuple[int, ...]) -> list[np.ndarray]:
+    """For each seed a 64-bit hash of the bytes of each piece; pieces are in order and do not overlap. Each different piece is hashed once."""
+    out = [np.zeros(len(starts), np.uint64) for _ in seeds]
     for low in range(0, len(starts), PIECES):
         some = slice(low, low + PIECES)
-        borders = np.stack([starts[some], ends[some]], 1).ravel()  # pieces, and the gaps between them
-        parts = pa.Array.from_buffers(pa.large_binary(), len(borders) - 1, [None, pa.py_buffer(borders.astype(np.int64)), raw]).dictionary_encode()
-        codes = np.fromiter((xxh3_64_intdigest(x, seed) for x in parts.dictionary.to_pylist()), np.uint64, len(parts.dictionary))
-        out[some] = codes[parts.indices.to_numpy()[::2]]
+        begins, stops = starts[some] - starts[low], ends[some] - starts[low]
+        turns = np.zeros(int(stops[-1]) + 1, np.int8)
+        turns[begins] += 1
+        turns[stops] -= 1
+        letters = data[starts[low] : ends[some][-1]][np.cumsum(turns[:-1], dtype=np.int8) > 0]  # without what is between the pieces
+        borders = np.concatenate([[0], np.cumsum(stops - begins)])
+        parts = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(letters)]).dictionary_encode()
+        distinct, at = parts.dictionary.to_pylist(), parts.indices.to_numpy()
+        for codes, seed in zip(out, seeds):
+            codes[some] = np.fromiter((xxh3_64_intdigest(x, seed) for x in distinct), np.uint64, len(distinct))[at]
     return out
 
 
+def piece_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
+    return pieces_coded(data, starts, ends, (seed,))[0]
+
+
 def run_codes(words: np.ndarray, length: int, seed: int = 1) -> np.ndarray:
     """A code of every ``length`` consecutive words, whatever document they are in."""
     n = len(words) - length + 1

@@ -90,33 +90,46 @@ def best_fit_decreasing(classes: list[tuple[int, int]], capacity: int, bins: int
 
 
 def near_equal(classes: list[tuple[int, int]], bins: int) -> list[tuple[int, int, int]]:
-    """The packing of the least capacity found for which best fit decreasing needs no more than ``bins`` bins."""
-    if not classes:
-        return []
-    total = sum(s * n for s, n in classes)
-    low = max(-(-total // bins), max(s for s, _ in classes))
+    """The packing of the least capacity found for which best fit decreasing needs no more than ``bins`` bins.
+
+    An item of no less than an even share of what is left to pack takes a bin of its own first, so that one huge
+    item does not raise the capacity of all the others.
+    """
+    order = sorted(range(len(classes)), key=lambda i: -classes[i][0])
+    rest, runs, used, first = sum(s * n for s, n in classes), [], 0, 0
+    taken = 0  # items of the class at ``first`` that have bins of their own
+    while first < len(order) and classes[order[first]][0] * (bins - used) >= rest:
+        runs.append((order[first], 1, used))
+        rest, used, taken = rest - classes[order[first]][0], used + 1, taken + 1
+        if taken == classes[order[first]][1]:
+            first, taken = first + 1, 0
+    if first == len(order):
+        return runs
+    left = [(classes[at][0], classes[at][1] - (taken if at == order[first] else 0)) for at in order[first:]]
+    low = max(-(-rest // (bins - used)), left[0][0])
     high, best = low, None
     while best is None:
-        best = best_fit_decreasing(classes, high, bins)
+        best = best_fit_decreasing(left, high, bins - used)
         high = high if best is not None else high + max(1, high // 64)
     while low < high:
         middle = (low + high) // 2
-        runs = best_fit_decreasing(classes, middle, bins)
-        low, high, best = (low, middle, runs) if runs is not None else (middle + 1, high, best)
-    return best
+        packed = best_fit_decreasing(left, middle, bins - used)
+        low, high, best = (low, middle, packed) if packed is not None else (middle + 1, high, best)
+    return runs + [(order[first + at], n, used + number) for at, n, number in best]
 
 
-def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", lots: int = 1000) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard), one row per row of ``docs``; the law is ``bytes``.
 
     A row's size is the UTF-8 bytes of its text and 16; a null text has none, and null and empty texts are one
-    group. Rows of equal text form a group that stays in one shard, unless the group alone is larger than an even
-    share of all bytes: it is then dealt out in the fewest pieces of at most that share. Groups enter shards by
-    best fit decreasing under the least capacity that needs no more than ``shards`` bins. An empty table gives
+    group. Rows of equal text form a group that stays in one shard. A group larger than an even share of all bytes
+    has a shard of its own, and the others share the remaining shards evenly. Groups enter shards by best fit
+    decreasing under the least capacity that needs no more than ``shards`` bins. An empty table gives
     no rows; other columns are not read; null and repeated ids are rows of their own.
 
-    The packing itself works on counts by (bytes of a group, rows of a group). Their number depends on the
-    different lengths of texts, not on the number of rows, and only these counts reach the driver.
+    Groups below 1/(``shards`` * ``lots``) of all bytes, a thousandth of a shard by default, enter together with others
+    in as many lots drawn by the hash of their text. So there are at most 2 * ``shards`` * ``lots`` items to pack at any
+    size of the input: only counts of them by their bytes reach the driver, and which item goes where is a small table.
     """
     spark = docs.sparkSession
     text = text_of(text_col)
@@ -127,15 +140,14 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
         F.sha2(text, 256).alias("print"),
     )
     rows = saved(rows, "shard-rows")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    share = max(1, -(-total // shards))
-    groups = rows.groupBy("print", "size").agg(F.count("*").alias("n"))
-    per_piece = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(share) / F.col("size")).cast("long"))
-    groups = groups.withColumn("step", F.when(F.col("size") * F.col("n") > share, per_piece).otherwise(F.col("n")))
-    pieces = groups.select("print", "size", "step", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(n - 1) div step"))).alias("piece"), "n")
-    pieces = pieces.withColumn("held", F.least("step", F.col("n") - F.col("piece") * F.col("step"))).withColumn("bytes", F.col("held") * F.col("size"))
-    placed = ranked(pieces, ["bytes"], ["print", "piece"], "place")
-    placed = saved(placed, "shard-pieces")
+    groups = rows.groupBy("print", "size").agg(F.count("*").alias("n")).select("print", (F.col("size") * F.col("n")).alias("bytes"))
+    groups = saved(groups, "shard-groups")
+    total = groups.agg(F.sum("bytes")).first()[0] or 0
+    small = F.col("bytes") * F.lit(shards * lots).cast("decimal(20,0)") < F.lit(total)
+    lot = F.concat(F.lit("lot "), F.pmod(F.xxhash64("print"), F.lit(shards * lots)))
+    groups = groups.withColumn("item", F.when(small, lot).otherwise(F.col("print")))
+    items = groups.groupBy("item").agg(F.sum("bytes").alias("bytes"))
+    placed = saved(ranked(items, ["bytes"], ["item"], "place"), "shard-items")
 
     classes = [(r["bytes"], r["n"]) for r in placed.groupBy("bytes").agg(F.count("*").alias("n")).collect()]
     ends: dict[int, list[tuple[int, int]]] = {}
@@ -143,13 +155,8 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
         runs = ends.setdefault(classes[at][0], [])
         runs.append((n + (runs[-1][0] if runs else 0), number))
     plan = spark.createDataFrame(list(ends.items()), "bytes_ long, runs array<struct<upto:long,shard:int>>")
-    homes = placed.join(plan, F.col("bytes") == F.col("bytes_")).select("print", "piece", "step", F.expr("filter(runs, r -> r.upto > place)[0].shard").alias("shard"))
+    homes = placed.join(plan, F.col("bytes") == F.col("bytes_")).select("item", F.expr("filter(runs, r -> r.upto > place)[0].shard").alias("shard"))
     # saved, so that the join reads both sides from storage and a text with many rows can be split
-    whole = saved(homes.groupBy("print").agg(F.max("step").alias("step"), F.max("piece").alias("last"), F.min("shard").alias("home")), "shard-homes")
-
-    near = rows.join(whole, "print")
-    even = near.where("last = 0").select("doc_id", "size", "text_crc32", F.col("home").alias("shard"))
-    cut = ranked(near.where("last > 0").drop("home", "last"), ["print"], ["doc_id"], "place").withColumn("piece", F.expr("place div step"))
-    split = cut.join(homes.select("print", "piece", "shard"), ["print", "piece"]).select("doc_id", "size", "text_crc32", "shard")
-    slotted = ranked(even.unionByName(split), ["shard"], ["doc_id", "text_crc32"], "slot")
+    homes = saved(groups.join(homes, "item").select("print", "shard"), "shard-homes")
+    slotted = ranked(rows.join(homes, "print").drop("print"), ["shard"], ["doc_id", "text_crc32"], "slot")
     return slotted.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -120,12 +120,29 @@ def test_shards(docs, empty):
     assert sharding.shard(empty, 4).count() == 0
 
 
-def test_a_group_beyond_a_fair_share_is_dealt_out(spark):
+@pytest.mark.parametrize("lots", [1, 1000])
+def test_a_group_beyond_a_fair_share_has_a_shard_of_its_own(spark, lots):
     docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 400, "same").otherwise(F.concat(F.lit("t"), "id")).alias("text"))
-    sums = Counter()
-    for r in sharding.shard(docs, 10).collect():
+    sums, home = Counter(), set()
+    for r in sharding.shard(docs, 10, lots=lots).collect():
         sums[r["shard"]] += r["size"]
-    assert set(sums) == set(range(10)) and max(sums.values()) - min(sums.values()) < 60
+        home |= {r["shard"]} if r["text_crc32"] == zlib.crc32(b"same") else set()
+    assert set(sums) == set(range(10)) and len(home) == 1 and sums.pop(home.pop()) == 400 * 20
+    if lots == 1000:
+        assert sorted(sums.values()) == [64 * 20, *[67 * 20] * 8], "the least capacity for 600 rows in nine shards is 67 rows"
+    assert sum(sums.values()) == sum(len(f"t{i}") + 16 for i in range(400, 1000))
+
+
+def test_huge_items_have_bins_of_their_own():
+    sizes = [(1000, 2), (300, 1), (7, 40), (3, 50), (1, 10)]
+    loads, items = Counter(), Counter()
+    for at, n, number in sharding.near_equal(sizes, 9):
+        loads[number] += n * sizes[at][0]
+        items[at] += n
+    assert [items[i] for i in range(len(sizes))] == [n for _, n in sizes]
+    assert sorted(loads.values())[-3:] == [300, 1000, 1000] and max(sorted(loads.values())[:-3]) - min(loads.values()) <= 7 and len(loads) == 9
+    assert sharding.near_equal([(5, 1)], 4) == [(0, 1, 0)] and sharding.near_equal([], 4) == []
+    assert sorted(number for _, _, number in sharding.near_equal([(5, 3)], 3)) == [0, 1, 2]
 
 
 def test_best_fit_takes_the_tightest_bin():

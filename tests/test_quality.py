@@ -80,6 +80,20 @@ def test_matching_agrees_with_the_plain_loop(spark, seed):
     assert {r["track"]: (r["matched"], r["produced"], r["golden"]) for r in got} == greedy(produced, golden)
 
 
+@pytest.mark.parametrize("limit", [0, 20, 10_000])
+def test_matching_of_small_and_large_groups_agrees(spark, monkeypatch, limit):
+    rng = random.Random(limit)
+    produced, golden = random_credits(rng, 150), random_credits(rng, 130)
+    monkeypatch.setattr(Q, "IN_ORDER_CREDITS", limit)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(size, "3")  # groups run over several batches
+    try:
+        got = Q.match_credits(spark.createDataFrame(produced, CREDIT), spark.createDataFrame(golden, CREDIT)).collect()
+    finally:
+        spark.conf.unset(size)
+    assert {r["track"]: (r["matched"], r["produced"], r["golden"]) for r in got} == greedy(produced, golden)
+
+
 def test_matching_with_array_order(spark):
     schema = CREDIT.replace("ord bigint", "ord array<bigint>")
     rows = [(1, 1, [2, 0], "composer", ["a", "b"]), (1, 1, [1, 5], "composer", ["b"]), (1, 1, [10, 0], "composer", ["a"])]

@@ -13,11 +13,11 @@ from html.entities import html5, name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sleevework.functions.core import first, let
+from sleevework.functions.core import blank_to_null, let
 from sleevework.functions.localized import placeholder_rule
 from sleevework.functions.text import collapse, strip
 
-NOISE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+NOISE = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
 _ATTRIBUTES = r"""(?>[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+"""  # up to the end of a tag; quoted values may hold anything
 TOKEN = rf"<(?=[^>]){_ATTRIBUTES}>|[^<]+"
 _OPEN_VALUE = r"""<[A-Za-z](?>[^<>=]++|=\s*+"[^"<>]*+"|=\s*+'[^'<>]*+'|=(?!\s*+["']))*+=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
@@ -169,6 +169,16 @@ def elements(html: Column, tag: str, having: str = "") -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is){_opening(tag, having)}.*?</{tag}\s*>"), 0)
 
 
+def element(html: Column, tag: str, having: str = "") -> Column:
+    """The first of ``elements``, NULL if there is none; the search ends at it."""
+    return blank_to_null(F.regexp_extract(html, rf"(?is){_opening(tag, having)}.*?</{tag}\s*>", 0))
+
+
+def opening_tag(html: Column, tag: str, having: str = "") -> Column:
+    """The first of ``opening_tags``, NULL if there is none."""
+    return blank_to_null(F.regexp_extract(html, rf"(?is){_opening(tag, having)}", 0))
+
+
 def opening_tags(html: Column, tag: str, having: str = "") -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is){_opening(tag, having)}"), 0)
 
@@ -178,8 +188,12 @@ def inner(element: Column) -> Column:
     return F.regexp_replace(element, r"(?s)^<[^>]*>|</[^>]*>\z", "")
 
 
-def _at_close(tail: Column, tag: Column, *, rest: bool = False) -> Column:
-    """``struct<inner>``, with ``rest`` also ``rest``: ``tail`` cut at the close of an element of ``tag`` opened just before it."""
+def _at_close(tail: Column, tag: Column, *, rest: bool = False, flat: bool = False) -> Column:
+    """``struct<inner>``, with ``rest`` also ``rest``: ``tail`` cut at the close of an element of ``tag`` opened just before it.
+
+    ``flat`` first tries whether the element holds none of its own tag and ends at the first close, which leaves the
+    rest of the page alone; the result is the same.
+    """
 
     def cut(x: Column) -> Column:
         def step(state: Column, piece: Column) -> Column:
@@ -198,21 +212,30 @@ def _at_close(tail: Column, tag: Column, *, rest: bool = False) -> Column:
         start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
         return let(F.aggregate(x["pieces"], start, step, lambda s: s["taken"]), parts)
 
-    closing = F.concat(F.lit("(?is)</"), tag, F.lit(r"\s*>"))
-    return let(F.struct(F.split(tail, closing, -1).alias("pieces"), tag.alias("tag")), cut)
+    closing, opening = F.concat(F.lit("(?is)</"), tag, F.lit(r"\s*>")), F.concat(F.lit("(?is)<"), tag, F.lit(r"\b"))
+
+    def counted(text: Column) -> Column:
+        return let(F.struct(F.split(text, closing, -1).alias("pieces"), tag.alias("tag")), cut)
+
+    def whole(text: Column) -> Column:
+        inside = F.get(F.split(text, closing, 2), F.lit(0))
+        plain = lambda x: F.when(F.size(F.regexp_extract_all(x, opening, 0)) == 0, F.struct(x.alias("inner"))).otherwise(counted(text))
+        return let(inside, plain)
+
+    return let(tail, whole) if flat else counted(tail)
 
 
-def containers(html: Column, tag: str, having: str, lead: str = "") -> Column:
+def containers(html: Column, tag: str, having: str, lead: str = "", *, flat: bool = True) -> Column:
     """``array<struct<open, inner>>`` of elements that may hold others of their own tag.
 
     The end is found by counting openings and closings of that one tag, which survives unclosed
     elements of other tags inside. ``tag`` may be a pattern for several tags; ``lead`` is a pattern that
-    must follow the opening tag and is reported with it.
+    must follow the opening tag and is reported with it. ``flat`` is for elements that seldom hold their own tag.
     """
     pattern = rf"(?is){_opening(tag, having)}{lead}"
     opens = F.regexp_extract_all(html, F.lit(pattern), 0)
     tails = let(F.split(html, pattern, -1), lambda parts: F.slice(parts, F.lit(2), F.size(parts)))
-    return F.zip_with(opens, tails, lambda o, t: F.struct(o.alias("open"), _at_close(t, _own_tag(o, tag))["inner"].alias("inner")))
+    return F.zip_with(opens, tails, lambda o, t: F.struct(o.alias("open"), _at_close(t, _own_tag(o, tag), flat=flat)["inner"].alias("inner")))
 
 
 def _own_tag(opening: Column, tag: str) -> Column:
@@ -283,7 +306,7 @@ def localized(spans: Column) -> Column:
 
 
 def canonical_link(html: Column) -> Column:
-    return attribute(first(opening_tags(html, "link", 'rel="canonical"')), "href")
+    return attribute(opening_tag(html, "link", 'rel="canonical"'), "href")
 
 
 def plain_notes(fragment: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sleevework.functions.core import let
 from sleevework.functions.text import has_cjk
 
 # Language attribute -> label, and the default order of preference.
@@ -14,14 +15,17 @@ PREFERENCE = ("English", "Romaji")
 
 def placeholder_rule(english: Column, japanese: Column, romaji: Column) -> Column:
     """Keep English if non-empty, Japanese only in real script, Romaji only if it adds something."""
-    en = F.coalesce(english, F.lit(""))
-    # insertion order is English, Japanese, Romaji
-    all_three = F.create_map(
-        F.lit("English"), F.when(en != "", en),
-        F.lit("Japanese"), F.when(has_cjk(japanese), japanese),
-        F.lit("Romaji"), F.when((romaji != "") & (romaji != en), romaji),
-    )
-    return F.map_filter(all_three, lambda _k, v: v.isNotNull())
+    def kept(t: Column) -> Column:
+        # insertion order is English, Japanese, Romaji
+        return F.create_map(
+            F.lit("English"), F.when(t["en"] != "", t["en"]),
+            F.lit("Japanese"), F.when(has_cjk(t["ja"]), t["ja"]),
+            F.lit("Romaji"), F.when((t["romaji"] != "") & (t["romaji"] != t["en"]), t["romaji"]),
+        )
+
+    # each text is worked out once, however often the rule looks at it
+    texts = F.struct(F.coalesce(english, F.lit("")).alias("en"), japanese.alias("ja"), romaji.alias("romaji"))
+    return F.map_filter(let(texts, kept), lambda _k, v: v.isNotNull())
 
 
 def default_text(texts: Column) -> Column:

@@ -192,7 +192,7 @@ def info_fields(html: Column) -> Column:
 
     def read(cell: Column) -> Column:
         shown = F.regexp_replace(cell["body"], r'(?is)<div\b(?=[^>]*class="[^"]*vbmenu_popup)[^>]*>.*?</div\s*>', " ")
-        href = H.attribute(first(H.opening_tags(cell["body"], "a", "href\\s*=")), "href")
+        href = H.attribute(H.opening_tag(cell["body"], "a", "href\\s*="), "href")
         row = F.struct(H.text(cell["label"]).alias("label"), H.spaced_text(shown).alias("value"), href.alias("href"))
         return F.when(cell["label"].isNotNull() & cell["body"].isNotNull(), row)
 
@@ -239,10 +239,10 @@ def release_event(html: Column, site: str = DEFAULT_SITE) -> Column:
 
 def raw_track(row: Column) -> Column:
     """``struct<number, length, title>`` of a tracklist row."""
-    number = F.regexp_extract(H.text(H.inner(first(H.elements(row, "span", 'class="label"')))), r"\d+", 0).try_cast("int")
-    time = first(H.elements(row, "span", 'class="time"'))
-    wide = first(H.elements(row, "td", r"""(?:width\s*=\s*["']?100%|colspan\s*=)"""))
-    length = F.when(time.isNotNull(), blank_to_null(H.text(H.inner(time))))
+    number = F.regexp_extract(H.text(H.inner(H.element(row, "span", 'class="label"'))), r"\d+", 0).try_cast("int")
+    time = H.element(row, "span", 'class="time"')
+    wide = H.element(row, "td", r"""(?:width\s*=\s*["']?100%|colspan\s*=)""")
+    length = blank_to_null(H.text(H.inner(time)))  # the text of a missing element is empty
     return F.struct(number.alias("number"), length.alias("length"), H.text(H.inner(wide)).alias("title"))
 
 
@@ -291,16 +291,19 @@ def choose_tabs(html: Column) -> Column:
 
     def tabs(named: Column) -> Column:
         def read(tab: Column, i: Column) -> Column:
-            own = F.try_element_at(F.filter(named, lambda c: c["rel"] == H.attribute(tab["open"], "id")), F.lit(-1))["text"]
-            caption = F.coalesce(own, F.lit("English"))
-            return F.struct(
-                strip(F.regexp_replace(caption, r"(?U)\s*\(.*\)\s*$", "")).alias("label"),
-                (~caption.contains("(")).alias("canonical"),
-                i.alias("pos"),
-                tab["inner"].alias("body"),
-            )
+            own = let(H.attribute(tab["open"], "id"), lambda key: F.try_element_at(F.filter(named, lambda c: c["rel"] == key), F.lit(-1))["text"])
 
-        return F.transform(H.containers(box, "span", 'class="tl"'), read)
+            def with_caption(caption: Column) -> Column:
+                return F.struct(
+                    strip(F.regexp_replace(caption, r"(?U)\s*\(.*\)\s*$", "")).alias("label"),
+                    (~caption.contains("(")).alias("canonical"),
+                    i.alias("pos"),
+                    tab["inner"].alias("body"),
+                )
+
+            return let(F.coalesce(own, F.lit("English")), with_caption)
+
+        return F.transform(H.containers(box, "span", 'class="tl"', flat=False), read)
 
     def preferred(all_tabs: Column) -> Column:
         ranked = F.array_sort(F.transform(all_tabs, lambda t: F.struct((~t["canonical"]).alias("unofficial"), t["pos"].alias("pos"))))
@@ -401,7 +404,7 @@ def notes_text(html: Column) -> Column:
 
 
 def event_date(html: Column) -> Column:
-    return partial_date(H.text(H.inner(first(H.elements(html, "span", 'class="smallfont label"')))))
+    return partial_date(H.text(H.inner(H.element(html, "span", 'class="smallfont label"'))))
 
 
 # -- whole entities --------------------------------------------------------------------------------
@@ -503,16 +506,16 @@ def search_rows(pages: DataFrame, site: str = DEFAULT_SITE) -> DataFrame:
     linked = F.filter(hits, lambda h: h.rlike(r'(?is)<a\b[^>]*href="[^"]*/album/\d'))
     rows = rows.select("page_id", "query", F.posexplode(linked).alias("rank", "hit"))
 
-    title_link = first(H.elements(F.col("hit"), "a", 'href="[^"]*/album/'))
+    title_link = H.element(F.col("hit"), "a", 'href="[^"]*/album/')
     rows = rows.withColumn("a", title_link).withColumn("id", F.regexp_extract(H.attribute(F.col("a"), "href"), r"/album/(\d+)", 1).try_cast("bigint"))
-    catalog = H.text(H.inner(first(H.elements(F.col("hit"), "span", 'class="[^"]*catalog'))))
+    catalog = H.text(H.inner(H.element(F.col("hit"), "span", 'class="[^"]*catalog')))
     cells = F.transform(H.pieces(F.col("hit"), r"(?is)<td\b[^>]*>"), lambda c: F.regexp_replace(c, r"(?is)</td\s*>.*\z", ""))
     free = F.filter(cells, lambda c: ~c.rlike(r'(?is)<span\b[^>]*class="[^"]*catalog|<a\b[^>]*href="[^"]*/album/'))
     dated = F.filter(F.transform(free, lambda c: partial_date(blank_to_null(H.text(c)))), lambda d: d.isNotNull())
     return rows.select(
         "page_id", "query", (F.col("rank") + 1).alias("rank"), "id", F.concat(F.lit(site + "/album/"), "id").alias("link"),
         H.localized(H.language_spans(F.col("a"), TITLE_CLASS)).alias("titles"),
-        F.when(~catalog.isin("", "N/A"), catalog).alias("catalog"), first(dated).alias("release_date"),
+        let(catalog, lambda c: F.when(~c.isin("", "N/A"), c)).alias("catalog"), first(dated).alias("release_date"),
     )
 
 

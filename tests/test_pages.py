@@ -173,3 +173,13 @@ def test_profile_labels_in_any_element(spark):
 def test_cover_of_any_quoting(spark):
     html = "<img src='https://thumb.media.example/albums/7/a&amp;b.jpg'><img src=https://thumbXmedia.example/albums/7/c.jpg>"
     assert on_page(spark, html, P.cover_url(F.col("html"), "thumb.media.example", F.lit(7))) == "https://thumb.media.example/albums/7/a&b.jpg"
+
+
+def test_elements_with_and_without_their_own_tag(spark):
+    cases = ["<p>z</p><b class=x>a</b>t</b>", "<b class=x>a<b>b</b>c</b>d", "<B class='x'>a</b >", '<b class="x">open', '<b class="x">x</b><b class="x">y<b>z</b></b>t', "none"]
+    df = spark.createDataFrame([(c,) for c in cases], "html string")
+    found = [H.containers(F.col("html"), "b", 'class="x"', flat=flat)["inner"].alias(f"flat_{flat}") for flat in (True, False)]
+    rows = df.select(*found).collect()
+    assert [r["flat_True"] for r in rows] == [r["flat_False"] for r in rows] == [["a"], ["a<b>b</b>c"], ["a"], ["open"], ["x", "y<b>z</b>"], []]
+    first = df.select(H.element(F.col("html"), "b").alias("e"), H.opening_tag(F.col("html"), "b", 'class="x"').alias("o")).collect()
+    assert [tuple(r) for r in first[1::2]] == [("<b class=x>a<b>b</b>", "<b class=x>"), (None, '<b class="x">'), (None, None)]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sleevework.llm.buckets import bucketed, pack_counts, pack_sorted, unpack_counts, unpack_sorted
-from sleevework.llm.wordcodes import LOWER, find_words, piece_codes, run_codes
+from sleevework.llm.wordcodes import LOWER, find_words, run_codes, short_piece_codes
 
 BUCKET_BYTES = 12 << 20
 PART_KEYS = 2 << 20  # n-grams of the input for each part, about
@@ -18,6 +18,24 @@ SPARE_BITS = 6  # of the shortened codes, beyond those that tell the tokens of t
 PRIOR = 1.5  # weight of the failure arc, in observations of the state
 ADD = 0.1  # of the base model
 END = np.uint64(0x6A09E667F3BCC909)  # the code of the end of a document
+STRETCH = 512  # tokens of a document that are read one after the other
+
+
+def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct codes in order, how often each occurs)."""
+    ordered = np.sort(codes)
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    return ordered[first], np.diff(first, append=len(ordered))
+
+
+def _ranked(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct codes in order, a place of each among ``codes``, each code's place among the distinct)."""
+    order = np.argsort(codes)
+    ordered = codes[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)]
+    rank = np.empty(len(codes), np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[new], order[new], rank
 
 
 class _Tokens:
@@ -25,7 +43,7 @@ class _Tokens:
 
     def __init__(self, table: pa.Table) -> None:
         w = find_words(table["text"])
-        codes = piece_codes(LOWER[w.data], w.starts, w.ends)
+        codes = short_piece_codes(LOWER[w.data], w.starts, w.ends)
         n_docs = len(w.first) - 1
         self.first = w.first + np.arange(n_docs + 1)  # of each document among the tokens
         self.codes = np.full(len(codes) + n_docs, END)
@@ -46,12 +64,11 @@ class _Tokens:
 class Automaton:
     """States, weighted arcs and failure arcs of the histories that a bucket can meet; weights are log10.
 
-    State 0 is the empty history; it has an arc for every token of the bucket. The histories of n words follow in
-    the order of their codes. An arc is found by its state and label together: many at once in a hash table of
-    the places in one sorted array, few by bisection.
+    State 0 is the empty history; its arcs are added first, one for every token of the bucket in order. The histories
+    of n words follow in the order of their codes. An arc of theirs is found by its state and label together in a
+    hash table.
     """
 
-    MANY = 512
     SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, labels: int) -> None:
@@ -68,15 +85,12 @@ class Automaton:
 
     def close(self) -> None:
         self.fail, self.fail_weight = np.concatenate(self.fail), np.concatenate(self.fail_weight)
-        keys = np.concatenate([a[0] for a in self.arcs])
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.weight, self.target = (np.concatenate([a[i] for a in self.arcs])[order] for i in (1, 2))
+        self.keys, self.weight, self.target = (np.concatenate([a[i] for a in self.arcs]) for i in range(3))
         del self.arcs
-        bits = max(1, (2 * len(keys) - 1).bit_length())
+        bits = max(1, (2 * (len(self.keys) - self.labels) - 1).bit_length())
         self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
         self.table = np.full(1 << bits, -1, np.int32)
-        left, slot = np.arange(len(keys)), self._slots(self.keys)
+        left, slot = np.arange(self.labels, len(self.keys)), self._slots(self.keys[self.labels :])
         while len(left):  # each arc takes the first free slot from its own on
             free = self.table[slot] < 0
             self.table[slot[free]] = left[free]
@@ -88,9 +102,6 @@ class Automaton:
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each arc, -1 where there is none."""
-        if len(keys) < self.MANY:
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            return np.where(self.keys[at] == keys, at, -1)
         out, left, slot = np.full(len(keys), -1, np.int64), np.arange(len(keys)), self._slots(keys)
         while len(left):
             at = self.table[slot]
@@ -100,19 +111,37 @@ class Automaton:
             left, slot = left[on], (slot[on] + 1) & self.last
         return out
 
-    def read(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """The weight of each document: all documents are read from left to right in step, each with its own state."""
+    def read(self, words: np.ndarray, first: np.ndarray, history: int | None = None, stretch: int = STRETCH) -> np.ndarray:
+        """The weight of each document: all documents are read from left to right in step, each with its own state.
+
+        Where the last ``history`` tokens tell the state whatever came before them, a document longer than ``stretch``
+        is read in several stretches at once, each led up to by the ``history`` tokens ahead of it, whose weights
+        belong to the stretch before.
+        """
         lengths = np.diff(first)
-        docs = np.argsort(-lengths, kind="stable")
-        begins, ascending = first[docs], lengths[docs][::-1]
-        state, total = np.zeros(len(docs), np.int64), np.zeros(len(docs))
+        if history is None or not len(lengths):
+            of, begins, leads = np.arange(len(lengths)), first[:-1], np.zeros(len(lengths), bool)
+        else:
+            stretch = max(stretch, history + 1)
+            n = np.maximum(1, -(-lengths // stretch))
+            of = np.repeat(np.arange(len(lengths)), n)
+            nth = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            leads = nth > 0
+            begins, lengths = first[of] + stretch * nth - history * leads, np.minimum(stretch, lengths[of] - stretch * nth) + history * leads
+        order = np.argsort(-lengths, kind="stable")
+        of, begins, leads, ascending = of[order], begins[order], leads[order], lengths[order][::-1]
+        state, total = np.zeros(len(of), np.int64), np.zeros(len(of))
         for step in range(int(lengths.max(initial=0))):
-            active = len(docs) - int(np.searchsorted(ascending, step, "right"))
+            if step == history:
+                total[leads] = 0
+            active = len(of) - int(np.searchsorted(ascending, step, "right"))
             label = words[begins[:active] + step]
             left = np.arange(active)
             while len(left):
-                key = state[left] * self.labels + label[left]
-                at = self._find(key)
+                here, label_here = state[left], label[left]
+                at = np.where(here == 0, label_here, -1)
+                among = np.flatnonzero(here)
+                at[among] = self._find(here[among] * self.labels + label_here[among])
                 there = at >= 0
                 gone = left[there]
                 total[gone] += self.weight[at[there]]
@@ -120,9 +149,7 @@ class Automaton:
                 left = left[~there]  # these take the failure arc and look again
                 total[left] += self.fail_weight[state[left]]
                 state[left] = self.fail[state[left]]
-        out = np.zeros(len(docs))
-        out[docs] = total
-        return out
+        return np.bincount(of, total, len(first) - 1)
 
 
 def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float = PRIOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,18 +179,11 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
     parts = max(1, total // (BYTES_PER_WORD * PART_KEYS))
     cut = np.uint64(max(0, 64 - SPARE_BITS - (total // BYTES_PER_WORD).bit_length()))
 
-    def keys_of(tokens: _Tokens, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(distinct n-grams in order, where each part's begin, distinct place of each token's n-gram, in reach)."""
-        grams, whole = tokens.grams(n)
-        distinct, inverse = np.unique(grams[whole], return_inverse=True)
-        place = np.zeros(len(grams), np.int32)
-        place[whole] = inverse
-        step = (2**64 - 1) // parts + 1
-        return distinct, np.searchsorted(distinct, np.array([p * step for p in range(1, parts)], np.uint64)), place, whole
+    step = (2**64 - 1) // parts + 1
+    limits = np.array([p * step for p in range(1, parts)], np.uint64)  # where the keys of each part but the first begin
 
-    def own_counts(table: pa.Table, tokens: _Tokens, distinct: np.ndarray, place: np.ndarray, whole: np.ndarray) -> np.ndarray:
-        counted = np.repeat(table["learnt"].to_numpy(), np.diff(tokens.first))
-        return np.bincount(place[whole & counted], minlength=len(distinct))
+    def counted(table: pa.Table, tokens: _Tokens) -> np.ndarray:
+        return np.repeat(table["learnt"].to_numpy(), np.diff(tokens.first))
 
     def table_of(out: list[tuple], *binaries: str) -> pa.Table:
         kinds = [pa.int64(), pa.int64(), *[pa.binary()] * len(binaries)]
@@ -173,15 +193,23 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
         """The shortened codes of a bucket."""
         tokens, out, bucket = _Tokens(table), [], table["bucket"][0].as_py()
         for n in range(2, order + 1):
-            distinct, borders, _, _ = keys_of(tokens, n)
-            out += [(n * parts + part, bucket, pack_sorted(np.unique(k >> cut))) for part, k in enumerate(np.split(distinct, borders))]
+            grams, whole = tokens.grams(n)
+            distinct = np.sort(grams[whole])
+            for part, k in enumerate(np.split(distinct, np.searchsorted(distinct, limits))):
+                short = k >> cut
+                out.append((n * parts + part, bucket, pack_sorted(short[np.concatenate([[True], short[1:] != short[:-1]])[: len(short)]])))
         return table_of(out, "short")
 
     def find_shared(table: pa.Table) -> pa.Table:
         """One bit for each shortened code of a bucket: whether another bucket has it too."""
         short = [unpack_sorted(x) for x in table["short"].to_pylist()]
-        _, inverse, buckets = np.unique(np.concatenate(short), return_inverse=True, return_counts=True)
-        shared = np.split((buckets > 1)[inverse], np.cumsum([len(s) for s in short])[:-1])
+        codes = np.concatenate(short)
+        order = np.argsort(codes)
+        again = np.diff(codes[order], prepend=np.uint64(0)) == 0  # as the code before; a bucket names each of its codes once
+        again[:1] = False
+        several = np.zeros(len(codes), bool)
+        several[order] = again | np.append(again[1:], False)[: len(codes)]
+        shared = np.split(several, np.cumsum([len(s) for s in short])[:-1])
         return pa.table([table["part"], table["bucket"], pa.array([np.packbits(s).tobytes() for s in shared], pa.binary())], ["part", "bucket", "shared"])
 
     def send(table: pa.Table, probed: pa.Table) -> pa.Table:
@@ -190,9 +218,13 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
             return table_of([], "grams", "counts", "which")
         tokens, out, bucket = _Tokens(table), [], table["bucket"][0].as_py()
         told = dict(zip(probed["part"].to_pylist(), probed["shared"].to_pylist()))
+        left_out = ~counted(table, tokens)
         for n in range(1, order + 1):
-            distinct, borders, place, whole = keys_of(tokens, n)
-            counts = own_counts(table, tokens, distinct, place, whole)
+            grams, whole = tokens.grams(n)
+            distinct, counts = _runs(grams[whole])
+            others, without = _runs(grams[whole & left_out])
+            counts[np.searchsorted(distinct, others)] -= without
+            borders = np.searchsorted(distinct, limits)
             for part, (k, c) in enumerate(zip(np.split(distinct, borders), np.split(counts, borders))):
                 which = np.ones(len(k), bool)
                 if n > 1 and len(k):
@@ -219,16 +251,20 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
         tokens = _Tokens(table)
         told = sorted(zip(*(answers[c].to_pylist() for c in ("part", "counts", "total", "distinct", "which"))))
         seen, kinds = sum(t[2] for t in told if t[0] // parts == 1), sum(t[3] for t in told if t[0] // parts == 1)
-        sums = lambda x: np.add.reduceat(x, tokens.first[:-1])
+        sums, learnt_tokens = lambda x: np.add.reduceat(x, tokens.first[:-1]), counted(table, tokens)
         history, history_counts, history_chance, first_state = np.zeros(len(tokens.codes), np.int32), np.array([0]), None, 0
         for n in range(1, order + 1):
-            distinct, borders, place, whole = keys_of(tokens, n)
-            sizes = np.diff(np.concatenate([[0], borders, [len(distinct)]]))
-            counts = own_counts(table, tokens, distinct, place, whole)
+            grams, whole = tokens.grams(n)
+            ends = np.flatnonzero(whole)
+            distinct, at, rank = _ranked(grams[ends])
+            at = ends[at]  # a token where each n-gram ends
+            place = np.zeros(len(grams), np.int32)
+            place[ends] = rank
+            sizes = np.diff(np.concatenate([[0], np.searchsorted(distinct, limits), [len(distinct)]]))
+            counts = np.bincount(rank[learnt_tokens[ends]], minlength=len(distinct))
+            del grams, whole, ends, rank
             mine = [(c, np.unpackbits(np.frombuffer(w, np.uint8), count=size).astype(bool)) for (_, c, _, _, w), size in zip([t for t in told if t[0] // parts == n], sizes)]
             counts[np.concatenate([which for _, which in mine])] = np.concatenate([unpack_counts(c, int(which.sum())) for c, which in mine])
-            at = np.zeros(len(distinct), np.int64)
-            at[place[whole]] = np.flatnonzero(whole)  # a token where each n-gram ends
             if n == 1:
                 words, model = place, Automaton(len(distinct))
                 chance = (counts + ADD) / (seen + ADD * (kinds + 1))
@@ -250,11 +286,11 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
                 target = np.zeros(len(distinct)) if n == 1 else first_state + history[at]
             model.add_arcs(states[arcs], words[at[arcs]], np.log10(chance[arcs]), target[arcs])
             history, history_counts, history_chance, first_state = place, counts, chance, next_state
-            del distinct, whole, place, at, mine, target, states, arcs
+            del distinct, place, at, mine, target, states, arcs
         del history, history_counts, history_chance, chance, counts, told
         model.close()
         n_docs = table.num_rows
-        score = model.read(words, tokens.first)
+        score = model.read(words, tokens.first, order - 1)
         return pa.table([table["doc_id"], table["learnt"], pa.array(np.diff(tokens.first)), pa.array(n_known), pa.array([seen] * n_docs, pa.int64()), pa.array(base), pa.array(score)], schema=schema)
 
     probes = rows.groupBy("bucket").applyInArrow(probe, "part long, bucket long, short binary")

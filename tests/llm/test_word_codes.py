@@ -63,3 +63,29 @@ def test_an_automaton_takes_failure_arcs():
     words, first = np.array([0, 1, 2, 1, 1, 2, 0]), np.array([0, 3, 3, 7])
     want = [-0.1 - 0.05 + (-2.0 - 0.3), 0, -0.2 + (-2.0 - 0.2) + (-2.0 - 0.3) - 0.1]
     assert np.allclose(model.read(words, first), want)
+
+
+def test_long_documents_are_read_in_stretches(monkeypatch):
+    draw = np.random.default_rng(3)
+    words, first = draw.integers(0, 5, 9000), np.array([0, 0, 7000, 7003, 9000])
+    model = backoff_lm.Automaton(5)
+    model.add_states(np.zeros(5), -draw.random(5))  # one for each label
+    model.add_arcs(np.zeros(5), np.arange(5), -draw.random(5), np.arange(1, 6))
+    seen = np.array([(a, b) for a in range(5) for b in range(5) if (a + b) % 3])
+    model.add_arcs(seen[:, 0] + 1, seen[:, 1], -draw.random(len(seen)), seen[:, 1] + 1)
+    model.close()
+    steps, find = [], backoff_lm.Automaton._find
+    monkeypatch.setattr(backoff_lm.Automaton, "_find", lambda self, keys: steps.append(1) or find(self, keys))
+    whole, before = model.read(words, first), len(steps)
+    for stretch in (1, 2, 100, 7000):
+        assert np.allclose(model.read(words, first, 1, stretch), whole)
+    del steps[:]
+    assert np.allclose(model.read(words, first, 1), whole) and len(steps) < before / 5
+
+
+def test_codes_of_pieces_of_all_lengths():
+    pieces = sorted({bytes([x]) * n for n in range(1, 40) for x in (1, 97, 255)} | {b"a" * n + b"b" for n in range(40)} | {b"b" + b"a" * n for n in range(40)})
+    data = np.frombuffer(b"".join(pieces) * 2, np.uint8)
+    ends = np.cumsum([len(x) for x in pieces] * 2)
+    codes = wordcodes.short_piece_codes(data, ends - [len(x) for x in pieces] * 2, ends)
+    assert (codes[: len(pieces)] == codes[len(pieces) :]).all() and len(set(codes.tolist())) == len(pieces)

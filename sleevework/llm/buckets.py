@@ -72,12 +72,14 @@ def unpack_sorted(packed: bytes) -> np.ndarray:
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    """Whole numbers in the narrowest of 1, 2, 4 and 8 bytes that holds them all."""
-    return counts.astype(np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
+    """Whole numbers in a byte each; 255 stands for those from 255 on, which follow in eight."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
 
 
 def unpack_counts(packed: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(packed, f"u{len(packed) // n}" if n else "u1").astype(np.int64)
+    counts = np.frombuffer(packed, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(packed[n:], "<i8")
+    return counts
 
 
 def gaps(sorted_places: np.ndarray) -> bytes:

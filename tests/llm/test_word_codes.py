@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sleevework.llm import backoff_lm, minhash_dedup, packing, substring_dedup, wordcodes
+from sleevework.llm import backoff_lm, buckets, minhash_dedup, packing, substring_dedup, wordcodes
 from sleevework.llm.queries import TOKENIZER
 
 
@@ -89,3 +89,10 @@ def test_codes_of_pieces_of_all_lengths():
     ends = np.cumsum([len(x) for x in pieces] * 2)
     codes = wordcodes.short_piece_codes(data, ends - [len(x) for x in pieces] * 2, ends)
     assert (codes[: len(pieces)] == codes[len(pieces) :]).all() and len(set(codes.tolist())) == len(pieces)
+
+
+def test_one_large_count_does_not_widen_the_others():
+    counts = np.ones(1000, np.int64)
+    counts[[3, 70, 999]] = 254, 255, 2**40
+    packed = buckets.pack_counts(counts)
+    assert len(packed) == 1016 and (buckets.unpack_counts(packed, 1000) == counts).all()

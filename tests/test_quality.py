@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -280,3 +281,19 @@ def test_golden_files_must_fit(spark, tmp_path):
     (tmp_path / "good" / "2.json").write_text(json.dumps({**good, "colour": 1}))
     with pytest.raises(Exception, match="unknown field colour"):
         scan_golden(spark, str(tmp_path / "good"), ALBUM_SCHEMA).collect()
+
+
+def test_scores_everywhere_are_the_scores_and_the_golden_fields_of_no_source(spark):
+    source = [("a", 1, "title", "X", 1), ("a", 1, "title", "y", 2), ("a", 1, "extra", "e", 3), ("b", 1, "catalog", None, 1), ("b", None, "title", "X", 1), ("a", 1, None, "n", 4), ("a", 1, None, "n", 4), (None, 1, "title", "X", 1), (None, 4, "z", "z", 1)]
+    gold = [(1, "title", "x", 1), (1, "title", "Y", 2), (1, "catalog", None, 3), (1, None, "f", 4), (2, "title", "t", 1), (2, "title", "t", 1), (None, "title", "X", 1), (4, "title", "q", 1)]
+    sources = spark.createDataFrame(source, "source string, album_id long, field string, value string, ord int")
+    golden = spark.createDataFrame(gold, "album_id long, field string, value string, ord int")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    nowhere = [(None, a, f, v, None, None, o, None) for a, f, v, o in gold if a in (2, None)]
+    everywhere = Q.score(sources, golden, everywhere=True)
+    assert rows(everywhere) == sorted([*map(tuple, Q.score(sources, golden).collect()), *nowhere], key=repr)
+    diff = Q.nway_diff(everywhere, ["a", "b"])
+    # what has met by album and field is not dealt again for the diff
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(album_id#\d+L, field", plan)) == 1 and "Exchange hashpartitioning(source#" in plan
+    assert rows(diff) == rows(Q.nway_diff(Q.score(sources, golden), ["a", "b"], golden))

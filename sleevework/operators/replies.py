@@ -7,11 +7,12 @@ inference) and replies come back as rows.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sleevework.functions.core import deduplicate, let
+from sleevework.functions.core import computed, deduplicate, let
 from sleevework.functions.localized import to_text
 from sleevework.functions.loose_json import is_kind
 from sleevework.functions.roles import normalize_role
@@ -81,10 +82,8 @@ def corrective_message(reason: Column) -> Column:
     return F.struct(F.lit("user").alias("role"), content.alias("content"))
 
 
-def request_rows(prompts: DataFrame, mode: str = "json_object", model: str = DEFAULT_MODEL) -> DataFrame:
-    """(album_id, body) from (album_id, messages): JSON request bodies in one of the output modes."""
-    if mode not in OUTPUT_MODES:
-        raise ValueError(f"unknown output mode {mode}")
+def _body(mode: str, model: str) -> Column:
+    """The JSON request body around ``messages`` in one of the output modes."""
     schema = F.parse_json(F.lit(json.dumps(REPLY_SCHEMA)))
     fields = [F.lit(model).alias("model"), F.col("messages"), F.lit(0).alias("temperature")]
     if mode == "json_schema":
@@ -96,7 +95,23 @@ def request_rows(prompts: DataFrame, mode: str = "json_object", model: str = DEF
         fields.append(F.struct(F.lit("function").alias("type"), F.struct(F.lit(TOOL_NAME).alias("name")).alias("function")).alias("tool_choice"))
     else:
         fields.append(F.struct(F.lit("json_object").alias("type")).alias("response_format"))
-    return prompts.select("album_id", F.to_json(F.struct(*fields)).alias("body"))
+    return F.to_json(F.struct(*fields))
+
+
+def request_rows(prompts: DataFrame, mode: str | Sequence[str] = "json_object", model: str = DEFAULT_MODEL) -> DataFrame:
+    """(album_id, body) from (album_id, messages): JSON request bodies in one of the output modes.
+
+    With a sequence of modes (album_id, mode, body), one row for each of them from one reading of the prompts.
+    """
+    modes = (mode,) if isinstance(mode, str) else tuple(mode)
+    for m in modes:
+        if m not in OUTPUT_MODES:
+            raise ValueError(f"unknown output mode {m}")
+    if isinstance(mode, str):
+        return prompts.select("album_id", _body(mode, model).alias("body"))
+    bodies = F.array(*[F.struct(F.lit(m).alias("mode"), _body(m, model).alias("body")) for m in modes])
+    once = computed(prompts.select("album_id", "messages"), "messages", F.col("messages"))
+    return once.select("album_id", F.explode(bodies).alias("r")).select("album_id", "r.mode", "r.body")
 
 
 # -- replies ---------------------------------------------------------------------------------------

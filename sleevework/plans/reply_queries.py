@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sleevework.functions.core import computed
 from sleevework.operators import replies as R
 from sleevework.plans.quality_queries import album_documents
 from sleevework.plans.registry import CHECK_VIEWS, by_key, notes_view, query, view
@@ -44,23 +45,26 @@ def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prompt_inputs(spark, sf_dir).select("album_id", R.messages(F.lit("Extract credits."), user).alias("messages"))
 
 
+_BODY = (
+    "model string, temperature bigint, messages array<struct<content:string>>, response_format struct<type:string,json_schema:struct<schema:struct<type:string>>>, "
+    "tools array<struct<function:struct<parameters:struct<type:string>>>>, tool_choice struct<function:struct<name:string>>"
+)
+
+
 @query("n14_request_rows", """
 select m.mode, t.album_id, 'gpt-4o-mini' as model, cast(0 as bigint) as temperature, 'Extract credits.' as system, 'Tracklist:' || chr(10) || tracklist || chr(10) || chr(10) || 'Notes:' || chr(10) || coalesce(notes, '') as user_text,
   case m.mode when 'tool' then null else m.mode end as format, case m.mode when 'tool' then 'emit_enrichment' end as tool, case when m.mode <> 'json_object' then 'object' end as schema_type
 from x_tracklists t join v_notes n on n.album_id = t.album_id cross join (values ('json_object'), ('json_schema'), ('tool')) m(mode)
 """)
 def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prompts = _prompts(spark, sf_dir)
-    out = None
-    for mode in R.OUTPUT_MODES:
-        rows = R.request_rows(prompts, mode).withColumn("mode", F.lit(mode))
-        out = rows if out is None else out.unionByName(rows)
-    part = lambda path: F.get_json_object("body", path)
-    return out.select(
-        "mode", "album_id", part("$.model").alias("model"), part("$.temperature").cast("bigint").alias("temperature"),
-        part("$.messages[0].content").alias("system"), part("$.messages[1].content").alias("user_text"),
-        part("$.response_format.type").alias("format"), part("$.tool_choice.function.name").alias("tool"),
-        F.coalesce(part("$.response_format.json_schema.schema.type"), part("$.tools[0].function.parameters.type")).alias("schema_type"),
+    rows = R.request_rows(_prompts(spark, sf_dir), R.OUTPUT_MODES)
+    # each body is read back once
+    read = computed(rows, "body", F.from_json("body", _BODY))
+    return read.select(
+        "mode", "album_id", "body.model", "body.temperature",
+        F.get("body.messages", F.lit(0))["content"].alias("system"), F.get("body.messages", F.lit(1))["content"].alias("user_text"),
+        F.col("body.response_format.type").alias("format"), F.col("body.tool_choice.function.name").alias("tool"),
+        F.coalesce(F.col("body.response_format.json_schema.schema.type"), F.get("body.tools", F.lit(0))["function"]["parameters"]["type"]).alias("schema_type"),
     )
 
 

@@ -121,3 +121,14 @@ def test_retries_carry_every_correction(spark):
     again = R.requeue(settled, prompts).collect()
     assert [(r["album_id"], [m["role"] for m in r["messages"]]) for r in again] == [(1, ["system", "user", "user", "user"])]
     assert "not JSON" in again[0]["messages"][2]["content"] and "wrong shape" in again[0]["messages"][3]["content"]
+
+
+def test_requests_of_several_modes_come_from_one_reading(spark):
+    messages = "array(named_struct('role', 'system', 'content', 's'), named_struct('role', 'user', 'content', concat('u \\n\"', id)))"
+    prompts = spark.range(3).selectExpr("id as album_id", f"{messages} as messages")
+    every = R.request_rows(prompts, R.OUTPUT_MODES)
+    for mode in R.OUTPUT_MODES:
+        assert sorted(map(tuple, every.where(F.col("mode") == mode).drop("mode").collect())) == sorted(map(tuple, R.request_rows(prompts, mode).collect()))
+    assert every.columns == ["album_id", "mode", "body"] and every.count() == 9
+    assert spark.range(1).selectExpr("id as album_id", "cast(null as array<struct<role:string,content:string>>) as messages").transform(R.request_rows, ("tool",)).count() == 1
+    assert every._jdf.queryExecution().executedPlan().toString().count("Range (") == 1

@@ -50,20 +50,21 @@ def _unless(fits: Column, path: Column, reason: str) -> Column:
 
 
 PROBLEMS = "array<struct<path:string,reason:string>>"
+KEYS = "map<string,struct<_:variant>>"  # an object read for its keys: no entry is turned into another value
 
 
 def _part(value: Column, kind: T.DataType, path: Column, name: str) -> Column:
     """The problems of a VARIANT that is neither absent nor null, as ``array<struct<path, reason>>``."""
     if isinstance(kind, T.StructType):
-        return F.when(is_kind(value, "OBJECT"), _object(value, kind, path)).otherwise(_said(path, "wrong type"))
+        return _object(value, kind, path)
     if isinstance(kind, T.ArrayType):
         items = F.try_variant_get(value, "$", "array<variant>")
         inside = F.transform(items, lambda x, i: _item(x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), name))
-        return F.when(is_kind(value, "ARRAY"), F.flatten(inside)).otherwise(_said(path, "wrong type"))
+        return F.coalesce(F.flatten(inside), _said(path, "wrong type"))
     if isinstance(kind, T.MapType):
         entries = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
         inside = F.transform(entries, lambda e: _item(e["value"], kind.valueType, F.concat(path, F.lit("."), e["key"]), name))
-        return F.when(is_kind(value, "OBJECT"), F.flatten(inside)).otherwise(_said(path, "wrong type"))
+        return F.coalesce(F.flatten(inside), _said(path, "wrong type"))
     if isinstance(kind, T.StringType):
         found = _unless(is_kind(value, "STRING"), path, "wrong type")
         if name in VOCABULARY:
@@ -93,16 +94,23 @@ def _judge(field: T.StructField, here: Column) -> Callable[[Column], Column]:
 
 
 def _object(value: Column, kind: T.StructType, path: Column) -> Column:
-    given = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+    """The problems of a VARIANT that should be an object; it is taken apart once, for all its fields."""
+    parts = F.try_variant_get(value, "$", f"struct<{','.join(f'`{f.name}`:variant' for f in kind.fields)}>")
+    keys = F.map_keys(F.try_variant_get(value, "$", KEYS))
     at = lambda name: F.concat(path, F.when(path != "", ".").otherwise(""), name)
-    unknown = F.array_sort(F.array_except(given, F.array(*[F.lit(f.name) for f in kind.fields])))
-    found = [F.transform(unknown, lambda k: F.struct(at(k).alias("path"), F.lit("unknown field").alias("reason")))]
-    for field in kind.fields:
-        found.append(let(F.try_variant_get(value, f"$.{field.name}", "variant"), _judge(field, at(F.lit(field.name)))))
-        if field.name in NEEDS:
-            there = lambda name: F.try_variant_get(value, f"$.{name}", "bigint").isNotNull()
-            found.append(_unless(~there(field.name) | there(NEEDS[field.name]), at(F.lit(field.name)), f"needs {NEEDS[field.name]}"))
-    return F.concat(*found)
+
+    def inside(x: Column) -> Column:
+        unknown = F.array_sort(F.array_except(x["keys"], F.array(*[F.lit(f.name) for f in kind.fields])))
+        found = [F.transform(unknown, lambda k: F.struct(at(k).alias("path"), F.lit("unknown field").alias("reason")))]
+        for field in kind.fields:
+            here = at(F.lit(field.name))
+            found.append(_judge(field, here)(x["parts"][field.name]))
+            if field.name in NEEDS:
+                there = lambda name: F.try_variant_get(x["parts"][name], "$", "bigint").isNotNull()
+                found.append(_unless(~there(field.name) | there(NEEDS[field.name]), here, f"needs {NEEDS[field.name]}"))
+        return F.when(x["parts"].isNotNull(), F.concat(*found)).otherwise(_said(path, "wrong type"))
+
+    return let(F.struct(keys.alias("keys"), parts.alias("parts")), inside)
 
 
 def document_problems(text: Column, schema: str) -> Column:

@@ -297,3 +297,18 @@ def test_scores_everywhere_are_the_scores_and_the_golden_fields_of_no_source(spa
     plan = diff._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning\(album_id#\d+L, field", plan)) == 1 and "Exchange hashpartitioning(source#" in plan
     assert rows(diff) == rows(Q.nway_diff(Q.score(sources, golden), ["a", "b"], golden))
+
+
+def test_objects_are_taken_apart_once_whatever_they_hold(spark):
+    text = '{"z1": null, "z2": [1, {"a": 1}], "z3": {"_": {"_": 1}, "b": 2}, "z4": "s", "z5": 1.5, "z6": true, "id": 1, "sub": [{"names": {"A": "a"}, "x": [{}]}, [], "t", null, 3], "one": []}'
+    schema = "id bigint NOT NULL, sub array<struct<names:map<string,string> NOT NULL,id:bigint>>, one struct<a:string>, name string NOT NULL"
+    row = golden_problems(spark.createDataFrame([(text,), ("[]",), ('"t"',), ("null",)], "value string"), schema).collect()
+    unknown = [f"unknown field z{i}" for i in range(1, 7)]
+    assert row[0]["problem"].split("; ") == [*unknown, "unknown field sub[0].x", *[f"wrong type sub[{i}]" for i in (1, 2, 3, 4)], "wrong type one", "missing name"]
+    assert [r["problem"] for r in row[1:]] == ["wrong type"] * 3
+
+    def reads(fields: int) -> int:
+        frame = golden_problems(spark.createDataFrame([("{}",)], "value string"), ", ".join(f"f{i} string" for i in range(fields)))
+        return frame._jdf.queryExecution().analyzed().toString().count("variant_get(")
+
+    assert reads(3) == reads(20) > 0

@@ -60,11 +60,14 @@ def parse_text_date(value: Column) -> Column:
 
 def partial_date(value: Column) -> Column:
     """A calendar link or date text. A link-shaped match that is invalid ends in NULL."""
-    return (
-        F.when(value.rlike(FRAGMENT_SHAPE), _from_groups(value, FRAGMENT_SHAPE))
-        .when(value.rlike(QUERY_SHAPE), _from_groups(value, QUERY_SHAPE))
-        .otherwise(F.coalesce(parse_partial_date(value), parse_text_date(value)))
-    )
+    def read(text: Column) -> Column:
+        return (
+            F.when(text.rlike(FRAGMENT_SHAPE), _from_groups(text, FRAGMENT_SHAPE))
+            .when(text.rlike(QUERY_SHAPE), _from_groups(text, QUERY_SHAPE))
+            .otherwise(F.coalesce(parse_partial_date(text), parse_text_date(text)))
+        )
+
+    return let(value, read)
 
 
 def release_date(href: Column, text: Column) -> Column:

@@ -21,7 +21,10 @@ NOISE = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
 _ATTRIBUTES = r"""(?>[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+"""  # up to the end of a tag; quoted values may hold anything
 TOKEN = rf"<(?=[^>]){_ATTRIBUTES}>|[^<]+"
 _OPEN_VALUE = r"""<[A-Za-z](?>[^<>=]++|=\s*+"[^"<>]*+"|=\s*+'[^'<>]*+'|=(?!\s*+["']))*+=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
+_ESCAPED = r"&(?!(?:amp|lt|gt|quot);)[#A-Za-z]"
+_UNTIDY = rf"""=\s*+(?:"(?>[^"<>]*)[<>]|'(?>[^'<>]*)[<>])|{_ESCAPED}"""  # found wherever a value or an entity has to be rewritten
 TAG = r"<[^>]*>"
+_WORDS = r"\A[!-%'-;=-~]++(?: [!-%'-;=-~]++)*+\z"
 LINE_BREAK = r"(?i)<br\s*/?>"
 
 # characters that stay escaped until a text is read, because decoding them early would forge markup
@@ -30,6 +33,7 @@ _SHORT = sorted((n for n in html5 if n in name2codepoint), key=len, reverse=True
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 _OPEN_ENTITY = rf"^(#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|{'|'.join(_SHORT)})(?![0-9A-Za-z=;])"
 ANY_TAG = "[A-Za-z][A-Za-z0-9]*"
+NESTED = 3  # elements of its own tag inside an element are followed by pattern so deep, deeper ones are counted
 
 
 def _code_page() -> dict[int, str]:
@@ -94,8 +98,10 @@ def _escape_values(html: Column) -> Column:
 
 def clean(html: Column) -> Column:
     """The page without scripts, styles and comments, with ordinary entities decoded."""
-    bare = let(F.regexp_replace(html, NOISE, ""), _escape_values)
-    return let(bare, lambda h: F.when(h.rlike("&(?!(?:amp|lt|gt|quot);)[#A-Za-z]"), _decode_names(h)).otherwise(h))
+    def tidy(bare: Column) -> Column:
+        return let(_escape_values(bare), lambda h: F.when(h.rlike(_ESCAPED), _decode_names(h)).otherwise(h))
+
+    return let(F.regexp_replace(html, NOISE, ""), lambda bare: F.when(bare.rlike(_UNTIDY), tidy(bare)).otherwise(bare))
 
 
 def unescape(text: Column) -> Column:
@@ -120,24 +126,35 @@ def attribute(tag: Column, name: str) -> Column:
     bare = rf"""(?is)^<[^>]*?\s{name}\s*=\s*([^\s"'>]+)"""
 
     def read(t: Column) -> Column:
-        return F.when(t.rlike(quoted), unescape(F.regexp_extract(t, quoted, 2))).when(t.rlike(bare), F.regexp_extract(t, bare, 1))
+        other = lambda: F.when(t.rlike(quoted), F.lit("")).when(t.rlike(bare), F.regexp_extract(t, bare, 1))
+        return let(F.regexp_extract(t, quoted, 2), lambda value: F.when(value != "", unescape(value)).otherwise(other()))
 
     return let(tag, read)
 
 
+def _untagged(fragment: Column, by: str = "") -> Column:
+    return let(fragment, lambda f: F.when(f.contains("<"), F.regexp_replace(f, TAG, by)).otherwise(f))
+
+
 def raw_text(fragment: Column) -> Column:
     """Text of a fragment as it stands."""
-    return unescape(F.regexp_replace(fragment, TAG, ""))
+    return unescape(_untagged(fragment))
 
 
 def text(fragment: Column) -> Column:
     """Text of a fragment with whitespace collapsed; a missing element has the empty text."""
-    return F.coalesce(collapse(raw_text(fragment)), F.lit(""))
+    return _shown(fragment, "")
+
+
+def _shown(fragment: Column, by: str) -> Column:
+    """Text of a fragment with its tags replaced. Words without markup between single spaces, as most are, stay as they are."""
+    read = lambda f: F.coalesce(collapse(unescape(_untagged(f, by))), F.lit(""))
+    return let(fragment, lambda f: F.when(f.rlike(_WORDS), f).otherwise(read(f)))
 
 
 def spaced_text(fragment: Column) -> Column:
     """Like ``text``, but the texts of neighbouring elements are kept apart by a space."""
-    return F.coalesce(collapse(unescape(F.regexp_replace(fragment, TAG, " "))), F.lit(""))
+    return _shown(fragment, " ")
 
 
 def _condition(having: str) -> str:
@@ -155,8 +172,45 @@ def _condition(having: str) -> str:
 
 
 def _opening(tag: str, having: str) -> str:
+    """An opening tag. Its first character stands alone: a page is searched for one character twice as fast as for the whole name."""
     condition = rf"(?=[^>]*{_condition(having)})" if having else ""
-    return rf"<{tag}\b{condition}[^>]*>"
+    return rf"<(?:{tag})\b{condition}[^>]*>"
+
+
+def _element(tag: str, having: str) -> str:
+    """From an opening tag to the first close of its tag; text is passed over in runs, not by the character. The inside is a group."""
+    return rf"(?is){_opening(tag, having)}((?:[^<]+|<(?!/{tag}\s*>))*+)</{tag}\s*>"
+
+
+def _held(own: str, but: str = "") -> str:
+    """Pattern of what an element holds: all up to a close or an opening of its tag that no close follows.
+
+    Elements of the tag itself are passed over, up to ``NESTED`` deep, if their close is written plainly and their opening
+    does not match ``but``.
+    """
+    other = rf"[^<]+|<(?!{own}\b|/{own}\s*>)"
+    held = rf"(?:{other})*+"
+    for _ in range(NESTED):
+        held = rf"(?:{other}|{f'(?!{but})' if but else ''}<{own}\b{held}(?-i:</{own}>))*+"
+    return held
+
+
+def _whole(tag: str, having: str, ends: str, *, but: str = "") -> str:
+    """Pattern of an opening tag and what its element holds, followed by ``ends(own tag)``.
+
+    Of an element that a pattern cannot follow, only the opening tag is found, without its last character.
+    """
+    own = tag if tag.isalnum() else r"\1"
+    opening = (_opening(tag, having) if tag.isalnum() else _opening(tag, having).replace("(?:", "(", 1)).removesuffix(">")
+    return rf"(?is){opening}(?=>)(?:>{_held(own, but)}{ends.format(own=own)})?+"
+
+
+def _cut(element: Column) -> Column:
+    """``struct<open, inner>`` of what ``_whole`` found."""
+    return let(
+        F.struct(element.alias("all"), F.concat(F.substring_index(element, ">", 1), F.lit(">")).alias("open")),
+        lambda x: F.struct(x["open"].alias("open"), F.substr(x["all"], F.length(x["open"]) + 1).alias("inner")),
+    )
 
 
 def has(html: Column, tag: str, having: str) -> Column:
@@ -166,12 +220,20 @@ def has(html: Column, tag: str, having: str) -> Column:
 
 def elements(html: Column, tag: str, having: str = "") -> Column:
     """Whole elements whose opening tag matches ``having``; for tags that do not nest in themselves."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is){_opening(tag, having)}.*?</{tag}\s*>"), 0)
+    return F.regexp_extract_all(html, F.lit(_element(tag, having)), 0)
 
 
 def element(html: Column, tag: str, having: str = "") -> Column:
     """The first of ``elements``, NULL if there is none; the search ends at it."""
-    return blank_to_null(F.regexp_extract(html, rf"(?is){_opening(tag, having)}.*?</{tag}\s*>", 0))
+    return blank_to_null(F.regexp_extract(html, _element(tag, having), 0))
+
+
+def element_text(html: Column, tag: str, having: str = "") -> Column:
+    """``text(inner(element(...)))`` with one search."""
+    def inside(found: Column) -> Column:
+        return F.when(found.contains("</"), F.regexp_replace(found, r"</[^>]*\z", "")).otherwise(found)  # ``inner`` drops an open close, too
+
+    return text(let(F.regexp_extract(html, _element(tag, having), 1), inside))
 
 
 def opening_tag(html: Column, tag: str, having: str = "") -> Column:
@@ -233,9 +295,22 @@ def containers(html: Column, tag: str, having: str, lead: str = "", *, flat: boo
     must follow the opening tag and is reported with it. ``flat`` is for elements that seldom hold their own tag.
     """
     pattern = rf"(?is){_opening(tag, having)}{lead}"
-    opens = F.regexp_extract_all(html, F.lit(pattern), 0)
-    tails = let(F.split(html, pattern, -1), lambda parts: F.slice(parts, F.lit(2), F.size(parts)))
-    return F.zip_with(opens, tails, lambda o, t: F.struct(o.alias("open"), _at_close(t, _own_tag(o, tag), flat=flat)["inner"].alias("inner")))
+
+    def counted(page: Column) -> Column:
+        opens = F.regexp_extract_all(page, F.lit(pattern), 0)
+        tails = let(F.split(page, pattern, -1), lambda parts: F.slice(parts, F.lit(2), F.size(parts)))
+        return F.zip_with(opens, tails, lambda o, t: F.struct(o.alias("open"), _at_close(t, _own_tag(o, tag), flat=flat)["inner"].alias("inner")))
+
+    if lead or not tag.isalnum():
+        return let(html, counted)
+    opening = _opening(tag, having)  # the next such opening ends an element too
+    whole = _whole(tag, having, rf"(?=</{{own}}\s*>|\z|{opening.replace('{', '{{').replace('}', '}}')})", but=opening)
+
+    def read(page: Column) -> Column:
+        unclear = lambda e: ~e.contains(">")
+        return let(F.regexp_extract_all(page, F.lit(whole), 0), lambda found: F.when(F.exists(found, unclear), counted(page)).otherwise(F.transform(found, _cut)))
+
+    return let(html, read)
 
 
 def _own_tag(opening: Column, tag: str) -> Column:
@@ -256,24 +331,41 @@ def _split_at(html: Column, tag: str, having: str, read: Callable[[Column, Colum
 
 def container(html: Column, tag: str, having: str) -> Column:
     """Inner HTML of the first such element, NULL if the page has none."""
-    return _split_at(html, tag, having, lambda _head, tail, own: _at_close(tail, own)["inner"])
+    def read(page: Column) -> Column:
+        counted = lambda: _split_at(page, tag, having, lambda _head, tail, own: _at_close(tail, own)["inner"])
+        found = F.regexp_extract(page, _whole(tag, having, r"(?=</{own}\s*>|\z)"), 0)
+        return let(found, lambda e: F.when(e.contains(">"), _cut(e)["inner"]).when(e != "", counted()))
+
+    return let(html, read)
 
 
 def without_container(html: Column, tag: str, having: str) -> Column:
     """The page without the first such element, cut out by its place."""
-    return F.coalesce(_split_at(html, tag, having, lambda head, tail, own: F.concat(head, F.lit(" "), _at_close(tail, own, rest=True)["rest"])), html)
+    def read(page: Column) -> Column:
+        counted = lambda: _split_at(page, tag, having, lambda head, tail, own: F.concat(head, F.lit(" "), _at_close(tail, own, rest=True)["rest"]))
+
+        def cut_out(x: Column) -> Column:
+            return F.concat(F.substr(page, F.lit(1), x["at"] - 1), F.lit(" "), F.substr(page, x["at"] + F.length(x["all"])))
+
+        # no text like that of the first such element can stand ahead of it
+        cut = lambda e: let(F.struct(e.alias("all"), F.position(e, page).alias("at")), cut_out)
+        found = F.regexp_extract(page, _whole(tag, having, r"(?:</{own}\s*>|\z)"), 0)
+        return let(found, lambda e: F.when(e.contains(">"), cut(e)).when(e != "", counted()).otherwise(page))
+
+    return let(html, read)
 
 
 def pieces(html: Column, opening: str) -> Column:
     """What follows each match of ``opening`` up to the next one: table rows, cells and the like."""
-    return let(F.split(html, opening, -1), lambda parts: F.slice(parts, F.lit(2), F.size(parts)))
+    return F.regexp_extract_all(html, F.lit(rf"{opening}((?:[^<]+|<(?!{opening.removeprefix('(?is)<')}))*+)"), 1)
 
 
 def language_spans(html: Column, css_class: str) -> Column:
     """``array<struct<lang, text>>`` of the language spans of a class, separators stripped."""
 
     def read(span: Column) -> Column:
-        shown = strip(F.regexp_replace(text(span["inner"]), r"(?U)^/\s*", ""))
+        bare = lambda t: F.when(t.startswith("/"), F.regexp_replace(t, r"(?U)^/\s*", "")).otherwise(t)
+        shown = strip(let(text(span["inner"]), bare))
         return F.struct(attribute(span["open"], "lang").alias("lang"), shown.alias("text"))
 
     return F.transform(containers(html, "span", f'class="{css_class}"'), read)
@@ -311,4 +403,4 @@ def canonical_link(html: Column) -> Column:
 
 def plain_notes(fragment: Column) -> Column:
     """Line breaks kept, tags dropped, ends stripped; an empty text is NULL."""
-    return F.nullif(strip(unescape(F.regexp_replace(F.regexp_replace(fragment, LINE_BREAK, "\n"), TAG, ""))), F.lit(""))
+    return blank_to_null(strip(unescape(_untagged(F.regexp_replace(fragment, LINE_BREAK, "\n")))))

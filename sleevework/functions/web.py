@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sleevework.functions.core import blank_to_null
+from sleevework.functions.core import blank_to_null, let
 
 # What a bot-challenge page says.
 CHALLENGE_TEXTS = ("just a moment", "cf-chl", "challenge-platform", "checking your browser")
@@ -58,12 +58,15 @@ def quote_plus(value: Column) -> Column:
 
 
 def absolute_url(href: Column, site: str) -> Column:
-    return (
-        F.when(F.coalesce(href, F.lit("")) == "", F.lit(None))
-        .when(href.startswith("http://") | href.startswith("https://"), href)
-        .when(href.startswith("/"), F.concat(F.lit(site), href))
-        .otherwise(F.concat(F.lit(site + "/"), href))
-    )
+    def read(address: Column) -> Column:
+        return (
+            F.when(F.coalesce(address, F.lit("")) == "", F.lit(None))
+            .when(address.startswith("http://") | address.startswith("https://"), address)
+            .when(address.startswith("/"), F.concat(F.lit(site), address))
+            .otherwise(F.concat(F.lit(site + "/"), address))
+        )
+
+    return let(href, read)
 
 
 def ref_link(href: Column, site: str) -> Column:

@@ -30,6 +30,7 @@ FIELD_COLOR = "788990"
 ORG_FIELDS = ("Developer", "Publisher")
 LIST_COMMA = r"(?<=\S),\s*"
 TRAILING_PAREN = r"\s*\([^)]*\)$"
+PLAIN_NAME = r"\A[!-')-+\--~]++(?:[ ,]++[!-')-+\--~]++)*+\z"  # nothing to strip at its ends and no parenthesis
 
 
 def cleaned(pages: DataFrame) -> DataFrame:
@@ -113,13 +114,16 @@ def route_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def reference(anchor: Column, kind: str, span_class: str, site: str, *, keep_query: bool = True) -> Column:
     """``struct<names, id, link>`` of a link to an entity."""
-    href = H.attribute(anchor, "href")
     spans = H.language_spans(anchor, span_class)
     grouped = H.leading_group(spans) if span_class == PRODUCT_CLASS else spans
     plain = F.map_filter(F.create_map(F.lit("English"), H.text(H.inner(anchor))), lambda _k, v: v.isNotNull())
     names = F.when(H.has(anchor, "span", f'class="{span_class}"'), H.localized(grouped)).otherwise(plain)
-    link = absolute_url(href, site) if keep_query else ref_link(href, site)
-    return F.struct(names.alias("names"), F.regexp_extract(href, f"/{kind}/(\\d+)", 1).try_cast("bigint").alias("id"), link.alias("link"))
+
+    def read(href: Column) -> Column:
+        link = absolute_url(href, site) if keep_query else ref_link(href, site)
+        return F.struct(names.alias("names"), F.regexp_extract(href, f"/{kind}/(\\d+)", 1).try_cast("bigint").alias("id"), link.alias("link"))
+
+    return let(H.attribute(anchor, "href"), read)
 
 
 def anchors(html: Column, kind: str) -> Column:
@@ -187,18 +191,19 @@ def info_fields(html: Column) -> Column:
     """``array<struct<label, value, href>>`` of an album's info box; the last of a label counts."""
     def field(cells: Column) -> Column:
         label = first(H.containers(F.get(cells, F.lit(0)), "span", 'class="label"'))["inner"]
-        body = F.regexp_replace(F.get(cells, F.lit(1)), r"(?is)</td\s*>.*\z", "")
+        body = F.regexp_replace(F.get(cells, F.lit(1)), r"(?is)<(?:/td\s*>).*\z", "")
         return let(F.struct(label.alias("label"), body.alias("body")), read)
 
     def read(cell: Column) -> Column:
-        shown = F.regexp_replace(cell["body"], r'(?is)<div\b(?=[^>]*class="[^"]*vbmenu_popup)[^>]*>.*?</div\s*>', " ")
-        href = H.attribute(H.opening_tag(cell["body"], "a", "href\\s*="), "href")
+        body, marked = cell["body"], cell["body"].contains("<")
+        shown = F.when(marked, F.regexp_replace(body, r'(?is)<div\b(?=[^>]*class="[^"]*vbmenu_popup)[^>]*>.*?</div\s*>', " ")).otherwise(body)
+        href = F.when(marked, H.attribute(H.opening_tag(body, "a", "href\\s*="), "href"))
         row = F.struct(H.text(cell["label"]).alias("label"), H.spaced_text(shown).alias("value"), href.alias("href"))
         return F.when(cell["label"].isNotNull() & cell["body"].isNotNull(), row)
 
     tables = H.containers(H.without_container(html, "div", 'id="collapse_credits"'), "table", 'id="album_infobit_large"')
     rows = F.flatten(F.transform(tables, lambda t: H.pieces(t["inner"], r"(?is)<tr\b[^>]*>")))
-    fields = F.transform(rows, lambda row: let(H.pieces(row, r"(?is)<td\b[^>]*>"), field))
+    fields = F.transform(rows, lambda row: let(H.pieces(row, r"(?is)<(?:td)\b[^>]*>"), field))
     return deduplicate(F.filter(fields, lambda f: f.isNotNull()), lambda f, _i: f["label"], keep="last")
 
 
@@ -226,24 +231,30 @@ def release_event(html: Column, site: str = DEFAULT_SITE) -> Column:
     def read(a: Column) -> Column:
         title = F.coalesce(blank_to_null(H.attribute(a, "title")), H.text(H.inner(a)))
         name = strip(F.regexp_replace(F.regexp_replace(title, r"(?iU)^\s*Released at\s+", ""), r"(?U)\s*\([^)]*\)\s*$", ""))
-        href = H.attribute(a, "href")
+        return let(F.struct(name.alias("name"), H.attribute(a, "href").alias("href")), refer)
+
+    def refer(x: Column) -> Column:
         ref = F.struct(
-            F.create_map(name_key(name), name).alias("names"),
-            F.regexp_extract(href, r"/event/(\d+)", 1).try_cast("bigint").alias("id"),
-            absolute_url(href, site).alias("link"),
+            F.create_map(name_key(x["name"]), x["name"]).alias("names"),
+            F.regexp_extract(x["href"], r"/event/(\d+)", 1).try_cast("bigint").alias("id"),
+            absolute_url(x["href"], site).alias("link"),
         )
-        return F.when(name != "", ref)
+        return F.when(x["name"] != "", ref)
 
-    return let(anchor, read)
+    return let(anchor, lambda found: F.when(found.isNotNull(), read(found)))
 
 
 def raw_track(row: Column) -> Column:
     """``struct<number, length, title>`` of a tracklist row."""
-    number = F.regexp_extract(H.text(H.inner(H.element(row, "span", 'class="label"'))), r"\d+", 0).try_cast("int")
-    time = H.element(row, "span", 'class="time"')
-    wide = H.element(row, "td", r"""(?:width\s*=\s*["']?100%|colspan\s*=)""")
-    length = blank_to_null(H.text(H.inner(time)))  # the text of a missing element is empty
-    return F.struct(number.alias("number"), length.alias("length"), H.text(H.inner(wide)).alias("title"))
+    return _track(row, F.lit(True))
+
+
+def _track(row: Column, numbered: Column) -> Column:
+    """``raw_track``; ``numbered`` tells whether number and length are wanted."""
+    number = F.regexp_extract(H.element_text(row, "span", 'class="label"'), r"\d+", 0).try_cast("int")
+    title = H.element_text(row, "td", r"""(?:width\s*=\s*["']?100%|colspan\s*=)""")
+    length = blank_to_null(H.element_text(row, "span", 'class="time"'))  # the text of a missing element is empty
+    return F.struct(F.when(numbered, number).alias("number"), F.when(numbered, length).alias("length"), title.alias("title"))
 
 
 def disc_groups(tab: Column) -> Column:
@@ -252,16 +263,24 @@ def disc_groups(tab: Column) -> Column:
     A "Disc N" heading opens a group; rows before the first heading belong to none. Without any
     heading all rows form disc 1.
     """
-    events = F.regexp_extract_all(tab, F.lit(r'(?is)<b\b[^>]*>.*?</b\s*>|<tr\b(?=[^>]*class="[^"]*rolebit)[^>]*>.*?(?=<tr\b|</table|<b\b[^>]*>\s*disc|\z)'), 0)
+    return _groups(tab, F.lit(True))
+
+
+def _groups(tab: Column, numbered: Column) -> Column:
+    row = r'tr\b(?=[^>]*class="[^"]*rolebit)[^>]*>(?:[^<]+|<(?!tr\b|/table|b\b[^>]*>\s*disc))*+'
+    events = F.regexp_extract_all(tab, F.lit(rf"(?is)<(?:b\b[^>]*>(?:[^<]+|<(?!/b\s*>))*+</b\s*>|{row})"), 0)
 
     def lead(event: Column) -> Column:
         return F.regexp_extract(event, r"(?is)^<b\b[^>]*>([^<]*)", 1)
 
+    def is_row(event: Column) -> Column:  # an event is a row or bold
+        return ~(event.startswith("<b") | event.startswith("<B"))
+
     def is_heading(event: Column) -> Column:
-        return event.rlike(r"(?isU)^<b\b[^>]*>\s*disc")
+        return ~is_row(event) & event.rlike(r"(?isU)^<b\b[^>]*>\s*disc")
 
     def rows_of(group: Column) -> Column:
-        return F.transform(F.filter(group, lambda e: e.rlike(r"(?i)^<tr\b")), raw_track)
+        return F.transform(F.filter(group, is_row), lambda r: _track(r, numbered))
 
     def groups(all_events: Column) -> Column:
         headed = F.transform(
@@ -273,7 +292,7 @@ def disc_groups(tab: Column) -> Column:
             ),
         )
         lone = F.struct(F.lit(1).alias("number"), F.lit(None).cast("string").alias("name"), rows_of(all_events).alias("tracks"))
-        only = F.when(F.exists(all_events, lambda e: e.rlike(r"(?i)^<tr\b")), F.array(lone)).otherwise(F.slice(F.array(lone), F.lit(1), F.lit(0)))
+        only = F.when(F.exists(all_events, is_row), F.array(lone)).otherwise(F.slice(F.array(lone), F.lit(1), F.lit(0)))
         return F.when(F.exists(all_events, is_heading), headed).otherwise(only)
 
     return let(events, groups)
@@ -285,7 +304,7 @@ def choose_tabs(html: Column) -> Column:
     A canonical tab (no parenthesis in its caption) is preferred to an unofficial one; a tab without
     a caption is English.
     """
-    box = F.coalesce(H.container(html, "div", 'id="tracklist"'), F.lit(""))
+    box = F.coalesce(H.container(html, "div", 'id="tracklist"'), F.lit(""))  # read once: ``containers`` binds it
     nav = F.coalesce(first(H.containers(html, "ul", 'class="[^"]*tabnav'))["inner"], F.lit(""))
     captions = F.transform(H.elements(nav, "a", 'rel="tl'), lambda a: F.struct(H.attribute(a, "rel").alias("rel"), H.text(H.inner(a)).alias("text")))
 
@@ -295,7 +314,7 @@ def choose_tabs(html: Column) -> Column:
 
             def with_caption(caption: Column) -> Column:
                 return F.struct(
-                    strip(F.regexp_replace(caption, r"(?U)\s*\(.*\)\s*$", "")).alias("label"),
+                    strip(F.when(caption.contains("("), F.regexp_replace(caption, r"(?U)\s*\(.*\)\s*$", "")).otherwise(caption)).alias("label"),
                     (~caption.contains("(")).alias("canonical"),
                     i.alias("pos"),
                     tab["inner"].alias("body"),
@@ -336,7 +355,7 @@ def discs(html: Column) -> Column:
 
         return F.transform(F.coalesce(F.get(tabs, F.lit(0))["discs"], F.array()), disc)
 
-    parsed = F.transform(choose_tabs(html), lambda t: F.struct(t["label"].alias("label"), disc_groups(t["body"]).alias("discs")))
+    parsed = F.transform(choose_tabs(html), lambda t, i: F.struct(t["label"].alias("label"), _groups(t["body"], i == 0).alias("discs")))
     return let(parsed, merge)
 
 
@@ -346,12 +365,21 @@ def split_artists(cell: Column, site: str = DEFAULT_SITE) -> Column:
     Plain text is split at commas that follow a visible character, so "Studio , City" stays whole.
     A linked artist in parentheses right after another is an alias and dropped.
     """
-    runs = F.regexp_extract_all(cell, F.lit(r"(?is)<(\w+)\b[^>]*>.*?</\1\s*>|<[^>]+>|[^<]+"), 0)
+    runs = F.regexp_extract_all(cell, F.lit(r"(?is)<(\w+)\b[^>]*>(?:[^<]+|<(?!/\1\s*>))*+</\1\s*>|<[^>]+>|[^<]+"), 0)
+
+    def tidy(part: Column) -> Column:
+        return let(F.btrim(part), lambda p: F.when(p.rlike(PLAIN_NAME), p).otherwise(trimmed(part)))
+
+    def trimmed(part: Column) -> Column:
+        bare = F.btrim(F.regexp_replace(part, r"(?U)^[\s,]+|[\s,]+$", ""))
+        return F.btrim(let(bare, lambda p: F.when(p.contains("("), F.regexp_replace(p, TRAILING_PAREN, "")).otherwise(p)), F.lit(" ,"))
 
     def read(run: Column) -> Column:
-        link = run.rlike(r'(?is)^<a\b[^>]*href="[^"]*/artist/')
-        shown = H.raw_text(run)
-        parts = F.transform(F.split(shown, LIST_COMMA, -1), lambda p: F.btrim(F.regexp_replace(F.btrim(F.regexp_replace(p, r"(?U)^[\s,]+|[\s,]+$", "")), TRAILING_PAREN, ""), F.lit(" ,")))
+        shown = lambda link: F.when(link, F.lit("")).otherwise(H.raw_text(run))
+        return let(run.rlike(r'(?is)^<a\b[^>]*href="[^"]*/artist/'), lambda link: let(shown(link), lambda text: read_shown(run, link, text)))
+
+    def read_shown(run: Column, link: Column, shown: Column) -> Column:
+        parts = F.transform(F.when(shown.contains(","), F.split(shown, LIST_COMMA, -1)).otherwise(F.array(shown)), tidy)
         names = F.filter(parts, lambda n: n.rlike(r"(?U)\w"))
         plain = F.transform(
             names,
@@ -365,8 +393,9 @@ def split_artists(cell: Column, site: str = DEFAULT_SITE) -> Column:
         )
 
     def keep(items: Column) -> Column:
-        start = F.array_min(positions(items, lambda x: F.size(x["artists"]) > 0)) - 1
+        return let(F.array_min(positions(items, lambda x: F.size(x["artists"]) > 0)) - 1, lambda start: keep_after(items, start))
 
+    def keep_after(items: Column, start: Column) -> Column:
         def is_alias(i: Column) -> Column:
             before = F.rtrim(F.coalesce(F.get(items, i - 1)["text"], F.lit("")))
             after = F.ltrim(F.coalesce(F.get(items, i + 1)["text"], F.lit("")))
@@ -380,10 +409,10 @@ def split_artists(cell: Column, site: str = DEFAULT_SITE) -> Column:
 def credit_rows(html: Column, site: str = DEFAULT_SITE) -> Column:
     """``array<struct<role, role_raw, artists>>`` of the credits box; rows without a role are skipped."""
     box = F.coalesce(H.container(html, "div", 'id="collapse_credits"'), F.lit(""))
-    rows = F.regexp_extract_all(box, F.lit(r'(?is)<tr\b(?=[^>]*class="maincred")[^>]*>.*?(?=<tr\b|\z)'), 0)
+    rows = F.regexp_extract_all(box, F.lit(r'(?is)<(?:tr)\b(?=[^>]*class="maincred")[^>]*>(?:[^<]+|<(?!tr\b))*+'), 0)
 
     def read(row: Column) -> Column:
-        cells = F.transform(H.pieces(row, r"(?is)<td\b[^>]*>"), lambda c: F.regexp_replace(c, r"(?is)</td\s*>.*\z", ""))
+        cells = F.transform(H.pieces(row, r"(?is)<(?:td)\b[^>]*>"), lambda c: F.regexp_replace(c, r"(?is)<(?:/td\s*>).*\z", ""))
 
         def credit(c: Column) -> Column:
             spans = H.elements(F.get(c, F.lit(0)), "span", f'class="{ARTIST_CLASS}"')
@@ -509,7 +538,7 @@ def search_rows(pages: DataFrame, site: str = DEFAULT_SITE) -> DataFrame:
     title_link = H.element(F.col("hit"), "a", 'href="[^"]*/album/')
     rows = rows.withColumn("a", title_link).withColumn("id", F.regexp_extract(H.attribute(F.col("a"), "href"), r"/album/(\d+)", 1).try_cast("bigint"))
     catalog = H.text(H.inner(H.element(F.col("hit"), "span", 'class="[^"]*catalog')))
-    cells = F.transform(H.pieces(F.col("hit"), r"(?is)<td\b[^>]*>"), lambda c: F.regexp_replace(c, r"(?is)</td\s*>.*\z", ""))
+    cells = F.transform(H.pieces(F.col("hit"), r"(?is)<td\b[^>]*>"), lambda c: F.regexp_replace(c, r"(?is)<(?:/td\s*>).*\z", ""))
     free = F.filter(cells, lambda c: ~c.rlike(r'(?is)<span\b[^>]*class="[^"]*catalog|<a\b[^>]*href="[^"]*/album/'))
     dated = F.filter(F.transform(free, lambda c: partial_date(blank_to_null(H.text(c)))), lambda d: d.isNotNull())
     return rows.select(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sleevework.functions.core import let
+from sleevework.functions.core import digits, let
 from sleevework.functions.text import strip
 
 PARTIAL_DATE = "struct<year:int,month:int,day:int>"
@@ -36,7 +36,7 @@ def make_date(year: Column, month: Column, day: Column) -> Column:
 
 
 def _from_groups(value: Column, shape: str) -> Column:
-    year, month, day = (F.regexp_extract(value, shape, i).try_cast("int") for i in (1, 2, 3))
+    year, month, day = (digits(F.regexp_extract(value, shape, i), "int") for i in (1, 2, 3))
     return make_date(year, month, day)
 
 
@@ -51,7 +51,7 @@ def parse_text_date(value: Column) -> Column:
     def read(text: Column) -> Column:
         # position of the name in the list, 0 for an unknown name
         month = F.array_position(F.expr(f"array{MONTHS}"), F.lower(F.regexp_extract(text, TEXT_SHAPE, 1))).cast("int")
-        year, day = (F.regexp_extract(text, TEXT_SHAPE, i).try_cast("int") for i in (3, 2))
+        year, day = (digits(F.regexp_extract(text, TEXT_SHAPE, i), "int") for i in (3, 2))
         named = make_date(year, month, day)
         return F.when(text.rlike(YEAR_SHAPE), _from_groups(text, f"{YEAR_SHAPE}()()")).otherwise(named)
 

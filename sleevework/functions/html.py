@@ -13,7 +13,7 @@ from html.entities import html5, name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sleevework.functions.core import blank_to_null, let
+from sleevework.functions.core import blank_to_null, digits, let
 from sleevework.functions.localized import placeholder_rule
 from sleevework.functions.text import collapse, strip
 
@@ -25,6 +25,7 @@ _ESCAPED = r"&(?!(?:amp|lt|gt|quot);)[#A-Za-z]"
 _UNTIDY = rf"""=\s*+(?:"(?>[^"<>]*)[<>]|'(?>[^'<>]*)[<>])|{_ESCAPED}"""  # found wherever a value or an entity has to be rewritten
 TAG = r"<[^>]*>"
 _WORDS = r"\A[!-%'-;=-~]++(?: [!-%'-;=-~]++)*+\z"
+_NAME = _WORDS.replace(r"\A", r"\A(?!/)")  # that do not begin with a separator
 LINE_BREAK = r"(?i)<br\s*/?>"
 
 # characters that stay escaped until a text is read, because decoding them early would forge markup
@@ -67,7 +68,7 @@ def _decode_names(html: Column) -> Column:
     named = _constant_map(_names())
 
     def entity(name: Column) -> Column:
-        decimal = F.regexp_extract(name, "^#([0-9]+)$", 1).try_cast("bigint")
+        decimal = digits(F.regexp_extract(name, "^#([0-9]+)$", 1), "bigint")
         hexadecimal = F.conv(F.nullif(F.regexp_extract(name, "^#[xX](.+)$", 1), F.lit("")), 16, 10).try_cast("bigint")
         number = F.coalesce(decimal, hexadecimal)
         return F.when(name.startswith("#"), _code_point(number)).otherwise(named[name])
@@ -148,8 +149,12 @@ def text(fragment: Column) -> Column:
 
 def _shown(fragment: Column, by: str) -> Column:
     """Text of a fragment with its tags replaced. Words without markup between single spaces, as most are, stay as they are."""
-    read = lambda f: F.coalesce(collapse(unescape(_untagged(f, by))), F.lit(""))
-    return let(fragment, lambda f: F.when(f.rlike(_WORDS), f).otherwise(read(f)))
+    return let(fragment, lambda f: F.when(f.rlike(_WORDS), f).otherwise(_read(f, by)))
+
+
+def _read(fragment: Column, by: str = "") -> Column:
+    """Text of a fragment that is not plain words."""
+    return F.coalesce(collapse(unescape(_untagged(fragment, by))), F.lit(""))
 
 
 def spaced_text(fragment: Column) -> Column:
@@ -205,12 +210,14 @@ def _whole(tag: str, having: str, ends: str, *, but: str = "") -> str:
     return rf"(?is){opening}(?=>)(?:>{_held(own, but)}{ends.format(own=own)})?+"
 
 
+def _held_by(element: Column) -> Column:
+    """The inside of what ``_whole`` found: all after the end of the opening tag."""
+    return F.substr(element, F.position(F.lit(">"), element) + 1)
+
+
 def _cut(element: Column) -> Column:
     """``struct<open, inner>`` of what ``_whole`` found."""
-    return let(
-        F.struct(element.alias("all"), F.concat(F.substring_index(element, ">", 1), F.lit(">")).alias("open")),
-        lambda x: F.struct(x["open"].alias("open"), F.substr(x["all"], F.length(x["open"]) + 1).alias("inner")),
-    )
+    return F.struct(F.concat(F.substring_index(element, ">", 1), F.lit(">")).alias("open"), _held_by(element).alias("inner"))
 
 
 def has(html: Column, tag: str, having: str) -> Column:
@@ -334,7 +341,7 @@ def container(html: Column, tag: str, having: str) -> Column:
     def read(page: Column) -> Column:
         counted = lambda: _split_at(page, tag, having, lambda _head, tail, own: _at_close(tail, own)["inner"])
         found = F.regexp_extract(page, _whole(tag, having, r"(?=</{own}\s*>|\z)"), 0)
-        return let(found, lambda e: F.when(e.contains(">"), _cut(e)["inner"]).when(e != "", counted()))
+        return let(found, lambda e: F.when(e.contains(">"), _held_by(e)).when(e != "", counted()))
 
     return let(html, read)
 
@@ -364,13 +371,17 @@ def language_spans(html: Column, css_class: str) -> Column:
     """``array<struct<lang, text>>`` of the language spans of a class, separators stripped."""
 
     def read(span: Column) -> Column:
-        bare = lambda t: F.when(t.startswith("/"), F.regexp_replace(t, r"(?U)^/\s*", "")).otherwise(t)
-        shown = strip(let(text(span["inner"]), bare))
-        return F.struct(attribute(span["open"], "lang").alias("lang"), shown.alias("text"))
+        return F.struct(attribute(span["open"], "lang").alias("lang"), _name_text(span["inner"]).alias("text"))
 
     return F.transform(containers(html, "span", f'class="{css_class}"'), read)
 
 
+def _name_text(fragment: Column) -> Column:
+    """``text`` without a leading separator and stripped. Plain words without a separator, as most names are, stay as they are."""
+    bare = lambda t: F.when(t.startswith("/"), F.regexp_replace(t, r"(?U)^/\s*", "")).otherwise(t)
+    return let(fragment, lambda f: F.when(f.rlike(_NAME), f).otherwise(strip(let(_read(f), bare))))
+
+
 def leading_group(spans: Column) -> Column:
     """The spans before the first repetition of a language; spans without one stay in."""
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sleevework.functions import html as H
-from sleevework.functions.core import blank_to_null, computed, deduplicate, first, let, positions, sections
+from sleevework.functions.core import blank_to_null, computed, deduplicate, digits, first, let, positions, sections
 from sleevework.functions.dates import partial_date, release_date
 from sleevework.functions.roles import normalize_role_once
 from sleevework.functions.text import name_key, strip
@@ -94,7 +94,7 @@ def route_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     rows = computed(cleaned(pages), "link", link).withColumns(
         {
             "_kind": blank_to_null(F.regexp_extract("link", pattern, 1)),
-            "entity_id": F.regexp_extract("link", pattern, 2).try_cast("bigint"),
+            "entity_id": digits(F.regexp_extract("link", pattern, 2), "bigint"),
             "_search": H.has(F.col("html"), H.ANY_TAG, 'id="albumresults"'),
         }
     )
@@ -121,7 +121,7 @@ def reference(anchor: Column, kind: str, span_class: str, site: str, *, keep_que
 
     def read(href: Column) -> Column:
         link = absolute_url(href, site) if keep_query else ref_link(href, site)
-        return F.struct(names.alias("names"), F.regexp_extract(href, f"/{kind}/(\\d+)", 1).try_cast("bigint").alias("id"), link.alias("link"))
+        return F.struct(names.alias("names"), digits(F.regexp_extract(href, f"/{kind}/(\\d+)", 1), "bigint").alias("id"), link.alias("link"))
 
     return let(H.attribute(anchor, "href"), read)
 
@@ -236,7 +236,7 @@ def release_event(html: Column, site: str = DEFAULT_SITE) -> Column:
     def refer(x: Column) -> Column:
         ref = F.struct(
             F.create_map(name_key(x["name"]), x["name"]).alias("names"),
-            F.regexp_extract(x["href"], r"/event/(\d+)", 1).try_cast("bigint").alias("id"),
+            digits(F.regexp_extract(x["href"], r"/event/(\d+)", 1), "bigint").alias("id"),
             absolute_url(x["href"], site).alias("link"),
         )
         return F.when(x["name"] != "", ref)
@@ -251,7 +251,7 @@ def raw_track(row: Column) -> Column:
 
 def _track(row: Column, numbered: Column) -> Column:
     """``raw_track``; ``numbered`` tells whether number and length are wanted."""
-    number = F.regexp_extract(H.element_text(row, "span", 'class="label"'), r"\d+", 0).try_cast("int")
+    number = digits(F.regexp_extract(H.element_text(row, "span", 'class="label"'), r"\d+", 0), "int")
     title = H.element_text(row, "td", r"""(?:width\s*=\s*["']?100%|colspan\s*=)""")
     length = blank_to_null(H.element_text(row, "span", 'class="time"'))  # the text of a missing element is empty
     return F.struct(F.when(numbered, number).alias("number"), F.when(numbered, length).alias("length"), title.alias("title"))
@@ -442,7 +442,7 @@ def event_date(html: Column) -> Column:
 def _entities(pages: DataFrame, kind: str) -> DataFrame:
     """Clean pages of one kind that pass routing, with id, link and names."""
     def head(link: Column) -> Column:
-        entity = F.regexp_extract(link, f"/{kind}/(\\d+)", 1).try_cast("bigint")
+        entity = digits(F.regexp_extract(link, f"/{kind}/(\\d+)", 1), "bigint")
         return F.struct(entity.alias("id"), link.alias("link"), F.when(entity.isNotNull(), names_of_kind(F.col("html"), kind)).alias("names"))
 
     rows = computed(cleaned(pages), "_head", let(H.canonical_link(F.col("html")), head), lambda x: x["id"].isNotNull() & (F.size(x["names"]) > 0))
@@ -536,7 +536,7 @@ def search_rows(pages: DataFrame, site: str = DEFAULT_SITE) -> DataFrame:
     rows = rows.select("page_id", "query", F.posexplode(linked).alias("rank", "hit"))
 
     title_link = H.element(F.col("hit"), "a", 'href="[^"]*/album/')
-    rows = rows.withColumn("a", title_link).withColumn("id", F.regexp_extract(H.attribute(F.col("a"), "href"), r"/album/(\d+)", 1).try_cast("bigint"))
+    rows = rows.withColumn("a", title_link).withColumn("id", digits(F.regexp_extract(H.attribute(F.col("a"), "href"), r"/album/(\d+)", 1), "bigint"))
     catalog = H.text(H.inner(H.element(F.col("hit"), "span", 'class="[^"]*catalog')))
     cells = F.transform(H.pieces(F.col("hit"), r"(?is)<td\b[^>]*>"), lambda c: F.regexp_replace(c, r"(?is)<(?:/td\s*>).*\z", ""))
     free = F.filter(cells, lambda c: ~c.rlike(r'(?is)<span\b[^>]*class="[^"]*catalog|<a\b[^>]*href="[^"]*/album/'))

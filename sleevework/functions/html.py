@@ -21,8 +21,7 @@ NOISE = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
 _ATTRIBUTES = r"""(?>[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+"""  # up to the end of a tag; quoted values may hold anything
 TOKEN = rf"<(?=[^>]){_ATTRIBUTES}>|[^<]+"
 _OPEN_VALUE = r"""<[A-Za-z](?>[^<>=]++|=\s*+"[^"<>]*+"|=\s*+'[^'<>]*+'|=(?!\s*+["']))*+=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
-_ESCAPED = r"&(?!(?:amp|lt|gt|quot);)[#A-Za-z]"
-_UNTIDY = rf"""=\s*+(?:"(?>[^"<>]*)[<>]|'(?>[^'<>]*)[<>])|{_ESCAPED}"""  # found wherever a value or an entity has to be rewritten
+_MARKED_VALUE = r"""=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""  # in all pages with an open value and few others; quick to look for
 TAG = r"<[^>]*>"
 _WORDS = r"\A[!-%'-;=-~]++(?: [!-%'-;=-~]++)*+\z"
 _NAME = _WORDS.replace(r"\A", r"\A(?!/)")  # that do not begin with a separator
@@ -33,6 +32,7 @@ _MARKUP = {"&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&#39;"}
 _SHORT = sorted((n for n in html5 if n in name2codepoint), key=len, reverse=True)  # names that may go without a semicolon
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 _OPEN_ENTITY = rf"^(#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|{'|'.join(_SHORT)})(?![0-9A-Za-z=;])"
+_LONGEST_ENTITY = 40  # no known name and no number is nearly as long
 ANY_TAG = "[A-Za-z][A-Za-z0-9]*"
 NESTED = 3  # elements of its own tag inside an element are followed by pattern so deep, deeper ones are counted
 
@@ -73,11 +73,14 @@ def _decode_names(html: Column) -> Column:
         number = F.coalesce(decimal, hexadecimal)
         return F.when(name.startswith("#"), _code_point(number)).otherwise(named[name])
 
-    def piece(text: Column, i: Column) -> Column:
+    def found(text: Column) -> Column:
         closed, bare = F.regexp_extract(text, _ENTITY, 1), F.regexp_extract(text, _OPEN_ENTITY, 1)
-        name = F.struct(F.when(closed != "", closed).otherwise(bare).alias("n"), F.when(closed != "", 2).otherwise(1).alias("skip"))
+        return let(closed, lambda c: F.when(c != "", F.struct(c.alias("n"), F.lit(2).alias("skip"))).otherwise(F.struct(bare.alias("n"), F.lit(1).alias("skip"))))
+
+    def piece(text: Column, i: Column) -> Column:
+        name = let(F.substring(text, 1, _LONGEST_ENTITY), found)  # a search goes on behind the place it is bound to
         decoded = let(name, lambda x: F.when(x["n"] != "", F.concat(entity(x["n"]), F.substr(text, F.length(x["n"]) + x["skip"]))))
-        return F.when(i == 0, text).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), text)))
+        return F.when(i == 0, text).when(text.startswith("amp;"), F.concat(F.lit("&"), text)).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), text)))
 
     return F.array_join(F.transform(F.split(html, "&", -1), piece), "")
 
@@ -98,11 +101,13 @@ def _escape_values(html: Column) -> Column:
 
 
 def clean(html: Column) -> Column:
-    """The page without scripts, styles and comments, with ordinary entities decoded."""
-    def tidy(bare: Column) -> Column:
-        return let(_escape_values(bare), lambda h: F.when(h.rlike(_ESCAPED), _decode_names(h)).otherwise(h))
+    """The page without scripts, styles and comments, with ordinary entities decoded.
 
-    return let(F.regexp_replace(html, NOISE, ""), lambda bare: F.when(bare.rlike(_UNTIDY), tidy(bare)).otherwise(bare))
+    Every pattern has to decode the bytes of a page first, so those that few pages need come after a plainer look.
+    """
+    escaped = lambda bare: F.when(bare.rlike(_MARKED_VALUE), _escape_values(bare)).otherwise(bare)
+    decoded = lambda h: F.when(h.contains("&"), _decode_names(h)).otherwise(h)
+    return let(F.regexp_replace(html, NOISE, ""), lambda bare: let(escaped(bare), decoded))
 
 
 def unescape(text: Column) -> Column:

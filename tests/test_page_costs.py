@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from sleevework.functions import html as H
@@ -44,3 +46,15 @@ def test_names_in_spans(spark):
     got = spark.createDataFrame([(html,), (None,)], "html string").select(H.language_spans(F.col("html"), "n").alias("s")).collect()
     assert [s["text"] for s in got[0]["s"]] == ["Plain", "lead", "lead", "a b", "祭り", "", "& b", "x", "a/b", ""]
     assert got[1]["s"] is None
+
+
+def test_a_page_is_decoded_for_fewer_patterns(spark):
+    """A page is passed over for scripts and for open values; only pages with an entity are split at it."""
+    assert len(re.findall("RLIKE", page(spark, H.clean(F.col("html"))))) <= 3
+    rows = {
+        "a &amp; b &lt; &gt; &quot;": "a &amp; b &lt; &gt; &quot;", "a & b &; &1 &": "a & b &; &1 &", "&eacute;&eacute &#33;&#x21; &middot;x": "éé !! ·x",
+        "&lt x &amp x &quot=": "&lt; x &amp; x &quot=", "&" + "a" * 60 + ";x": "&" + "a" * 60 + ";x", "&thetasym;1&#9999999;": "\u03d11\ufffd",
+        '<a t="x > y" u=\'<i>\'>&eacute;</a>': '<a t="x &gt; y" u=\'&lt;i&gt;\'>é</a>', '= "<" &amp;': '= "<" &amp;', "": "",
+    }
+    df = spark.createDataFrame([*enumerate([*rows, None])], "n int, html string")
+    assert [r["h"] for r in df.select("n", H.clean(F.col("html")).alias("h")).orderBy("n").collect()] == [*rows.values(), None]

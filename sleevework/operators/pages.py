@@ -69,10 +69,9 @@ def names_of_kind(html: Column, kind: str) -> Column:
     """Names of an entity page of a known kind."""
     if kind in ("album", "product"):
         headings = F.array_join(F.transform(H.containers(html, "h1", ""), lambda h: h["inner"]), " ")
-        spans = H.language_spans(headings, TITLE_CLASS)
-        return H.localized(spans if kind == "album" else H.leading_group(spans))
+        return H.localized(H.language_spans(headings, TITLE_CLASS, None if kind == "album" else H.leading_group))
     if kind == "event":
-        return H.localized(H.leading_group(H.language_spans(html, TITLE_CLASS)))
+        return H.localized(H.language_spans(html, TITLE_CLASS, H.leading_group))
     if kind == "org":
         return heading_name(html)
     artist = first(H.elements(F.coalesce(H.container(html, "div", 'id="innermain"'), F.lit("")), "span", 'style="[^"]*1\\.5em'))
@@ -114,8 +113,7 @@ def route_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def reference(anchor: Column, kind: str, span_class: str, site: str, *, keep_query: bool = True) -> Column:
     """``struct<names, id, link>`` of a link to an entity."""
-    spans = H.language_spans(anchor, span_class)
-    grouped = H.leading_group(spans) if span_class == PRODUCT_CLASS else spans
+    grouped = H.language_spans(anchor, span_class, H.leading_group if span_class == PRODUCT_CLASS else None)
     plain = F.map_filter(F.create_map(F.lit("English"), H.text(H.inner(anchor))), lambda _k, v: v.isNotNull())
     names = F.when(H.has(anchor, "span", f'class="{span_class}"'), H.localized(grouped)).otherwise(plain)
 

@@ -58,3 +58,17 @@ def test_a_page_is_decoded_for_fewer_patterns(spark):
     }
     df = spark.createDataFrame([*enumerate([*rows, None])], "n int, html string")
     assert [r["h"] for r in df.select("n", H.clean(F.col("html")).alias("h")).orderBy("n").collect()] == [*rows.values(), None]
+
+
+def test_texts_outside_the_leading_group_are_not_read(spark):
+    """Spans are grouped by their languages first; the texts of the others are never looked at."""
+    html = "".join(f'<span class="albumtitle"{lang}>{t}</span>' for lang, t in ((' lang="en"', "Own"), ("", "none"), (' lang="ja"', "祭り"), (' lang="en"', "Other"), (' lang="ja-Latn"', "late")))
+    df = spark.createDataFrame([(html,), ("",), (None,)], "html string")
+    spans = H.language_spans(F.col("html"), "albumtitle", H.leading_group)
+    got = [r["s"] for r in df.select(spans.alias("s")).collect()]
+    assert [(s["lang"], s["text"]) for s in got[0]] == [("en", "Own"), (None, "none"), ("ja", "祭り")] and got[1:] == [[], None]
+    late = H.leading_group(H.language_spans(F.col("html"), "albumtitle"))
+    assert got == [r["s"] for r in df.select(late.alias("s")).collect()]
+    for kind in ("event", "product"):
+        text = page(spark, P.names_of_kind(F.col("html"), kind))
+        assert text.index("array_min(") > 0 and "inner" in text[: text.index("array_min(")]
